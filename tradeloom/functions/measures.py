@@ -22,19 +22,14 @@ def _total(name: str, scale: int | None) -> Column:
     return F.col(name) if scale is None else F.col(name) / float(10**scale)
 
 
-def summarise(trades: DataFrame, bucket: str = "1 minute", sum_scale: int | None = None) -> DataFrame:
-    """One row of mergeable measures per symbol and tumbling bucket.
-
-    A caller that selects a few columns pays for those only: Catalyst prunes unused aggregates.
-    The bucket leads the grouping keys, so the sort in front of the ordered measures runs on a
-    number and not on the symbol text.
-    """
+def bucket_measures(sum_scale: int | None = None) -> list[Column]:
+    """The measures of a group of trades, as aggregate expressions."""
     tick = F.struct("event_time", "event_id", "price")
     quantity, quote = _addend(F.col("quantity"), sum_scale), _addend(F.col("quote_qty"), sum_scale)
     nothing = F.lit(0.0) if sum_scale is None else F.lit(0).cast("bigint")
     maker_sold = F.col("is_buyer_maker")
     taker_bought = ~maker_sold
-    return trades.groupBy(F.window("event_time", bucket)["start"].alias("bucket"), "symbol").agg(
+    return [
         F.min(tick).alias("opened"),
         F.max(tick).alias("closed"),
         F.max("price").alias("high_price"),
@@ -47,7 +42,18 @@ def summarise(trades: DataFrame, bucket: str = "1 minute", sum_scale: int | None
         F.sum(F.when(taker_bought, quote).otherwise(nothing)).alias("bought_quote"),
         F.sum(F.when(maker_sold, quote).otherwise(nothing)).alias("sold_quote"),
         F.count(maker_sold).alias("flagged_count"),
-    )
+    ]
+
+
+def summarise(trades: DataFrame, bucket: str = "1 minute", sum_scale: int | None = None) -> DataFrame:
+    """One row of mergeable measures per symbol and tumbling bucket.
+
+    A caller that selects a few columns pays for those only: Catalyst prunes unused aggregates.
+    The bucket leads the grouping keys, so the sort in front of the ordered measures runs on a
+    number and not on the symbol text.
+    """
+    start = F.window("event_time", bucket)["start"].alias("bucket")
+    return trades.groupBy(start, "symbol").agg(*bucket_measures(sum_scale))
 
 
 _SMALLEST = ["opened", "low_price"]

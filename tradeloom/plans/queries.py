@@ -21,6 +21,9 @@ SCALE = 4
 # No event is worth 50,000; this threshold selects about four in a hundred.
 LIVE_THRESHOLD = 10000.0
 
+# The history spans seven years and one batch holds them all.
+BY_YEAR = Settings(sum_scale=SCALE, period="year")
+
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
@@ -337,7 +340,7 @@ def merge_whale(spark, sf_dir):
 
 
 def _three_batches(spark, sf_dir, label: str, replay: bool) -> Medallion:
-    tables_of_batches = Medallion(scratch_dir(spark, label), Settings(sum_scale=SCALE))
+    tables_of_batches = Medallion(scratch_dir(spark, label), BY_YEAR)
     for number, delivery in enumerate(_deliveries(spark, sf_dir)):
         for _ in range(2 if replay else 1):
             tables_of_batches.process(delivery, number)
@@ -368,7 +371,7 @@ def _streamed(spark, sf_dir, label: str) -> Medallion:
     events = raw.open_bus(spark, "parquet", schema=market.EVENTS, path=f"{sf_dir}/events*.parquet")
     live = raw.decode_payload(market.live_messages(events))
     folder = scratch_dir(spark, label)
-    written = Medallion(folder, Settings(sum_scale=SCALE))
+    written = Medallion(folder, BY_YEAR)
     written.start(raw.unify(history, live), f"{folder}/checkpoint", availableNow=True).awaitTermination()
     return written
 
@@ -400,13 +403,11 @@ def stream_whale(spark, sf_dir):
 
 @query
 def stream_ohlc_watermarked(spark, sf_dir):
-    """Candles out of Spark's state store. Update mode emits every candle of the one trigger."""
+    """Candles out of Spark's state store: an hour is emitted once closed, the newest stay open."""
     events = raw.open_bus(spark, "parquet", schema=market.EVENTS, path=f"{sf_dir}/events*.parquet")
     trades = normalize.valid(normalize.normalize(raw.decode_payload(market.live_messages(events))))
     folder = scratch_dir(spark, "watermarked")
-    running = watermarked.running_measures(watermarked.unique_trades(trades, "1 hour"), "1 hour", sum_scale=SCALE)
-
-    # Append emits a candle once it is closed; the newest hour stays open in the state.
+    running = watermarked.running_measures(watermarked.unique_trades(trades, "1 hour"), "1 hour", SCALE)
     measured = running.writeStream.format("parquet").outputMode("append")
     measured.option("checkpointLocation", f"{folder}/checkpoint").trigger(availableNow=True).start(
         f"{folder}/measures"

@@ -5,9 +5,9 @@ written once Spark has put its ``_SUCCESS`` file there. A replayed micro-batch o
 folder, so at-least-once delivery does not count anything twice, and a batch whose write died is not
 read. Folders are never changed in place by compaction, and none is deleted.
 
-Below a batch, rows lie by month and, within a file, in time order: a month prunes folders when a
-query is planned, and a time range prunes row groups by their statistics. Folders by day would be
-too many where one batch spans years of history.
+Below a batch, rows lie by period (a month, or any unit ``date_trunc`` knows) and, within a file, in
+time order: a period prunes folders when a query is planned, and a time range prunes row groups by
+their statistics. The period is a setting, because a live batch spans days and a backfill years.
 """
 
 from __future__ import annotations
@@ -15,57 +15,61 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import date, datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 _PLACE = [
     T.StructField("from_batch", T.LongType()),
     T.StructField("to_batch", T.LongType()),
-    T.StructField("event_month", T.DateType()),
+    T.StructField("period", T.DateType()),
 ]
 
 
-def write_by_month(rows: DataFrame, time_column: str, folder: str) -> None:
-    """Write by month of a time column; a month keeps together unless it is large, then it is split."""
+def period_of(time: Column | str, unit: str) -> Column:
+    return F.date_trunc(unit, time).cast("date")
+
+
+def write_by_period(rows: DataFrame, time_column: str, unit: str, folder: str) -> None:
+    """Write by period of a time column; a period keeps together unless it is large, then it is split."""
     (
-        rows.withColumn("event_month", F.trunc(time_column, "month"))
-        .hint("rebalance", F.col("event_month"))
-        .sortWithinPartitions("event_month", time_column)
+        rows.withColumn("period", period_of(time_column, unit))
+        .hint("rebalance", F.col("period"))
+        .sortWithinPartitions("period", time_column)
         .write.mode("overwrite")
-        .partitionBy("event_month")
+        .partitionBy("period")
         .parquet(folder)
     )
 
 
 class BatchTable:
-    def __init__(self, path: str, schema: T.StructType, time_column: str):
+    def __init__(self, path: str, schema: T.StructType, time_column: str, unit: str = "month"):
         self.path = path
         self.columns = schema.names
         self.schema = T.StructType(schema.fields + _PLACE)
         self.time_column = time_column
+        self.unit = unit
 
     def write(self, rows: DataFrame, batch: int, from_batch: int | None = None) -> None:
         """Store the rows of one batch, replacing what an earlier attempt may have left."""
         start = batch if from_batch is None else from_batch
-        write_by_month(
-            rows.select(*self.columns), self.time_column, f"{self.path}/from_batch={start}/to_batch={batch}"
-        )
+        folder = f"{self.path}/from_batch={start}/to_batch={batch}"
+        write_by_period(rows.select(*self.columns), self.time_column, self.unit, folder)
 
     def read(
         self,
         spark: SparkSession,
         up_to: int | None = None,
         since: datetime | str | None = None,
-        months: list[date] | None = None,
+        periods: list[date] | None = None,
     ) -> DataFrame:
-        """Rows of the written batches: of those up to a batch id, from a time on, of some months."""
+        """Rows of the written batches: of those up to a batch id, from a time on, of some periods."""
         rows = self._open(spark, self.chosen(spark, up_to))
         if since is not None:
             start = F.lit(since).cast("timestamp")
-            rows = rows.filter((F.col("event_month") >= F.trunc(start, "month")) & (F.col(self.time_column) >= start))
-        if months is not None:
-            rows = rows.filter(F.col("event_month").isin(months))
+            rows = rows.filter((F.col("period") >= period_of(start, self.unit)) & (F.col(self.time_column) >= start))
+        if periods is not None:
+            rows = rows.filter(F.col("period").isin(periods))
         return rows.select(*self.columns)
 
     def read_batch(self, spark: SparkSession, batch: int) -> DataFrame:

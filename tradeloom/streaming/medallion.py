@@ -11,13 +11,12 @@ from datetime import datetime
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tradeloom import schemas
 from tradeloom.functions import measures
 from tradeloom.operators import merge, normalize, signals
-from tradeloom.streaming.batches import BatchTable, write_by_month
+from tradeloom.streaming.batches import BatchTable, period_of, write_by_period
 
 
 @dataclass(frozen=True)
@@ -27,18 +26,21 @@ class Settings:
     large_trade_value: float = schemas.LARGE_TRADE_VALUE
     # Decimal places of exact sums; None sums doubles.
     sum_scale: int | None = None
-    # True if equal ids always carry equal times: known ids are then looked up in the batch's months only.
+    # True if equal ids always carry equal times: known ids are then looked up in the batch's periods only.
     id_fixes_time: bool = False
+    # Folder granularity of the written tables.
+    period: str = "month"
 
 
 class Medallion:
     def __init__(self, root: str, settings: Settings = Settings()):
         self.settings = settings
         self.root = root
-        self.silver = BatchTable(f"{root}/silver", schemas.SILVER, "event_time")
-        self.rejected = BatchTable(f"{root}/rejected", schemas.REJECTED, "event_time")
-        self.partials = BatchTable(f"{root}/partials", schemas.partial_schema(settings.sum_scale), "bucket")
-        self.large = BatchTable(f"{root}/large_trades", schemas.LARGE_TRADES, "event_time")
+        unit = settings.period
+        self.silver = BatchTable(f"{root}/silver", schemas.SILVER, "event_time", unit)
+        self.rejected = BatchTable(f"{root}/rejected", schemas.REJECTED, "event_time", unit)
+        self.partials = BatchTable(f"{root}/partials", schemas.partial_schema(settings.sum_scale), "bucket", unit)
+        self.large = BatchTable(f"{root}/large_trades", schemas.LARGE_TRADES, "event_time", unit)
 
     def start(self, raw: DataFrame, checkpoint: str, **trigger) -> StreamingQuery:
         """Run over a raw stream. Restarts go on where the checkpoint ends."""
@@ -75,9 +77,9 @@ class Medallion:
         """Clean trades of earlier batches; a replayed batch does not see its own."""
         if not self.settings.id_fixes_time:
             return self.silver.read(spark, up_to=batch - 1)
-        # A year has twelve months, so the list stays short however large the batch is.
-        months = accepted.select(F.trunc("event_time", "month").alias("month")).distinct().collect()
-        return self.silver.read(spark, up_to=batch - 1, months=[row.month for row in months])
+        # As many rows as the batch has periods, however many trades it holds.
+        periods = accepted.select(period_of("event_time", self.settings.period).alias("period")).distinct()
+        return self.silver.read(spark, up_to=batch - 1, periods=[row.period for row in periods.collect()])
 
     def trades(self, spark: SparkSession, as_of: int | None = None, since: datetime | str | None = None) -> DataFrame:
         return self.silver.read(spark, as_of, since)
@@ -116,5 +118,5 @@ class Medallion:
         folders = {}
         for name, (rows, time) in finished.items():
             folders[name] = f"{self.root}/gold/{schemas.GOLD_TABLES[name]}/version={version}"
-            write_by_month(rows, time, folders[name])
+            write_by_period(rows, time, self.settings.period, folders[name])
         return folders

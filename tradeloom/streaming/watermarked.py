@@ -3,20 +3,22 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from tradeloom.functions import measures
 
 
 def unique_trades(trades: DataFrame, delay: str) -> DataFrame:
-    """Drop repeated ids that arrive within ``delay`` of each other."""
+    """Drop repeated ids that arrive within ``delay`` of each other; sets the watermark."""
     return trades.withWatermark("event_time", delay).dropDuplicatesWithinWatermark(["event_id"])
 
 
-def running_measures(
-    trades: DataFrame, delay: str, bucket: str = "1 minute", sum_scale: int | None = None
-) -> DataFrame:
-    """Bucket measures kept in Spark's state store; a bucket is closed ``delay`` after its end.
+def running_measures(trades: DataFrame, bucket: str = "1 minute", sum_scale: int | None = None) -> DataFrame:
+    """Bucket measures of a stream with a watermark, kept in Spark's state store.
 
-    Append mode emits closed buckets once, update mode emits every change.
+    Append mode emits a bucket once the watermark has passed its end, update mode every change. The
+    group is the window itself, not its start, because only the window carries the watermark.
     """
-    return measures.summarise(trades.withWatermark("event_time", delay), bucket, sum_scale)
+    grouped = trades.groupBy(F.window("event_time", bucket).alias("span"), "symbol")
+    measured = grouped.agg(*measures.bucket_measures(sum_scale))
+    return measured.select(F.col("span.start").alias("bucket"), *[c for c in measured.columns if c != "span"])
