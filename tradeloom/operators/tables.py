@@ -28,5 +28,7 @@ def register_tables(spark: SparkSession, locations: Mapping[str, str], database:
         # Dropping an external table leaves its files alone.
         spark.sql(f"DROP TABLE IF EXISTS {table}")
         spark.catalog.createTable(table, path=path, source="parquet")
+        if any(column.isPartition for column in spark.catalog.listColumns(table)):
+            spark.catalog.recoverPartitions(table)
         names.append(table.replace("`", ""))
     return names

@@ -467,7 +467,16 @@ def whale_last_hour(spark, sf_dir):
 
 
 def _summary_inputs(spark, sf_dir):
-    return ohlc(spark, sf_dir), maker_taker_flow(spark, sf_dir), _live_whales(spark, sf_dir), vwap(spark, sf_dir)
+    """The derived tables a dashboard reads: one pass over the trades, written once, serves three."""
+    folder = scratch_dir(spark, "measures")
+    measures.summarise(market.live_trades(spark, sf_dir), sum_scale=SCALE).write.parquet(folder)
+    wide = spark.read.schema(schemas.partial_schema(SCALE)).parquet(folder)
+    return (
+        measures.candles(wide, SCALE),
+        measures.taker_flow(wide, SCALE),
+        _live_whales(spark, sf_dir),
+        measures.average_prices(wide, SCALE),
+    )
 
 
 def _flat(summary: DataFrame) -> DataFrame:
