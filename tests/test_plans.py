@@ -10,6 +10,7 @@ from tradeloom.functions import measures
 from tradeloom.operators import merge, normalize, reads, signals
 from tradeloom.plans.queries import QUERIES
 from tradeloom.session import scratch_dir
+from tradeloom.streaming.batches import BatchTable
 
 
 def plan(frame) -> str:
@@ -77,3 +78,12 @@ def test_no_cross_joins(spark, name):
 
 def test_scratch_is_in_the_shared_folder(spark):
     assert scratch_dir(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
+
+
+def test_time_filters_prune_periods(spark, trades, tmp_path):
+    table = BatchTable(str(tmp_path), schemas.SILVER, "event_time")
+    table.write(trades(("a", "X", 1, 1, 0, True), ("b", "X", 1, 1, 40 * 86400, True)), 0)
+    recent = table.read(spark, since="2024-02-03")
+    scan = re.search(r"PartitionFilters: \[(.*?)\], PushedFilters: \[(.*?)\]", plan(recent))
+    assert "period" in scan[1] and "GreaterThanOrEqual(event_time" in scan[2]
+    assert [r.event_id for r in recent.collect()] == ["b"]

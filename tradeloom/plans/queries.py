@@ -24,6 +24,9 @@ LIVE_THRESHOLD = 10000.0
 # The history spans seven years and one batch holds them all.
 BY_YEAR = Settings(sum_scale=SCALE, period="year")
 
+# Bytes of new files per source a micro-batch may take on; the test tables fit in one.
+STREAM_LIMIT = {"maxBytesPerTrigger": str(2**40)}
+
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
@@ -107,7 +110,7 @@ def bronze_batch_scan(spark, sf_dir):
 @query
 def bronze_stream_scan(spark, sf_dir):
     folder = scratch_dir(spark, "bronze")
-    events = raw.open_bus(spark, "parquet", schema=market.EVENTS, path=f"{sf_dir}/events*.parquet")
+    events = raw.open_bus(spark, "parquet", STREAM_LIMIT, market.EVENTS, path=f"{sf_dir}/events*.parquet")
     live = raw.decode_payload(market.live_messages(events))
     raw.append_live(live, folder, f"{folder}/checkpoint", availableNow=True).awaitTermination()
     return spark.read.schema(schemas.LIVE).parquet(f"{folder}/live")
@@ -367,8 +370,8 @@ def gold_replayed_batches(spark, sf_dir):
 def _streamed(spark, sf_dir, label: str) -> Medallion:
     """Both tables as one raw stream through the whole chain."""
     lines = market.table(spark, sf_dir, "lineitem").schema
-    history = market.history_rows(spark.readStream.schema(lines).parquet(f"{sf_dir}/lineitem*.parquet"))
-    events = raw.open_bus(spark, "parquet", schema=market.EVENTS, path=f"{sf_dir}/events*.parquet")
+    history = market.history_rows(spark.readStream.options(**STREAM_LIMIT).schema(lines).parquet(f"{sf_dir}/lineitem*.parquet"))
+    events = raw.open_bus(spark, "parquet", STREAM_LIMIT, market.EVENTS, path=f"{sf_dir}/events*.parquet")
     live = raw.decode_payload(market.live_messages(events))
     folder = scratch_dir(spark, label)
     written = Medallion(folder, BY_YEAR)
@@ -404,7 +407,7 @@ def stream_whale(spark, sf_dir):
 @query
 def stream_ohlc_watermarked(spark, sf_dir):
     """Candles out of Spark's state store: an hour is emitted once closed, the newest stay open."""
-    events = raw.open_bus(spark, "parquet", schema=market.EVENTS, path=f"{sf_dir}/events*.parquet")
+    events = raw.open_bus(spark, "parquet", STREAM_LIMIT, market.EVENTS, path=f"{sf_dir}/events*.parquet")
     trades = normalize.valid(normalize.normalize(raw.decode_payload(market.live_messages(events))))
     folder = scratch_dir(spark, "watermarked")
     running = watermarked.running_measures(watermarked.unique_trades(trades, "1 hour"), "1 hour", SCALE)
