@@ -15,8 +15,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tradeloom import schemas
 
-# How the live topic is subscribed to.
-BUS_OPTIONS = {"subscribe": "binance_trades", "startingOffsets": "latest", "failOnDataLoss": "false"}
+# Where a first run starts on the live topic, and that expired messages do not stop it.
+BUS_OPTIONS = {"startingOffsets": "latest", "failOnDataLoss": "false"}
 
 
 def scan_history(spark: SparkSession, path: str) -> DataFrame:
@@ -31,8 +31,13 @@ def open_bus(
     schema: T.StructType | None = None,
     path: str | None = None,
 ) -> DataFrame:
-    """The live source as a stream. Any format with a ``value`` column can stand in for the bus."""
-    reader = spark.readStream.format(format).options(**(BUS_OPTIONS if format == "kafka" else {}), **(options or {}))
+    """The live source as a stream. Any format with a ``value`` column can stand in for the bus.
+
+    For Kafka ``options`` has to name the servers (``kafka.bootstrap.servers``) and the topic
+    (``subscribe``).
+    """
+    defaults = BUS_OPTIONS if format == "kafka" else {}
+    reader = spark.readStream.format(format).options(**{**defaults, **(options or {})})
     return (reader.schema(schema) if schema else reader).load(path)
 
 
