@@ -5,7 +5,7 @@ from dataclasses import replace
 import pytest
 from pyspark.sql import functions as F
 
-from tests.conftest import rows_of, same
+from tests.conftest import same
 from tradeloom import schemas
 from tradeloom.operators import normalize, signals, tables
 from tradeloom.sources import raw

@@ -109,6 +109,7 @@ def first_per_id(trades: DataFrame) -> DataFrame:
     Spark turns rank-and-filter into a group limit that runs before the shuffle too, so an id that
     was sent a billion times leaves one row per map task.
     """
-    order = [F.col(c).asc_nulls_first() for c in ("event_time", "price", "quantity", "quote_qty", "is_buyer_maker", "symbol")]
+    columns = ("event_time", "price", "quantity", "quote_qty", "is_buyer_maker", "symbol")
+    order = [F.col(c).asc_nulls_first() for c in columns]
     ranked = trades.withColumn("_rank", F.row_number().over(Window.partitionBy("event_id").orderBy(*order)))
     return ranked.filter("_rank = 1").drop("_rank")

@@ -370,7 +370,8 @@ def gold_replayed_batches(spark, sf_dir):
 def _streamed(spark, sf_dir, label: str) -> Medallion:
     """Both tables as one raw stream through the whole chain."""
     lines = market.table(spark, sf_dir, "lineitem").schema
-    history = market.history_rows(spark.readStream.options(**STREAM_LIMIT).schema(lines).parquet(f"{sf_dir}/lineitem*.parquet"))
+    reader = spark.readStream.options(**STREAM_LIMIT).schema(lines)
+    history = market.history_rows(reader.parquet(f"{sf_dir}/lineitem*.parquet"))
     events = raw.open_bus(spark, "parquet", STREAM_LIMIT, market.EVENTS, path=f"{sf_dir}/events*.parquet")
     live = raw.decode_payload(market.live_messages(events))
     folder = scratch_dir(spark, label)

@@ -83,8 +83,9 @@ def history_rows(lines: DataFrame) -> DataFrame:
 
 def history_trades(spark: SparkSession, sf_dir: str, *extra: str) -> DataFrame:
     """Clean trades, ids not yet unique; ``extra`` line-item columns ride along."""
+    line = F.concat(F.col("l_orderkey").cast("string"), F.lit("-"), F.col("l_linenumber").cast("string"))
     return table(spark, sf_dir, "lineitem").select(
-        F.concat(F.lit("batch:"), F.col("l_orderkey").cast("string"), F.lit("-"), F.col("l_linenumber").cast("string")).alias("event_id"),
+        F.concat(F.lit("batch:"), line).alias("event_id"),
         F.lit(schemas.DEFAULT_SYMBOL).alias("symbol"),
         (F.col("l_extendedprice") / F.col("l_quantity")).alias("price"),
         F.col("l_quantity").alias("quantity"),

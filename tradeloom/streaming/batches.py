@@ -75,7 +75,9 @@ class BatchTable:
     def read_batch(self, spark: SparkSession, batch: int) -> DataFrame:
         return self._open(spark, [(batch, batch)]).select(*self.columns)
 
-    def compact(self, spark: SparkSession, up_to: int, fold: Callable[[DataFrame], DataFrame] = lambda rows: rows) -> None:
+    def compact(
+        self, spark: SparkSession, up_to: int, fold: Callable[[DataFrame], DataFrame] = lambda rows: rows
+    ) -> None:
         """Write all batches up to an id as one; readers take it from then on."""
         chosen = self.chosen(spark, up_to)
         if len(chosen) > 1:
