@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -17,8 +16,6 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
 }
 
-_local_scratch: dict[str, str] = {}
-
 
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings to a session somebody else has started."""
@@ -43,17 +40,10 @@ def local_session(cores: str = "*", app: str = "tradeloom", **settings: str) ->
 
 
 def scratch_dir(spark: SparkSession, label: str) -> str:
-    """A new folder below ``spark.checkpoint.dir``, the storage every executor can reach.
+    """A new folder in storage that every executor can reach.
 
-    Only a local master may go without that setting; a cluster without it is refused, because a
-    folder on the driver's disk would be invisible to the executors.
+    It lies below ``spark.checkpoint.dir``; without that setting below ``spark.sql.warehouse.dir``, the
+    storage the session itself names for its tables. A folder of the driver's machine is never used.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        context = spark.sparkContext
-        if not context.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-        if context.applicationId not in _local_scratch:
-            _local_scratch[context.applicationId] = tempfile.mkdtemp(prefix="tradeloom-")
-        base = _local_scratch[context.applicationId]
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
