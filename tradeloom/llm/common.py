@@ -29,6 +29,14 @@ def written(frame: DataFrame, label: str) -> DataFrame:
     return frame.sparkSession.read.schema(frame.schema).parquet(folder)
 
 
+def with_rows(docs: DataFrame, label: str) -> tuple[DataFrame, str]:
+    """The rows with a number each, written so that every later step sees the same numbers; and its column."""
+    name = "row"
+    while name in docs.columns:
+        name = f"_{name}"
+    return written(docs.withColumn(name, F.monotonically_increasing_id()), label), name
+
+
 def text_of(name: str) -> Column:
     return F.coalesce(F.col(name).cast("string"), F.lit(""))
 

@@ -17,7 +17,15 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tradeloom.llm.common import FLUSH_BYTES, hash_bitmap, in_bitmap, small_batches, text_of, written
+from tradeloom.llm.common import (
+    FLUSH_BYTES,
+    hash_bitmap,
+    in_bitmap,
+    small_batches,
+    text_of,
+    with_rows,
+    written,
+)
 
 #: Bits of the quotient within a block.
 QUOTIENT_BITS = 16
@@ -108,7 +116,9 @@ def _filters(block_bits: int):
 
 
 def _blocks(fingerprints: np.ndarray, block_bits: int):
-    blocks = (fingerprints >> np.uint64(64 - block_bits)).astype(np.int64) if block_bits else np.zeros(len(fingerprints), np.int64)
+    blocks = np.zeros(len(fingerprints), dtype=np.int64)
+    if block_bits:
+        blocks = (fingerprints >> np.uint64(64 - block_bits)).astype(np.int64)
     order = np.argsort(blocks, kind="stable")
     bounds = np.flatnonzero(np.diff(blocks[order])) + 1
     rows = []
@@ -178,18 +188,15 @@ def _suspects(bitmap):
     return pick
 
 
-def exact_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """Per row of ``docs``: id, keep_id, group_size, kept, text_sha256.
-
-    Texts are equal when identical after lower-casing A-Z. Of equal texts the row with the largest id
-    stays; a null id is the smallest, and of rows that are equal in id and text exactly one stays. A null text is empty, and all empty texts are one group. An empty table gives no rows.
-    """
-    spark = docs.sparkSession
-    source = docs.select(F.col(id_column).alias("id"), text_of(text_column).alias("text"))
-    numbered = source.select(F.monotonically_increasing_id().alias("row"), "id", "text")
-    id_type = source.schema["id"].dataType.simpleString()
+def decisions(numbered: DataFrame) -> DataFrame:
+    """(row, id, keep_id, group_size, kept, text_sha256) from (row, id, text), row numbers being unique."""
+    spark = numbered.sparkSession
+    id_type = numbered.schema["id"].dataType.simpleString()
     described = written(
-        numbered.mapInArrow(_describe, f"row bigint, id {id_type}, fingerprint bigint, sha256 string"), "dedup-rows"
+        numbered.select("row", "id", "text").mapInArrow(
+            _describe, f"row bigint, id {id_type}, fingerprint bigint, sha256 string"
+        ),
+        "dedup-rows",
     )
     repeated = written(repeated_fingerprints(described), "dedup-repeated")
 
@@ -199,7 +206,7 @@ def exact_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: st
     def pick(batches):
         return _suspects(bitmap.value)(batches)
 
-    suspects = source.select("text").mapInArrow(pick, "fingerprint bigint, sha256 string, body binary")
+    suspects = numbered.select("text").mapInArrow(pick, "fingerprint bigint, sha256 string, body binary")
     compared = (
         suspects.groupBy("fingerprint", "sha256", "body")
         .agg(F.lit(1).alias("one"))
@@ -222,10 +229,33 @@ def exact_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: st
     )
     joined = described.join(groups, ["fingerprint", "sha256"], "left")
     return joined.select(
-        F.col("id").alias(id_column),
+        "row",
+        "id",
         F.when(F.col("size").isNull(), F.col("id")).otherwise(F.col("last.id")).alias("keep_id"),
         F.coalesce("size", F.lit(1)).cast("bigint").alias("group_size"),
         F.coalesce(F.col("last.row") == F.col("row"), F.lit(True)).alias("kept"),
         F.col("sha256").alias("text_sha256"),
-        "row",
-    ).drop("row")
+    )
+
+
+def exact_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """Per row of ``docs``: id, keep_id, group_size, kept, text_sha256.
+
+    Texts are equal when identical after lower-casing A-Z. Of equal texts the row with the largest id
+    stays; a null id is the smallest, and of rows that are equal in id and text exactly one stays. A null
+    text is empty, and all empty texts are one group. An empty table gives no rows.
+    """
+    numbered = docs.select(
+        F.monotonically_increasing_id().alias("row"), F.col(id_column).alias("id"), text_of(text_column).alias("text")
+    )
+    return decisions(numbered).drop("row").withColumnRenamed("id", id_column)
+
+
+def drop_exact_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """The rows of ``docs`` that stay, with all their columns."""
+    numbered, name = with_rows(docs, "dedup-documents")
+    found = decisions(
+        numbered.select(F.col(name).alias("row"), F.col(id_column).alias("id"), text_of(text_column).alias("text"))
+    )
+    kept = found.filter("kept").select(F.col("row").alias(name))
+    return numbered.join(kept, name, "left_semi").select(*docs.columns)

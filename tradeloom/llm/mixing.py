@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tradeloom.llm.common import numbered, text_of, written
+from tradeloom.llm.common import numbered, text_of, with_rows, written
 
 #: Documents of a block, that is of one flight in one task.
 BLOCK = 4096
@@ -149,49 +149,25 @@ def balanced_sample(units: DataFrame, seed: int) -> DataFrame:
             return decided
 
 
-def mix(
-    docs: DataFrame,
-    weights: Column | None = None,
-    share: float = 1.5,
-    limit: float = 2.0,
-    id_column: str = "doc_id",
-    text_column: str = "text",
-    source_column: str = "source",
-    seed: int = 7,
-) -> DataFrame:
-    """Per row of ``docs``: id, text digest, size, source_size, target, copies, taken.
+def _default_weight() -> Column:
+    return F.element_at(F.array(F.lit(5), F.lit(2), F.lit(1)), (F.col("number") % 3 + 1).cast("int"))
 
-    Size counts the words of a text, a null text has none. ``weights`` is an expression over ``number``, a
-    source's place in code-point order from 0, null last; by default 5, 2, 1, repeating. ``copies`` times
-    the size is ``taken``, the words the mix takes; a document gets the whole part of its source's ratio or
-    one more. A source without words has target 0 and its documents one copy each. The choice depends on
-    ids, texts and the seed only; rows that are equal in both are interchangeable. An empty table gives no rows.
-    """
-    weights = F.element_at(F.array(F.lit(5), F.lit(2), F.lit(1)), (F.col("number") % 3 + 1).cast("int")) if weights is None else weights
-    id_, text = F.col(id_column), text_of(text_column)
-    rows = written(
-        docs.select(
-            F.monotonically_increasing_id().alias("row"),
-            id_.alias("id"),
-            F.col(source_column).alias("source"),
-            F.regexp_count(text, F.lit(WORDS)).cast("bigint").alias("size"),
-            F.xxhash64(text).alias("digest"),
-        ),
-        "mix-sizes",
-    )
-    sums = rows.groupBy("source").agg(F.sum("size").alias("source_size"))
+
+def plan(sized: DataFrame, weights: Column | None, share: float, limit: float, seed: int) -> DataFrame:
+    """(row, id, size, source_size, target, copies) from written (row, id, source, size, digest)."""
+    sums = sized.groupBy("source").agg(F.sum("size").alias("source_size"))
     ordered = numbered(sums, [F.col("source").asc_nulls_last()], "number", "mix-sources")
-    planned = written(targets(ordered.withColumn("weight", weights.cast("double")), share, limit), "mix-targets")
+    weight = (_default_weight() if weights is None else weights).cast("double")
+    planned = written(targets(ordered.withColumn("weight", weight), share, limit), "mix-targets")
     ratio = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(1.0))
     planned = planned.select(
         F.col("source").alias("from"), "number", "source_size", "target", ratio.alias("ratio")
     ).withColumn("whole", F.floor(F.col("ratio") + _TINY))
     spread = F.shiftrightunsigned(F.xxhash64("id", "digest", "size", F.lit(seed)), 1)
     units = written(
-        rows.join(planned, F.col("source").eqNullSafe(F.col("from"))).select(
+        sized.join(planned, F.col("source").eqNullSafe(F.col("from"))).select(
             "row",
             "id",
-            "digest",
             "size",
             "source_size",
             "target",
@@ -204,16 +180,75 @@ def mix(
     )
     chosen = balanced_sample(units.select("row", "stratum", "size", "spread", "chance"), seed)
     copies = (F.col("whole") + F.coalesce(F.col("picked"), F.lit(0.0))).cast("bigint")
-    return (
-        units.join(chosen.withColumnRenamed("chance", "picked"), "row", "left")
-        .withColumn("copies", copies)
-        .select(
-            F.col("id").alias(id_column),
-            "digest",
-            "size",
-            "source_size",
-            "target",
-            "copies",
-            (F.col("copies") * F.col("size")).alias("taken"),
-        )
+    return units.join(chosen.withColumnRenamed("chance", "picked"), "row", "left").select(
+        "row", "id", "size", "source_size", "target", copies.alias("copies")
+    )
+
+
+def _sized(numbered_docs: DataFrame) -> DataFrame:
+    """(row, id, source, size, digest) from (row, id, source, text)."""
+    size = F.regexp_count("text", F.lit(WORDS)).cast("bigint")
+    return written(
+        numbered_docs.select("row", "id", "source", size.alias("size"), F.xxhash64("text").alias("digest")), "mix-sizes"
+    )
+
+
+def mix(
+    docs: DataFrame,
+    weights: Column | None = None,
+    share: float = 1.5,
+    limit: float = 2.0,
+    id_column: str = "doc_id",
+    text_column: str = "text",
+    source_column: str = "source",
+    seed: int = 7,
+) -> DataFrame:
+    """Per row of ``docs``: id, size, source_size, target, copies, taken.
+
+    Size counts the words of a text, a null text has none. ``weights`` is an expression over ``number``, a
+    source's place in code-point order from 0, null last; by default 5, 2, 1, repeating. ``copies`` times
+    the size is ``taken``, the words the mix takes; a document gets the whole part of its source's ratio or
+    one more. A source without words has target 0 and its documents one copy each. The choice depends on
+    ids, texts and the seed only; rows that are equal in all of them are interchangeable. An empty table
+    gives no rows.
+    """
+    source = docs.select(
+        F.monotonically_increasing_id().alias("row"),
+        F.col(id_column).alias("id"),
+        F.col(source_column).alias("source"),
+        text_of(text_column).alias("text"),
+    )
+    planned = plan(_sized(source), weights, share, limit, seed)
+    return planned.select(
+        F.col("id").alias(id_column),
+        "size",
+        "source_size",
+        "target",
+        "copies",
+        (F.col("copies") * F.col("size")).alias("taken"),
+    )
+
+
+def mixed_documents(
+    docs: DataFrame,
+    weights: Column | None = None,
+    share: float = 1.5,
+    limit: float = 2.0,
+    id_column: str = "doc_id",
+    text_column: str = "text",
+    source_column: str = "source",
+    seed: int = 7,
+) -> DataFrame:
+    """The mix itself: each row of ``docs`` as often as it has copies, with all its columns."""
+    held, name = with_rows(docs, "mix-documents")
+    source = held.select(
+        F.col(name).alias("row"),
+        F.col(id_column).alias("id"),
+        F.col(source_column).alias("source"),
+        text_of(text_column).alias("text"),
     )
+    planned = plan(_sized(source), weights, share, limit, seed)
+    times = f"{name}_copies"
+    copies = planned.filter("copies > 0").select(F.col("row").alias(name), F.col("copies").alias(times))
+    repeated = held.join(copies, name).withColumn(times, F.explode(F.sequence(F.lit(1), F.col(times))))
+    return repeated.select(*docs.columns)

@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tradeloom.llm.common import ascii_words, small_batches, text_of, written
+from tradeloom.llm.common import ascii_words, small_batches, text_of, with_rows, written
 from tradeloom.llm.components import components
 
 SEED = 42
@@ -69,8 +69,8 @@ def _fingerprints(shingle_words: int):
         for batch in small_batches(batches):
             prints = [simhash(t, shingle_words) for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("id"), pa.array(np.array(prints, dtype=np.uint64).view(np.int64))],
-                names=["id", "print"],
+                [batch.column("row"), batch.column("id"), pa.array(np.array(prints, dtype=np.uint64).view(np.int64))],
+                names=["row", "id", "print"],
             )
 
     return run
@@ -264,6 +264,21 @@ def links_between(prints: DataFrame, distance: int = MAX_DISTANCE) -> DataFrame:
     return found.filter("NOT hot").select("a", "b").union(dealt)
 
 
+def groups(numbered: DataFrame, shingle_words: int = SHINGLE_WORDS, distance: int = MAX_DISTANCE) -> DataFrame:
+    """(row, id, print, root) from (row, id, text); rows with equal roots are one group."""
+    id_type = numbered.schema["id"].dataType.simpleString()
+    rows = written(
+        numbered.select("row", "id", "text").mapInArrow(
+            _fingerprints(shingle_words), f"row bigint, id {id_type}, print bigint"
+        ),
+        "simhash",
+    )
+    roots = components(links_between(rows.select("print").distinct(), distance))
+    return rows.join(roots.withColumnRenamed("node", "print"), "print", "left").select(
+        "row", "id", "print", F.coalesce("root", "print").alias("root")
+    )
+
+
 def near_duplicates(
     docs: DataFrame,
     id_column: str = "doc_id",
@@ -274,21 +289,35 @@ def near_duplicates(
     """Per row of ``docs``: id, fingerprint (16 hex digits), component_id (smallest id reachable over links).
 
     Texts of fewer words than a shingle hash as a whole; empty and null texts have fingerprint zero and are
-    linked like any other. Null ids are never a component's id unless all its ids are null. Equal rows all stay.
-    An empty table gives no rows.
+    linked like any other. A null id is a component's id only if all its ids are null. Repeated rows are in
+    one component. An empty table gives no rows.
     """
-    source = docs.select(F.col(id_column).alias("id"), text_of(text_column).alias("text"))
-    id_type = source.schema["id"].dataType.simpleString()
-    rows = written(source.mapInArrow(_fingerprints(shingle_words), f"id {id_type}, print bigint"), "simhash")
-    prints = rows.groupBy("print").agg(F.min("id").alias("first"))
-    roots = components(links_between(prints.select("print"), distance))
-    members = prints.join(roots.withColumnRenamed("node", "print"), "print", "left").withColumn(
-        "root", F.coalesce("root", "print")
+    numbered = docs.select(
+        F.lit(0).cast("bigint").alias("row"), F.col(id_column).alias("id"), text_of(text_column).alias("text")
     )
-    least = members.groupBy("root").agg(F.min("first").alias("component"))
-    of_print = members.join(least, "root").select("print", "component")
-    return rows.join(of_print, "print").select(
+    found = groups(numbered, shingle_words, distance)
+    least = found.groupBy("root").agg(F.min("id").alias("component"))
+    return found.join(least, "root").select(
         F.col("id").alias(id_column),
         F.lpad(F.lower(F.hex("print")), 16, "0").alias("fingerprint"),
         F.col("component").alias("component_id"),
     )
+
+
+def drop_near_duplicates(
+    docs: DataFrame,
+    id_column: str = "doc_id",
+    text_column: str = "text",
+    shingle_words: int = SHINGLE_WORDS,
+    distance: int = MAX_DISTANCE,
+) -> DataFrame:
+    """One row of each group, that with the smallest id (a null id only if there is no other), with all its columns."""
+    numbered, name = with_rows(docs, "simhash-documents")
+    found = groups(
+        numbered.select(F.col(name).alias("row"), F.col(id_column).alias("id"), text_of(text_column).alias("text")),
+        shingle_words,
+        distance,
+    )
+    first = F.min(F.struct(F.col("id").isNull().alias("without"), "id", "row")).alias("first")
+    kept = found.groupBy("root").agg(first).select(F.col("first.row").alias(name))
+    return numbered.join(kept, name, "left_semi").select(*docs.columns)

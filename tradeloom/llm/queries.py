@@ -13,11 +13,13 @@ from tradeloom.llm import (
     mixing,
     near_dedup,
     packing,
+    quality,
     secret_scan,
     sketches,
+    suffix_tree,
     token_counts,
 )
-from tradeloom.session import configure
+from tradeloom.session import configure, ship_package
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -26,7 +28,8 @@ ORACLES: dict[str, str] = {}
 
 def query(build: Query) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return build(configure(spark), sf_dir)
+        ship_package(configure(spark))
+        return build(spark, sf_dir)
 
     run.__name__, run.__doc__ = build.__name__, build.__doc__
     QUERIES[build.__name__] = run
@@ -44,6 +47,11 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+@query
+def op1_suffix_tree_scoring(spark, sf_dir):
+    return suffix_tree.score(_documents(spark, sf_dir))
+
+
 @query
 def op2_token_counts(spark, sf_dir):
     return token_counts.token_counts(_documents(spark, sf_dir), vocabulary("piece_bpe_32k.model"))
@@ -89,6 +97,11 @@ def op8_exact_dedup(spark, sf_dir):
     return exact_dedup.exact_duplicates(_documents(spark, sf_dir))
 
 
+@query
+def op9_quality_classifier(spark, sf_dir):
+    return quality.classify(_documents(spark, sf_dir))
+
+
 @query
 def op10_document_fingerprints(spark, sf_dir):
     return sketches.fingerprints(_documents(spark, sf_dir))
