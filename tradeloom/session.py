@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -16,6 +19,8 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
 }
 
+_shipped: set[str] = set()
+
 
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings to a session somebody else has started."""
@@ -39,6 +44,20 @@ def local_session(cores: str = "*", app: str = "tradeloom", **settings: str) ->
     return configure(builder.getOrCreate())
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors once per application, so that tasks can import it anywhere."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    package = Path(__file__).resolve().parent
+    archive = Path(tempfile.mkdtemp(prefix="package-")) / "tradeloom.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for file in sorted(package.rglob("*.py")):
+            out.write(file, file.relative_to(package.parent))
+    context.addPyFile(str(archive))
+    _shipped.add(context.applicationId)
+
+
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A new folder in storage that every executor can reach.
 
