@@ -231,7 +231,7 @@ def _grow(tree: Tree, entries: pa.Table, min_gain: float) -> np.ndarray:
     share = (n - DISCOUNT) / level.totals[context]
     size = len(level.contexts)
     level.pairs, level.shares = keys, share
-    level.backoff = np.clip(1.0 - np.bincount(context, weights=share, minlength=size), 1e-12, 1.0)
+    level.backoff = np.clip(1.0 - np.bincount(context, weights=share, minlength=size).astype(float), 1e-12, 1.0)
 
     # The parent is the context without its first word.
     shorter = Tree(tree.words, tree.counts, tree.total, tree.distinct, tree.root_discount, tree.levels[:-1])
@@ -239,7 +239,7 @@ def _grow(tree: Tree, entries: pa.Table, min_gain: float) -> np.ndarray:
     below = predict(shorter, symbol, parents)
     mine = np.where(symbol >= 0, share, share / tree.rare_mass()) + level.backoff[context] * below
     # The gain in log-likelihood on the context's own counts: its divergence from the parent times its count.
-    gain = np.bincount(context, weights=n * np.log(mine / below), minlength=size)
+    gain = np.bincount(context, weights=n * np.log(mine / below), minlength=size).astype(float)
     gain += (level.totals - np.bincount(context, weights=n, minlength=size)) * np.log(level.backoff)
     entries_of = np.bincount(context, minlength=size)
     level.retained = (entries_of > 0) & (gain >= min_gain * (entries_of + 1))
