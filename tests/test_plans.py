@@ -10,7 +10,8 @@ from tradeloom.functions import measures
 from tradeloom.operators import merge, normalize, reads, signals
 from tradeloom.plans.queries import QUERIES
 from tradeloom.session import scratch_dir
-from tradeloom.streaming.batches import BatchTable
+from tradeloom.streaming.batches import PartTable
+from tradeloom.streaming.medallion import Medallion
 
 
 def plan(frame) -> str:
@@ -81,9 +82,33 @@ def test_scratch_is_in_the_shared_folder(spark):
 
 
 def test_time_filters_prune_periods(spark, trades, tmp_path):
-    table = BatchTable(str(tmp_path), schemas.SILVER, "event_time")
-    table.write(trades(("a", "X", 1, 1, 0, True), ("b", "X", 1, 1, 40 * 86400, True)), 0)
-    recent = table.read(spark, since="2024-02-03")
+    table = PartTable(str(tmp_path), schemas.SILVER, "event_time")
+    table.write(trades(("a", "X", 1, 1, 0, True), ("b", "X", 1, 1, 40 * 86400, True)), "p")
+    recent = table.read(spark, ["p"], since="2024-02-03")
     scan = re.search(r"PartitionFilters: \[(.*?)\], PushedFilters: \[(.*?)\]", plan(recent))
     assert "period" in scan[1] and "GreaterThanOrEqual(event_time" in scan[2]
     assert [r.event_id for r in recent.collect()] == ["b"]
+
+
+def test_live_batches_look_only_into_their_periods(spark, trades, tmp_path):
+    """Other periods are pruned; ids of files are looked up everywhere, but only if the batch has some."""
+    store = Medallion(str(tmp_path))
+    store.store(trades(("stream:X:1", "X", 1, 1, 0, True)).selectExpr("*", "CAST(NULL AS STRING) AS reject_reason"), 0)
+    live, file = trades(("stream:X:2", "X", 1, 1, 40 * 86400, True)), trades(("batch:2", "X", 1, 1, 0, True))
+    known = plan(store._known_trades(spark, live, store.parts(spark)))
+    assert known.count("FileScan") == 1 and re.search(r"PartitionFilters: \[[^\]]*period", known)
+    everywhere = plan(store._known_trades(spark, file, store.parts(spark)))
+    assert everywhere.count("FileScan") == 1 and "StringStartsWith(event_id,batch:)" in everywhere
+    assert "PartitionFilters: []" in everywhere
+
+
+@pytest.mark.parametrize("name", ["ohlc_latest", "flow_latest", "vwap_latest", "whale_latest", "silver_latest", "sql_latest_candles"])
+def test_readers_scan_written_tables(spark, name):
+    text = plan(QUERIES[name](spark, SF_DIR))
+    assert "TakeOrderedAndProject" in text and "FileScan parquet" in text
+    assert "Aggregate" not in text and "Exchange" not in text and "Window" not in text
+
+
+def test_returned_merges_read_the_target_directly(silver, trades):
+    text = plan(merge.insert_if_absent(silver, trades(("b", "X", 1, 1, 0, True))))
+    assert text.count("FileScan") == 2 and "LeftSemi" not in text

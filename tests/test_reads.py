@@ -42,7 +42,7 @@ def test_good_symbols():
     assert reads.check_symbol(" btcusdt ") == "BTCUSDT"
 
 
-@pytest.mark.parametrize("limit", [0, -1, 5001, "ten", None, "1.5"])
+@pytest.mark.parametrize("limit", [0, -1, 5001, "ten", None, "1.5", 2.7, True, float("inf")])
 def test_bad_limits(limit):
     with pytest.raises(ValueError):
         reads.check_limit(limit, 5000)
@@ -123,6 +123,16 @@ def test_named_tables(spark, trades, tmp_path):
     assert {r.tableName for r in spark.sql("SHOW TABLES IN gold_test").collect()} == {"ohlc_1min", "maker_taker_flow_1min"}
 
 
+def test_managed_tables_are_refused(spark, trades, tmp_path):
+    ohlc = signals.ohlc(trades(*MINUTES))
+    ohlc.write.parquet(f"{tmp_path}/ohlc")
+    spark.sql("CREATE DATABASE IF NOT EXISTS gold_managed")
+    ohlc.write.mode("overwrite").saveAsTable("gold_managed.ohlc_1min")
+    with pytest.raises(ValueError):
+        tables.register_tables(spark, {"ohlc": f"{tmp_path}/ohlc"}, "gold_managed")
+    assert spark.table("gold_managed.ohlc_1min").count() == 4
+
+
 def test_row_counts(trades):
     candles, flow, whales, vwap = gold(trades(*MINUTES))
     counted = reads.row_counts({"ohlc": candles, "whale": whales, "flow": flow, "vwap": vwap})

@@ -1,13 +1,16 @@
 from datetime import datetime
 
+import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from tests.conftest import rows_of, same
+from tests.conftest import SF_DIR, rows_of, same
 from tradeloom.functions import measures
 from tradeloom.operators import merge, signals
+from tradeloom.plans import queries
 
+TIMES = ["open_event_time", "close_event_time"]
 T0 = datetime(2024, 1, 1)
 
 
@@ -46,9 +49,37 @@ def test_threshold_is_strict(trades):
     assert rows_of(signals.large_trades(some).select("event_id", "trade_value_usdt")) == [("b", 50000.5)]
 
 
-def test_fixed_point_sums_do_not_depend_on_order(trades):
+def test_sums_are_exact_and_keep_small_amounts(trades):
     rows = [(f"i{n}", "X", 0.1, 1, 0, True) for n in range(10)]
-    assert signals.ohlc(trades(*rows), sum_scale=4).first().total_quote_qty == 1.0
+    assert signals.ohlc(trades(*rows)).first().total_quote_qty == 1.0
+
+
+def test_small_quantities_count(trades):
+    row = signals.vwap(trades(("a", "X", 30000.5, 0.00004, 0, True), ("b", "X", 30000.5, 0.00000001, 1, False))).first()
+    assert row.total_quantity == 0.00004001 and row.vwap_price == pytest.approx(30000.5)
+
+
+def test_upsert_refuses_repeated_source_keys_and_unknown_names(spark):
+    target = spark.createDataFrame([(1, "a")], "k int, name string")
+    twins = spark.createDataFrame([(1, "x"), (1, "y"), (2, "z")], "k int, name string")
+    with pytest.raises(Exception, match="two source rows for one key"):
+        merge.upsert(target, twins, ["k"], {"name": F.col("source.name")}).collect()
+    for update, insert in (({"nome": F.lit(1)}, None), ({}, {"nome": F.lit(1)})):
+        with pytest.raises(ValueError, match="nome"):
+            merge.upsert(target, target, ["k"], update, insert)
+    with pytest.raises(ValueError, match="q"):
+        merge.upsert(target, target, ["q"], {})
+
+
+def test_both_sides_of_every_merge_rule_fire(spark):
+    """In the registered fixture some source rows open earlier, some close later, and some do neither."""
+    early, late = (
+        signals.ohlc(half, "1 hour").select("symbol", "candle_time", *[F.col(c).alias(c + side) for c in TIMES])
+        for half, side in zip(queries._halves(spark, SF_DIR), ("", "_new"))
+    )
+    both = early.join(late, ["symbol", "candle_time"])
+    for rule in ("open_event_time_new < open_event_time", "close_event_time_new > close_event_time"):
+        assert both.filter(rule).count() and both.filter(f"NOT ({rule})").count()
 
 
 def test_upsert_updates_inserts_and_keeps(spark):
@@ -104,5 +135,5 @@ trade_rows = st.lists(
 def test_any_split_combines_to_the_whole(trades, rows):
     named = [(f"i{n}", s, p / 10, q, sec, flag) for n, (s, p, q, sec, flag, _) in enumerate(rows)]
     parts = [[named[n] for n, row in enumerate(rows) if row[5] == batch] for batch in range(3)]
-    summed = [measures.summarise(trades(*part), sum_scale=4) for part in parts]
-    same(merge.merge_partials(*reversed(summed)), measures.summarise(trades(*named), sum_scale=4).select(*summed[0].columns))
+    summed = [measures.summarise(trades(*part)) for part in parts]
+    same(merge.combine_partials(*reversed(summed)), measures.summarise(trades(*named)).select(*summed[0].columns))

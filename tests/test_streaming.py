@@ -1,5 +1,4 @@
 import json
-import os
 from dataclasses import replace
 
 import pytest
@@ -9,10 +8,10 @@ from tests.conftest import same
 from tradeloom import schemas
 from tradeloom.operators import normalize, signals, tables
 from tradeloom.sources import raw
-from tradeloom.streaming import watermarked
+from tradeloom.streaming.batches import Markers
 from tradeloom.streaming.medallion import Medallion, Settings
 
-EXACT = Settings(sum_scale=4, large_trade_value=150.0)
+EXACT = Settings(large_trade_value=150.0, fan_out=2)
 T0 = 1704067200000
 
 
@@ -47,45 +46,158 @@ def expected(spark, batches):
 
 def check_all(spark, written, trades, as_of=None):
     same(written.trades(spark, as_of), trades)
-    same(written.ohlc(spark, as_of), signals.ohlc(trades, sum_scale=4))
-    same(written.flow(spark, as_of), signals.maker_taker_flow(trades, sum_scale=4))
-    same(written.vwap(spark, as_of), signals.vwap(trades, sum_scale=4))
+    same(written.ohlc(spark, as_of), signals.ohlc(trades))
+    same(written.flow(spark, as_of), signals.maker_taker_flow(trades))
+    same(written.vwap(spark, as_of), signals.vwap(trades))
     same(written.whales(spark, as_of), signals.large_trades(trades, 150.0))
 
 
-@pytest.mark.parametrize("id_fixes_time", [False, True])
-def test_batches_replays_and_late_trades(spark, tmp_path, id_fixes_time):
-    written = Medallion(str(tmp_path), replace(EXACT, id_fixes_time=id_fixes_time))
+@pytest.mark.parametrize("live_ids_fix_time", [False, True])
+def test_batches_replays_and_late_trades(spark, tmp_path, live_ids_fix_time):
+    written = Medallion(str(tmp_path), replace(EXACT, live_ids_fix_time=live_ids_fix_time))
     for number in (0, 1, 1, 0, 1, 2, 2):
         written.process(frame(spark, BATCHES[number]), number)
     check_all(spark, written, expected(spark, BATCHES))
-    assert {r.reject_reason for r in written.rejected.read(spark).collect()} == {"bad_price", "bad_quantity"}
+    assert {r.reject_reason for r in written.quarantine(spark).collect()} == {"bad_price", "bad_quantity"}
 
 
 def test_as_of_and_compaction(spark, tmp_path):
     written = Medallion(str(tmp_path), EXACT)
     for number, messages in enumerate(BATCHES):
         written.process(frame(spark, messages), number)
-    check_all(spark, written, expected(spark, BATCHES[:2]), as_of=1)
-    written.compact(spark, up_to=1)
-    assert written.partials.chosen(spark) == [(0, 1), (2, 2)]
+    # The first two batches were folded when the second was committed.
+    assert len(written.parts(spark)) == 2
     check_all(spark, written, expected(spark, BATCHES))
+    check_all(spark, written, expected(spark, BATCHES[:2]), as_of=1)
     check_all(spark, written, expected(spark, BATCHES[:1]), as_of=0)
-    written.compact(spark, up_to=2)
-    assert written.silver.chosen(spark) == [(0, 2)]
-    check_all(spark, written, expected(spark, BATCHES))
+    written.process(frame(spark, [message(9, 5, 1)]), 3)
+    assert len(written.parts(spark)) == 1
+    check_all(spark, written, expected(spark, [*BATCHES, [message(9, 5, 1)]]))
+    check_all(spark, written, expected(spark, BATCHES), as_of=2)
     since = written.ohlc(spark, since="2024-01-01 00:01:00")
     assert [r.open_price for r in since.collect()] == [50.0]
 
 
-def test_unfinished_batches_are_not_read(spark, tmp_path):
+def test_compaction_ends_at_the_last_commit(spark, tmp_path):
+    """Folding more than is there is refused, and a batch that comes later is read."""
+    written = Medallion(str(tmp_path), replace(EXACT, fan_out=8))
+    for number in (0, 1):
+        written.process(frame(spark, BATCHES[number]), number)
+    for up_to in (2, 3, -1):
+        with pytest.raises(ValueError):
+            written.compact(spark, up_to=up_to)
+    folding = Medallion(str(tmp_path), EXACT)
+    folding.compact(spark, up_to=1)
+    assert len(folding.parts(spark)) == 1
+    folding.process(frame(spark, BATCHES[2]), 2)
+    check_all(spark, folding, expected(spark, BATCHES))
+
+
+def test_a_batch_that_dies_before_its_commit_counts_nowhere(spark, tmp_path, monkeypatch):
     written = Medallion(str(tmp_path), EXACT)
-    written.process(frame(spark, BATCHES[0]), 0)
-    written.process(frame(spark, BATCHES[1]), 1)
-    os.remove(f"{tmp_path}/partials/from_batch=1/to_batch=1/_SUCCESS")
-    same(written.ohlc(spark), signals.ohlc(expected(spark, BATCHES[:1]), sum_scale=4))
-    written.process(frame(spark, BATCHES[1]), 1)
+    for number in (0, 1):
+        written.process(frame(spark, BATCHES[number]), number)
+
+    def die(*_):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(Markers, "commit", die)
+        with pytest.raises(RuntimeError):
+            written.process(frame(spark, BATCHES[2]), 2)
     check_all(spark, written, expected(spark, BATCHES[:2]))
+    written.compact(spark)
+    written.process(frame(spark, BATCHES[2]), 2)
+    check_all(spark, written, expected(spark, BATCHES))
+
+
+def test_streams_do_not_replace_each_other(spark, tmp_path):
+    """A new checkpoint, or a backfill, starts at 0 again."""
+    written = Medallion(str(tmp_path), EXACT)
+    written.process(frame(spark, BATCHES[0]), 0, "first")
+    written.process(frame(spark, BATCHES[1]), 0, "second")
+    written.process(frame(spark, BATCHES[0]), 0, "first")
+    written.process(frame(spark, BATCHES[2]), 0, "third")
+    check_all(spark, written, expected(spark, BATCHES))
+
+
+def test_a_second_writer_is_noticed(spark, tmp_path):
+    markers = Markers(spark, str(tmp_path))
+    markers.commit(0, {"part": "a"})
+    with pytest.raises(Exception, match="exists"):
+        markers.commit(0, {"part": "b"})
+    assert markers.batch(0) == {"part": "a"} and markers.count() == 1
+
+
+def test_periods_do_not_depend_on_the_zone(spark, tmp_path):
+    written = Medallion(str(tmp_path), replace(EXACT, period="day"))
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        written.process(frame(spark, [message(1, 100, 0), message(2, 100, 3600 * 23)]), 0)
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+        assert written.trades(spark, since="2024-01-01 00:00:00").count() == 2
+        assert written.ohlc(spark, since="2024-01-01 12:00:00").count() == 1
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+
+
+def test_any_number_of_batches_gives_the_same_tables(spark, tmp_path):
+    messages = [message(n, 50 + n * 7 % 13, n * 17, "XY"[n % 2], n % 3 == 0, 0.00004) for n in range(40)]
+    whole, split = Medallion(f"{tmp_path}/1", EXACT), Medallion(f"{tmp_path}/4", EXACT)
+    whole.process(frame(spark, messages), 0)
+    for number in range(4):
+        split.process(frame(spark, messages[number::4]), number)
+    for name in ("trades", "ohlc", "flow", "vwap", "whales"):
+        same(getattr(split, name)(spark), getattr(whole, name)(spark))
+    assert all(r.total_quantity > 0 for r in split.ohlc(spark).collect())
+
+
+def test_unusable_numbers_go_to_quarantine(spark, tmp_path):
+    """They stop nothing, and batch and stream agree on what is left."""
+    strange = ["NaN", "Infinity", "-Infinity", "1e300", "1e12"]
+    messages = [message(n, text, n) for n, text in enumerate(strange)]
+    messages += [message(10 + n, 5, n, quantity=text) for n, text in enumerate([*strange, "1e-20"])]
+    messages += [message(30, 90000000000, 1, quantity=90000000000), message(31, 7, 2, quantity=0.00000001)]
+    written = Medallion(str(tmp_path), EXACT)
+    written.process(frame(spark, messages), 0)
+    written.process(frame(spark, [message(32, 8, 3)]), 1)
+    check_all(spark, written, expected(spark, [messages, [message(32, 8, 3)]]))
+    reasons = sorted(r.reject_reason for r in written.quarantine(spark).collect())
+    assert reasons == ["bad_price"] * 5 + ["bad_quantity"] * 6 + ["bad_quote"]
+    assert {r.event_id for r in written.trades(spark).collect()} == {"stream:X:31", "stream:X:32"}
+
+
+def test_file_ids_are_known_on_every_day(spark, tmp_path):
+    def line(number, day):
+        return (number, "90", "2", None, str((T0 + day * 86_400_000) * 1000), "False", "True")
+
+    written = Medallion(str(tmp_path), replace(EXACT, period="day"))
+    history = [spark.createDataFrame([line("7", 0)], schemas.HISTORY), spark.createDataFrame([line("7", 5), line("8", 5)], schemas.HISTORY)]
+    for number, rows in enumerate(history):
+        written.process(rows, number)
+    assert sorted((r.event_id, r.event_time.day) for r in written.trades(spark).collect()) == [("batch:7", 1), ("batch:8", 6)]
+
+
+def test_the_number_of_parts_grows_with_the_logarithm(spark, tmp_path):
+    """Parts named by the batches they hold, folded as ``compact`` folds them."""
+    markers, most = Markers(spark, str(tmp_path), fan_out=4), 0
+    for number in range(150):
+        markers.commit(number, {"part": f"{number}-{number + 1}", "streams": {}})
+        if (number + 1) % 4 == 0:
+            for start, size in markers.open_runs(number + 1):
+                held = [tuple(map(int, p.split("-"))) for p in markers.parts(start + size, start)]
+                assert held[0][0] == start and held[-1][1] == start + size and len(held) <= 4
+                markers.commit_run(start, size, {"part": f"{start}-{start + size}"})
+        most = max(most, len(markers.parts(number + 1)))
+    assert markers.count() == 150 and most <= 3 * 4
+    for count in range(0, 151, 7):
+        at = 0
+        for part in markers.parts(count):
+            start, end = map(int, part.split("-"))
+            assert start == at
+            at = end
+        assert at == count
 
 
 def test_empty_batch_and_empty_tables(spark, tmp_path):
@@ -100,7 +212,7 @@ def test_publish_and_query_by_name(spark, tmp_path):
     written = Medallion(str(tmp_path), EXACT)
     for number, messages in enumerate(BATCHES):
         written.process(frame(spark, messages), number)
-    tables.register_tables(spark, written.publish(spark, 2), "gold_stream")
+        tables.register_tables(spark, written.publish(spark), "gold_stream")
     for name, rows in [("ohlc", written.ohlc(spark)), ("whale", written.whales(spark)), ("flow", written.flow(spark))]:
         same(spark.table(f"gold_stream.{schemas.GOLD_TABLES[name]}").select(*rows.columns), rows)
 
@@ -126,29 +238,16 @@ def test_stream_from_bus_and_files_to_derived_tables(spark, tmp_path):
     for messages in BATCHES[:2]:
         land(spark, topic, messages)
     ingest()
-    batches = len(written.silver.chosen(spark))
+    markers = Markers(spark, out)
+    batches = markers.count()
     assert batches >= 2
     history = normalize.normalize(spark.createDataFrame([line], schemas.HISTORY))
     check_all(spark, written, expected(spark, BATCHES[:2]).unionByName(history))
 
     # Nothing new: a restart adds nothing. A late file: the old candle changes.
     ingest()
-    assert len(written.silver.chosen(spark)) == batches
+    assert markers.count() == batches
     land(spark, topic, BATCHES[2])
     ingest()
     check_all(spark, written, expected(spark, BATCHES).unionByName(history))
     assert raw.read_bronze(spark, bronze).count() == 1 + sum(map(len, BATCHES))
-
-
-def test_watermarked_measures(spark, tmp_path):
-    topic = f"{tmp_path}/topic"
-    land(spark, topic, [message(1, 10, 0), message(2, 30, 59), message(3, 5, 600)])
-    land(spark, topic, [message(2, 30, 59), message(4, 20, 30), message(5, 7, 1300)])
-    bus = raw.open_bus(spark, "parquet", {"maxFilesPerTrigger": "1"}, "value binary", topic)
-    trades = normalize.valid(normalize.normalize(raw.decode_payload(bus)))
-    running = watermarked.running_measures(watermarked.unique_trades(trades, "20 minutes"), sum_scale=4)
-    running.writeStream.format("memory").queryName("closed").outputMode("append").option(
-        "checkpointLocation", f"{tmp_path}/c"
-    ).trigger(availableNow=True).start().awaitTermination()
-    closed = spark.table("closed").collect()
-    assert [(r.opened.price, r.closed.price, r.trade_count) for r in closed] == [(10.0, 30.0, 3)]

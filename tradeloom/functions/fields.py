@@ -9,6 +9,10 @@ from pyspark.sql import functions as F
 _FIRST_SECOND = -62135596800
 _LAST_SECOND = 253402300799
 
+# How ids of live and of file trades start; hashes of the content have no prefix.
+LIVE_ID = "stream:"
+FILE_ID = "batch:"
+
 _UNITS_PER_SECOND = {"s": 1, "ms": 1_000, "us": 1_000_000}
 
 
@@ -47,7 +51,7 @@ def trade_key(stream_id: Column, history_id: Column, symbol: Column, content: li
     """Id of a trade: bus sequence number, else file id, else SHA-256 of what the row says."""
     text = F.concat_ws("||", *[c.cast("string") for c in content])
     return F.coalesce(
-        F.concat(F.lit("stream:"), symbol, F.lit(":"), stream_id.cast("string")),
-        F.concat(F.lit("batch:"), history_id),
+        F.concat(F.lit(LIVE_ID), symbol, F.lit(":"), stream_id.cast("string")),
+        F.concat(F.lit(FILE_ID), history_id),
         F.sha2(text, 256),
     )

@@ -10,23 +10,25 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tradeloom import schemas
+
 BUCKET_KEYS = ["bucket", "symbol"]
 
 
-def _addend(amount: Column, scale: int | None) -> Column:
-    """With a scale, sums run over whole units of 10^-scale: exact and independent of row order."""
-    return amount if scale is None else F.rint(amount * float(10**scale)).cast("bigint")
+def exact(amount: Column) -> Column:
+    """An amount as a decimal number, so that its sums are exact and independent of row order."""
+    return amount.cast(schemas.AMOUNT)
 
 
-def _total(name: str, scale: int | None) -> Column:
-    return F.col(name) if scale is None else F.col(name) / float(10**scale)
+def _total(name: str) -> Column:
+    return F.col(name).cast("double")
 
 
-def bucket_measures(sum_scale: int | None = None) -> list[Column]:
+def bucket_measures() -> list[Column]:
     """The measures of a group of trades, as aggregate expressions."""
     tick = F.struct("event_time", "event_id", "price")
-    quantity, quote = _addend(F.col("quantity"), sum_scale), _addend(F.col("quote_qty"), sum_scale)
-    nothing = F.lit(0.0) if sum_scale is None else F.lit(0).cast("bigint")
+    quantity, quote = exact(F.col("quantity")), exact(F.col("quote_qty"))
+    nothing = exact(F.lit(0))
     maker_sold = F.col("is_buyer_maker")
     taker_bought = ~maker_sold
     return [
@@ -45,7 +47,7 @@ def bucket_measures(sum_scale: int | None = None) -> list[Column]:
     ]
 
 
-def summarise(trades: DataFrame, bucket: str = "1 minute", sum_scale: int | None = None) -> DataFrame:
+def summarise(trades: DataFrame, bucket: str = "1 minute") -> DataFrame:
     """One row of mergeable measures per symbol and tumbling bucket.
 
     A caller that selects a few columns pays for those only: Catalyst prunes unused aggregates.
@@ -53,7 +55,7 @@ def summarise(trades: DataFrame, bucket: str = "1 minute", sum_scale: int | None
     number and not on the symbol text.
     """
     start = F.window("event_time", bucket)["start"].alias("bucket")
-    return trades.groupBy(start, "symbol").agg(*bucket_measures(sum_scale))
+    return trades.groupBy(start, "symbol").agg(*bucket_measures())
 
 
 _SMALLEST = ["opened", "low_price"]
@@ -71,7 +73,7 @@ def combine(partials: DataFrame) -> DataFrame:
     return partials.groupBy(*BUCKET_KEYS).agg(*folds)
 
 
-def candles(measures: DataFrame, sum_scale: int | None = None) -> DataFrame:
+def candles(measures: DataFrame) -> DataFrame:
     return measures.select(
         "symbol",
         F.col("bucket").alias("candle_time"),
@@ -81,35 +83,35 @@ def candles(measures: DataFrame, sum_scale: int | None = None) -> DataFrame:
         "low_price",
         F.col("closed.price").alias("close_price"),
         F.col("closed.event_time").alias("close_event_time"),
-        _total("quantity_sum", sum_scale).alias("total_quantity"),
-        _total("quote_sum", sum_scale).alias("total_quote_qty"),
+        _total("quantity_sum").alias("total_quantity"),
+        _total("quote_sum").alias("total_quote_qty"),
         F.col("trade_count").alias("total_trades"),
     )
 
 
-def taker_flow(measures: DataFrame, sum_scale: int | None = None) -> DataFrame:
+def taker_flow(measures: DataFrame) -> DataFrame:
     """Buckets without a single flagged trade have no flow row."""
-    net = F.col("bought_quote") - F.col("sold_quote")
-    if sum_scale is not None:
-        net = net / float(10**sum_scale)
+    # With one digit less in front the difference keeps all places.
+    bought, sold = (F.col(name).cast(schemas.ADDEND) for name in ("bought_quote", "sold_quote"))
+    net = (bought - sold).cast("double")
     return measures.filter("flagged_count > 0").select(
         "symbol",
         F.col("bucket").alias("window_start"),
-        _total("bought_quantity", sum_scale).alias("buy_aggressive_qty"),
-        _total("sold_quantity", sum_scale).alias("sell_aggressive_qty"),
-        _total("bought_quote", sum_scale).alias("buy_aggressive_quote_qty"),
-        _total("sold_quote", sum_scale).alias("sell_aggressive_quote_qty"),
+        _total("bought_quantity").alias("buy_aggressive_qty"),
+        _total("sold_quantity").alias("sell_aggressive_qty"),
+        _total("bought_quote").alias("buy_aggressive_quote_qty"),
+        _total("sold_quote").alias("sell_aggressive_quote_qty"),
         net.alias("net_flow"),
     )
 
 
-def average_prices(measures: DataFrame, sum_scale: int | None = None) -> DataFrame:
+def average_prices(measures: DataFrame) -> DataFrame:
     return with_ratios(
         measures.select(
             "symbol",
             F.col("bucket").alias("window_start"),
-            _total("quantity_sum", sum_scale).alias("total_quantity"),
-            _total("quote_sum", sum_scale).alias("total_quote_qty"),
+            _total("quantity_sum").alias("total_quantity"),
+            _total("quote_sum").alias("total_quote_qty"),
             "trade_count",
             F.col("closed.price").alias("close_price"),
             F.col("closed.event_time").alias("close_event_time"),

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tradeloom.functions import measures
@@ -26,8 +27,11 @@ def absent_rows(
 
 
 def insert_if_absent(target: DataFrame, source: DataFrame, key: str = "event_id") -> DataFrame:
-    """Target plus the source rows with a new key; matched rows keep the target's values."""
-    return target.unionByName(absent_rows(source, target, key))
+    """Target plus the source rows with a new key; matched rows keep the target's values.
+
+    The whole target is part of the result, so its keys are met directly.
+    """
+    return target.unionByName(source.join(target.select(key), key, "left_anti"))
 
 
 def upsert(
@@ -42,10 +46,17 @@ def upsert(
     Expressions name columns as ``target.x`` and ``source.x``. Columns without an ``update`` keep
     the target's value on a match. New rows take the source column of the same name, or its
     ``insert`` expression; with an ``insert`` map, columns it does not name become NULL. As in a
-    SQL MERGE the source must be unique on the keys, and NULL keys match nothing.
+    SQL MERGE the source must be unique on the keys, which is checked while it lies sorted for the join,
+    and NULL keys match nothing.
     """
+    unknown = {*keys, *update, *(insert or ())} - set(target.columns)
+    if unknown or set(keys) - set(source.columns):
+        raise ValueError(f"no such columns: {sorted(unknown | (set(keys) - set(source.columns)))}")
+    twin = F.count("*").over(Window.partitionBy(*keys)) > 1
+    has_key = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+    refused = F.raise_error(F.lit("two source rows for one key")).cast("boolean")
     left = target.withColumn("_held", F.lit(True)).alias("target")
-    right = source.withColumn("_given", F.lit(True)).alias("source")
+    right = source.withColumn("_given", F.when(twin & has_key, refused).otherwise(F.lit(True))).alias("source")
     same_key = [F.col(f"target.{k}") == F.col(f"source.{k}") for k in keys]
     joined = left.join(right, same_key, "full_outer")
     held, given = F.col("target._held").isNotNull(), F.col("source._given").isNotNull()
@@ -62,6 +73,18 @@ def upsert(
     return joined.select(*[merged(name) for name in target.columns])
 
 
+# What a new row of the average-price table brings along; the ratios follow from it.
+VWAP_TOTALS = [
+    "symbol",
+    "window_start",
+    "total_quantity",
+    "total_quote_qty",
+    "trade_count",
+    "close_price",
+    "close_event_time",
+]
+
+
 def _extreme(fold, *names: str) -> dict[str, Column]:
     return {n: fold(f"target.{n}", f"source.{n}") for n in names}
 
@@ -98,7 +121,8 @@ def merge_vwap(target: DataFrame, source: DataFrame) -> DataFrame:
         **_added("total_quantity", "total_quote_qty", "trade_count"),
         **_replaced_if("source.close_event_time > target.close_event_time", "close_price", "close_event_time"),
     }
-    return measures.with_ratios(upsert(target, source, ["symbol", "window_start"], rules))
+    insert = {c: F.col(f"source.{c}") for c in VWAP_TOTALS}
+    return measures.with_ratios(upsert(target, source, ["symbol", "window_start"], rules, insert))
 
 
 def merge_large_trades(target: DataFrame, source: DataFrame) -> DataFrame:
@@ -106,7 +130,7 @@ def merge_large_trades(target: DataFrame, source: DataFrame) -> DataFrame:
     return insert_if_absent(target, source)
 
 
-def merge_partials(*parts: DataFrame) -> DataFrame:
+def combine_partials(*parts: DataFrame) -> DataFrame:
     """Fold partial measures of any number of batches, in any order, by one aggregation.
 
     Unlike the merges of finished tables this needs no join, keeps the id that orders trades of

@@ -69,11 +69,14 @@ def normalize(raw: DataFrame, rules: Rules = Rules()) -> DataFrame:
     )
 
 
-# Checked in this order; the first that does not hold names the rejection.
+# Checked in this order; the first that does not hold names the rejection. NaN is above every limit, and a
+# quantity that sums could not hold exactly is as bad as none.
 _REQUIREMENTS = {
     "no_id": "event_id IS NOT NULL",
-    "bad_price": "price > 0",
-    "bad_quantity": "quantity > 0",
+    "bad_price": f"price > 0 AND price <= {schemas.LARGEST_AMOUNT:f}D",
+    "bad_quantity": f"quantity > 0 AND quantity <= {schemas.LARGEST_AMOUNT:f}D"
+    f" AND CAST(TRY_CAST(quantity AS {schemas.AMOUNT.simpleString()}) AS DOUBLE) = quantity",
+    "bad_quote": f"abs(quote_qty) <= {schemas.LARGEST_AMOUNT:f}D",
     "bad_time": "event_time IS NOT NULL",
 }
 
@@ -100,7 +103,7 @@ def rejected(trades: DataFrame) -> DataFrame:
 
 def derivable(trades: DataFrame) -> DataFrame:
     """Trades complete enough for every derived table; only the maker flag may be unknown."""
-    return trades.dropna(subset=[c for c in schemas.SILVER_COLUMNS if c != "is_buyer_maker"])
+    return trades.filter(" AND ".join(f"{c} IS NOT NULL" for c in schemas.SILVER_COLUMNS if c != "is_buyer_maker"))
 
 
 def first_per_id(trades: DataFrame) -> DataFrame:

@@ -12,10 +12,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tradeloom import schemas
+from tradeloom.functions import measures
 
 # Argument ranges of the read queries.
 _SYMBOL = re.compile(r"[A-Z0-9_]{1,20}")
 SUMMARY_ROWS = 60
+# Fixed value: the note every summary carries.
 SUMMARY_NOTE = "Metrics are computed from latest up to 60 one-minute rows."
 
 
@@ -32,8 +34,10 @@ def check_symbol(symbol: str | None) -> str | None:
 def check_limit(limit: int | str, most: int) -> int:
     try:
         rows = int(limit)
-    except (TypeError, ValueError):
+    except (TypeError, ValueError, OverflowError):
         raise ValueError("limit takes a whole number") from None
+    if isinstance(limit, bool) or (not isinstance(limit, str) and rows != limit):
+        raise ValueError("limit takes a whole number")
     if not 1 <= rows <= most:
         raise ValueError(f"limit takes 1 to {most}")
     return rows
@@ -104,17 +108,14 @@ def _in_last_hour(as_of: datetime | str | Column | None) -> Column:
     return (F.col("event_time") >= moment - hour) & (F.col("event_time") <= moment)
 
 
-def _sum(name: str, sum_scale: int | None) -> Column:
-    if sum_scale is None:
-        return F.sum(name)
-    unit = float(10**sum_scale)
-    return F.sum(F.rint(F.col(name) * unit).cast("bigint")) / unit
+def _sum(name: str) -> Column:
+    return F.sum(measures.exact(F.col(name))).cast("double")
 
 
-def _whale_totals(sum_scale: int | None) -> list[Column]:
+def _whale_totals() -> list[Column]:
     return [
         F.count("*").alias("whale_count_1h"),
-        F.coalesce(_sum("trade_value_usdt", sum_scale), F.lit(0.0)).alias("whale_total_value_1h"),
+        F.coalesce(_sum("trade_value_usdt"), F.lit(0.0)).alias("whale_total_value_1h"),
     ]
 
 
@@ -123,10 +124,9 @@ def whales_last_hour(
     min_value: float = schemas.LARGE_TRADE_VALUE,
     as_of: datetime | str | Column | None = None,
     symbol: str | None = None,
-    sum_scale: int | None = None,
 ) -> DataFrame:
     """One row: number and value of the alerts of the last hour."""
-    return _recent_whales(whales, min_value, as_of, symbol).agg(*_whale_totals(sum_scale))
+    return _recent_whales(whales, min_value, as_of, symbol).agg(*_whale_totals())
 
 
 def _recent_whales(whales, min_value, as_of, symbol) -> DataFrame:
@@ -150,7 +150,6 @@ def _summary(
     flow: DataFrame,
     whales: DataFrame,
     averages: DataFrame,
-    sum_scale: int | None,
     by: list[str],
     asked_symbol: str | None,
 ) -> DataFrame:
@@ -158,8 +157,8 @@ def _summary(
     candle = _by_age("candle_time", "close_price", "candle_time")
     parts = [
         candles.groupBy(*by).agg(F.min(candle).alias("newest"), F.max(candle)["close_price"].alias("base_close")),
-        flow.groupBy(*by).agg(_sum("net_flow", sum_scale).alias("net")),
-        whales.groupBy(*by).agg(*_whale_totals(sum_scale)),
+        flow.groupBy(*by).agg(_sum("net_flow").alias("net")),
+        whales.groupBy(*by).agg(*_whale_totals()),
         averages.groupBy(*by).agg(
             F.min(_by_age("window_start", "close_vs_vwap_pct"))["close_vs_vwap_pct"].alias("pct")
         ),
@@ -204,7 +203,6 @@ def dashboard_summary(
     symbol: str | None = None,
     min_value: float = schemas.LARGE_TRADE_VALUE,
     as_of: datetime | str | Column | None = None,
-    sum_scale: int | None = None,
 ) -> DataFrame:
     """One row over the newest 60 rows of all symbols together, or of the one asked for."""
     only = _is_symbol(symbol)
@@ -213,7 +211,6 @@ def dashboard_summary(
         _newest(_where(flow, only), "window_start", "symbol", SUMMARY_ROWS),
         _recent_whales(whales, min_value, as_of, symbol),
         _newest(_where(vwap, only), "window_start", "symbol", 1),
-        sum_scale,
         by=[],
         asked_symbol=check_symbol(symbol),
     )
@@ -226,7 +223,6 @@ def dashboard_by_symbol(
     vwap: DataFrame,
     min_value: float = schemas.LARGE_TRADE_VALUE,
     as_of: datetime | str | Column | None = None,
-    sum_scale: int | None = None,
 ) -> DataFrame:
     """The same summary for every symbol at once, each over its own newest 60 rows."""
     return _summary(
@@ -234,7 +230,6 @@ def dashboard_by_symbol(
         _newest_per_symbol(flow, "window_start", SUMMARY_ROWS),
         _recent_whales(whales, min_value, as_of, None),
         _newest_per_symbol(vwap, "window_start", 1),
-        sum_scale,
         by=["symbol"],
         asked_symbol=None,
     )

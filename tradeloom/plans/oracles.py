@@ -53,8 +53,18 @@ _DELIVERED = _HISTORY.replace(
 )
 
 
+def _decimal(x: str) -> str:
+    """The number as it is written out, exactly."""
+    return f"CAST(CAST({x} AS VARCHAR) AS DECIMAL(38, 16))"
+
+
+def _double(x: str) -> str:
+    """The nearest double of a decimal number."""
+    return f"CAST(CAST({x} AS VARCHAR) AS DOUBLE)"
+
+
 def _sum(x: str) -> str:
-    return f"CAST(sum(CAST({x} AS DECIMAL(18, 4))) AS DOUBLE)"
+    return _double(f"sum({_decimal(x)})")
 
 
 def _ohlc(trades: str, bucket: str = "1 minute") -> str:
@@ -87,20 +97,29 @@ FROM (SELECT symbol, time_bucket(INTERVAL '{bucket}', event_time) AS window_star
 
 def _flow(trades: str, bucket: str = "1 minute") -> str:
     def side(amount: str, sold: str) -> str:
-        return f"sum(CASE WHEN {sold} is_buyer_maker THEN CAST({amount} AS DECIMAL(18, 4)) ELSE 0 END)"
+        return f"sum(CASE WHEN {sold} is_buyer_maker THEN {_decimal(amount)} ELSE 0 END)"
 
     bought, sold = side("quote_qty", "NOT"), side("quote_qty", "")
     return f"""
 SELECT symbol, time_bucket(INTERVAL '{bucket}', event_time) AS window_start,
-       CAST({side('quantity', 'NOT')} AS DOUBLE) AS buy_aggressive_qty,
-       CAST({side('quantity', '')} AS DOUBLE) AS sell_aggressive_qty,
-       CAST({bought} AS DOUBLE) AS buy_aggressive_quote_qty,
-       CAST({sold} AS DOUBLE) AS sell_aggressive_quote_qty,
-       CAST({bought} - {sold} AS DOUBLE) AS net_flow
+       {_double(side('quantity', 'NOT'))} AS buy_aggressive_qty,
+       {_double(side('quantity', ''))} AS sell_aggressive_qty,
+       {_double(bought)} AS buy_aggressive_quote_qty,
+       {_double(sold)} AS sell_aggressive_quote_qty,
+       {_double(f'({bought} - {sold})')} AS net_flow
 FROM ({trades}) WHERE is_buyer_maker IS NOT NULL GROUP BY 1, 2
 """
 
 
+def _both_halves(table) -> str:
+    """Hourly rows of the live trades with even and with odd event numbers; the even ones are the target."""
+    number = "CAST(split_part(event_id, ':', 3) AS BIGINT) % 2"
+    return " UNION ALL ".join(
+        f"SELECT *, {half} AS half FROM ({table(f'SELECT * FROM ({_T}) WHERE {number} = {half}', '1 hour')})"
+        for half in (0, 1)
+    )
+
+
 def _whales(trades: str, threshold: float) -> str:
     return f"""
 SELECT event_id, symbol, event_time, price, quantity, quote_qty, is_buyer_maker, quote_qty AS trade_value_usdt
@@ -191,10 +210,16 @@ def sql() -> dict[str, str]:
     seen_by_two = _unique(f"SELECT * FROM ({_DELIVERED}) WHERE delivery <= 1", "delivery, ")
     # Deliveries N and R form one later batch.
     two_steps = _unique(_DELIVERED, "least(delivery, 1), ")
+    streamed = f"{first_seen} UNION ALL SELECT * FROM ({_LIVE.format(time=_MILLIS)}) WHERE {_VALID}"
     hashed = f"SELECT * FROM ({_LIVE.format(time=_MILLIS)})"
     return {
         "bronze_batch_scan": _HISTORY_TEXT,
         "bronze_stream_scan": _LIVE_TEXT,
+        "bronze_appended": f"""
+SELECT *, CASE WHEN l_returnflag <> 'A' THEN 'venue-' || "is_Buyer_Maker" END AS "Venue"
+FROM ({_HISTORY_TEXT.replace("FROM lineitem", ", l_returnflag FROM lineitem")})
+UNION ALL BY NAME {_LIVE_TEXT}
+""".replace("SELECT *,", "SELECT * EXCLUDE (l_returnflag),"),
         "bronze_unified": f"{_HISTORY_TEXT} UNION ALL BY NAME {_LIVE_TEXT}",
         "parse_envelope": """
 SELECT event_id AS a, upper(event_type) AS s, CAST(value AS VARCHAR) AS p,
@@ -256,13 +281,42 @@ SELECT * FROM ({_ALL_RAW}) WHERE event_id IS NOT NULL AND symbol IS NOT NULL AND
         "whale_alert": _whales(_L, 50000),
         "whale_alert_live": _T_WHALES,
         "merge_ohlc_first_batch": _ohlc(_T),
-        "merge_ohlc": _ohlc(_T, h1),
-        "merge_flow": _flow(_T, h1),
-        "merge_vwap": _vwap(_T, h1),
+        "combine_ohlc": _ohlc(_T, h1),
+        "combine_flow": _flow(_T, h1),
+        "combine_vwap": _vwap(_T, h1),
+        "merge_ohlc": f"""
+SELECT symbol, candle_time,
+       arg_min(open_price, (open_event_time, half)) AS open_price, min(open_event_time) AS open_event_time,
+       max(high_price) AS high_price, min(low_price) AS low_price,
+       arg_max(close_price, (close_event_time, -half)) AS close_price, max(close_event_time) AS close_event_time,
+       sum(total_quantity) AS total_quantity, sum(total_quote_qty) AS total_quote_qty,
+       CAST(sum(total_trades) AS BIGINT) AS total_trades
+FROM ({_both_halves(_ohlc)}) GROUP BY 1, 2
+""",
+        "merge_flow": f"""
+SELECT symbol, window_start, sum(buy_aggressive_qty) AS buy_aggressive_qty,
+       sum(sell_aggressive_qty) AS sell_aggressive_qty, sum(buy_aggressive_quote_qty) AS buy_aggressive_quote_qty,
+       sum(sell_aggressive_quote_qty) AS sell_aggressive_quote_qty, sum(net_flow) AS net_flow
+FROM ({_both_halves(_flow)}) GROUP BY 1, 2
+""",
+        "merge_vwap": f"""
+SELECT symbol, window_start, total_quantity, total_quote_qty, trade_count, close_price, close_event_time,
+       total_quote_qty / total_quantity AS vwap_price, total_quantity / trade_count AS avg_trade_size,
+       close_price - total_quote_qty / total_quantity AS close_vs_vwap_diff,
+       (close_price - total_quote_qty / total_quantity) / (total_quote_qty / total_quantity) * 100
+         AS close_vs_vwap_pct
+FROM (SELECT symbol, window_start, sum(total_quantity) AS total_quantity, sum(total_quote_qty) AS total_quote_qty,
+             CAST(sum(trade_count) AS BIGINT) AS trade_count,
+             arg_max(close_price, (close_event_time, -half)) AS close_price,
+             max(close_event_time) AS close_event_time
+      FROM ({_both_halves(_vwap)}) GROUP BY 1, 2)
+""",
         "merge_upsert_generic": f"""
-SELECT symbol, candle_time, open_price, high_price, low_price, close_price, total_trades FROM ({_ohlc(_T, h1)})
+SELECT symbol, candle_time, max(high_price) AS high_price, min(low_price) AS low_price,
+       CASE WHEN min(half) = 1 THEN NULL ELSE arg_max(close_price, (close_event_time, -half)) END AS close_price,
+       max(close_event_time) AS close_event_time, CAST(sum(total_trades) AS BIGINT) AS total_trades
+FROM ({_both_halves(_ohlc)}) GROUP BY 1, 2
 """,
-        "merge_ohlc_tables": f"SELECT * EXCLUDE (total_quantity, total_quote_qty) FROM ({_ohlc(_T, h1)})",
         "merge_whale": f"""
 SELECT event_id, symbol, event_time, price, quantity, quote_qty, is_buyer_maker, quote_qty AS trade_value_usdt
 FROM ({_unique(f'''
@@ -270,18 +324,25 @@ FROM ({_unique(f'''
 """,
         "gold_as_of_batch": _ohlc(seen_by_two),
         "gold_replayed_batches": _ohlc(first_seen),
-        "stream_silver": _SILVER,
-        "stream_ohlc": _ohlc(_SILVER),
-        "stream_flow": _flow(_SILVER),
-        "stream_vwap": _vwap(_SILVER),
-        "stream_whale": _whales(_SILVER, 50000),
-        "stream_ohlc_watermarked": f"""
-SELECT * FROM ({_ohlc(f"SELECT * FROM ({_LIVE.format(time=_MILLIS)}) WHERE {_VALID}", h1)})
-WHERE candle_time + INTERVAL 2 HOUR <= (SELECT max(event_time) FROM ({_LIVE.format(time=_MILLIS)}) WHERE {_VALID})
-""",
+        "gold_compacted": first_seen,
+        "gold_late_batch": _ohlc(_unique(_DELIVERED, "delivery DESC, ")),
+        "stream_silver": streamed,
+        "stream_ohlc": _ohlc(streamed),
+        "stream_flow": _flow(streamed),
+        "stream_vwap": _vwap(streamed),
+        "stream_whale": _whales(streamed, 50000),
         "ohlc_latest": f"SELECT {_OHLC_READ} FROM ({_ohlc(_T)}) ORDER BY candle_time DESC, symbol LIMIT 100",
         "ohlc_latest_symbol": f"""
 SELECT {_OHLC_READ} FROM ({_ohlc(_T)}) WHERE symbol = 'PURCHASE' ORDER BY candle_time DESC LIMIT 500
+""",
+        "ohlc_latest_json": f"""
+SELECT '{{"symbol":"' || symbol || '","candle_time":"' || strftime(candle_time, '%Y-%m-%dT%H:%M:%S.%f') || '+00:00"'
+       || ',"open_price":' || CAST(open_price AS VARCHAR) || ',"high_price":' || CAST(high_price AS VARCHAR)
+       || ',"low_price":' || CAST(low_price AS VARCHAR) || ',"close_price":' || CAST(close_price AS VARCHAR)
+       || ',"total_quantity":' || CAST(total_quantity AS VARCHAR)
+       || ',"total_quote_qty":' || CAST(total_quote_qty AS VARCHAR)
+       || ',"total_trades":' || total_trades || '}}' AS json
+FROM (SELECT {_OHLC_READ} FROM ({_ohlc(_T)}) ORDER BY candle_time DESC, symbol LIMIT 100)
 """,
         "flow_latest": f"SELECT * FROM ({_flow(_T)}) ORDER BY window_start DESC, symbol LIMIT 100",
         "vwap_latest": f"SELECT * FROM ({_vwap(_T)}) ORDER BY window_start DESC, symbol LIMIT 100",
@@ -304,6 +365,12 @@ SELECT 'ohlc' AS name, count(*) AS total_records, 'ohlc_1min' AS "table" FROM ({
 UNION ALL SELECT 'whale', count(*), 'whale_alert' FROM ({_T_WHALES})
 UNION ALL SELECT 'flow', count(*), 'maker_taker_flow_1min' FROM ({_flow(_T)})
 UNION ALL SELECT 'vwap', count(*), 'vwap_1min' FROM ({_vwap(_T)})
+""",
+        "sql_registered_tables": f"""
+SELECT 'ohlc_1min' AS name, count(*) AS total_rows FROM ({_ohlc(_T)})
+UNION ALL SELECT 'whale_alert', count(*) FROM ({_T_WHALES})
+UNION ALL SELECT 'maker_taker_flow_1min', count(*) FROM ({_flow(_T)})
+UNION ALL SELECT 'vwap_1min', count(*) FROM ({_vwap(_T)})
 """,
         "sql_latest_candles": f"""
 SELECT symbol, candle_time, close_price FROM ({_ohlc(_T)}) ORDER BY candle_time DESC, symbol LIMIT 20

@@ -13,19 +13,16 @@ from tradeloom.functions import measures
 from tradeloom.operators import merge, normalize, reads, signals, tables
 from tradeloom.session import configure, scratch_dir
 from tradeloom.sources import market, raw
-from tradeloom.streaming import watermarked
 from tradeloom.streaming.medallion import Medallion, Settings
 
-# The test data has at most four decimals, so sums over units of 10^-4 are exact.
-SCALE = 4
 # No event is worth 50,000; this threshold selects about four in a hundred.
 LIVE_THRESHOLD = 10000.0
 
 # The history spans seven years and one batch holds them all.
-BY_YEAR = Settings(sum_scale=SCALE, period="year")
+BY_YEAR = Settings(period="year", fan_out=2)
 
-# Bytes of new files per source a micro-batch may take on; the test tables fit in one.
-STREAM_LIMIT = {"maxBytesPerTrigger": str(2**40)}
+# The columns the inspection of clean trades shows.
+SILVER_INSPECTION = ["symbol", "price", "quantity", "quote_qty", "is_buyer_maker", "event_time"]
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -64,10 +61,6 @@ def _bronze(spark, sf_dir):
     return raw.unify(_raw_history(spark, sf_dir), _raw_live(spark, sf_dir))
 
 
-def _silver(spark, sf_dir):
-    return normalize.first_per_id(normalize.valid(normalize.normalize(_bronze(spark, sf_dir))))
-
-
 def _history(spark, sf_dir):
     return normalize.first_per_id(market.history_trades(spark, sf_dir))
 
@@ -76,11 +69,11 @@ def _live_whales(spark, sf_dir):
     return signals.large_trades(market.live_trades(spark, sf_dir), LIVE_THRESHOLD)
 
 
-def _half_hours(spark, sf_dir):
-    """The live trades in two batches that share every hourly bucket."""
+def _halves(spark, sf_dir):
+    """The live trades in two batches that share every busy bucket, with opens and closes on both sides."""
     trades = market.live_trades(spark, sf_dir)
-    early = F.minute("event_time") < 30
-    return trades.filter(early), trades.filter(~early)
+    even = F.element_at(F.split("event_id", ":"), -1).cast("bigint") % 2 == 0
+    return trades.filter(even), trades.filter(~even)
 
 
 def _deliveries(spark, sf_dir):
@@ -110,12 +103,23 @@ def bronze_batch_scan(spark, sf_dir):
 @query
 def bronze_stream_scan(spark, sf_dir):
     folder = scratch_dir(spark, "bronze")
-    events = raw.open_bus(spark, "parquet", STREAM_LIMIT, market.EVENTS, path=f"{sf_dir}/events*.parquet")
+    events = raw.open_bus(spark, "parquet", None, market.EVENTS, path=f"{sf_dir}/events*.parquet")
     live = raw.decode_payload(market.live_messages(events))
     raw.append_live(live, folder, f"{folder}/checkpoint", availableNow=True).awaitTermination()
     return spark.read.schema(schemas.LIVE).parquet(f"{folder}/live")
 
 
+@query
+def bronze_appended(spark, sf_dir):
+    """Two appends to the history, the second with a column the first does not have, read back together."""
+    folder = scratch_dir(spark, "appended")
+    first, later, last = _deliveries(spark, sf_dir)
+    raw.append_history(first, folder)
+    raw.append_history(later.union(last).withColumn("Venue", F.concat(F.lit("venue-"), "is_Buyer_Maker")), folder)
+    _raw_live(spark, sf_dir).write.parquet(f"{folder}/live")
+    return raw.read_bronze(spark, folder, evolve=True)
+
+
 @query
 def bronze_unified(spark, sf_dir):
     return _bronze(spark, sf_dir)
@@ -212,20 +216,45 @@ def silver_insert_if_absent(spark, sf_dir):
     return merge.insert_if_absent(*_delivered_trades(spark, sf_dir))
 
 
+_stores: dict[tuple[str, str, str], Medallion] = {}
+
+
+def _store(spark, sf_dir: str, label: str, build: Callable[[Medallion], None], settings: Settings) -> Medallion:
+    """Tables written once per application; the read queries scan them."""
+    key = (spark.sparkContext.applicationId, sf_dir, label)
+    if key not in _stores:
+        store = Medallion(scratch_dir(spark, label), settings)
+        build(store)
+        _stores[key] = store
+    return _stores[key]
+
+
+def _silver_store(spark, sf_dir) -> Medallion:
+    """All raw rows of both kinds, stored as one batch."""
+    return _store(spark, sf_dir, "silver", lambda store: store.process(_bronze(spark, sf_dir), 0), BY_YEAR)
+
+
+def _live_store(spark, sf_dir) -> Medallion:
+    """The live trades with the full precision of their times, stored as one batch."""
+    settings = Settings(large_trade_value=LIVE_THRESHOLD)
+    trades = normalize.with_reject_reason(market.live_trades(spark, sf_dir))
+    return _store(spark, sf_dir, "live", lambda store: store.store(trades, 0), settings)
+
+
 @query
 def silver_latest(spark, sf_dir):
-    return reads.latest_trades(_silver(spark, sf_dir))
+    return reads.latest_trades(_silver_store(spark, sf_dir).trades(spark))
 
 
 @query
 def silver_latest_columns(spark, sf_dir):
-    columns = ["symbol", "price", "quantity", "quote_qty", "is_buyer_maker", "event_time"]
-    return reads.latest_trades(_silver(spark, sf_dir), columns=columns)
+    columns = SILVER_INSPECTION
+    return reads.latest_trades(_silver_store(spark, sf_dir).trades(spark), columns=columns)
 
 
 @query
 def silver_count(spark, sf_dir):
-    return _silver(spark, sf_dir).agg(F.count("*").alias("total_rows"))
+    return _silver_store(spark, sf_dir).trades(spark).agg(F.count("*").alias("total_rows"))
 
 
 @query
@@ -238,38 +267,38 @@ def gold_input(spark, sf_dir):
 
 @query
 def ohlc(spark, sf_dir):
-    return signals.ohlc(market.live_trades(spark, sf_dir), sum_scale=SCALE)
+    return signals.ohlc(market.live_trades(spark, sf_dir))
 
 
 @query
 def ohlc_1h(spark, sf_dir):
-    return signals.ohlc(market.live_trades(spark, sf_dir), "1 hour", SCALE)
+    return signals.ohlc(market.live_trades(spark, sf_dir), "1 hour")
 
 
 @query
 def ohlc_history(spark, sf_dir):
     """Every day of the history is one instant, so ids alone decide open and close."""
-    return signals.ohlc(_history(spark, sf_dir), sum_scale=SCALE)
+    return signals.ohlc(_history(spark, sf_dir))
 
 
 @query
 def vwap(spark, sf_dir):
-    return signals.vwap(market.live_trades(spark, sf_dir), sum_scale=SCALE)
+    return signals.vwap(market.live_trades(spark, sf_dir))
 
 
 @query
 def vwap_1h(spark, sf_dir):
-    return signals.vwap(market.live_trades(spark, sf_dir), "1 hour", SCALE)
+    return signals.vwap(market.live_trades(spark, sf_dir), "1 hour")
 
 
 @query
 def maker_taker_flow(spark, sf_dir):
-    return signals.maker_taker_flow(market.live_trades(spark, sf_dir), sum_scale=SCALE)
+    return signals.maker_taker_flow(market.live_trades(spark, sf_dir))
 
 
 @query
 def maker_taker_flow_history(spark, sf_dir):
-    return signals.maker_taker_flow(_history(spark, sf_dir), sum_scale=SCALE)
+    return signals.maker_taker_flow(_history(spark, sf_dir))
 
 
 @query
@@ -288,52 +317,62 @@ def whale_alert_live(spark, sf_dir):
 @query
 def merge_ohlc_first_batch(spark, sf_dir):
     """Merging into an empty table gives the batch itself."""
-    batch = signals.ohlc(market.live_trades(spark, sf_dir), sum_scale=SCALE)
+    batch = signals.ohlc(market.live_trades(spark, sf_dir))
     return merge.merge_ohlc(spark.createDataFrame([], batch.schema), batch)
 
 
-def _merged_half_hours(spark, sf_dir):
-    first, second = _half_hours(spark, sf_dir)
-    return merge.merge_partials(
-        measures.summarise(first, "1 hour", SCALE), measures.summarise(second, "1 hour", SCALE)
-    )
+def _combined(spark, sf_dir):
+    first, second = _halves(spark, sf_dir)
+    return merge.combine_partials(measures.summarise(first, "1 hour"), measures.summarise(second, "1 hour"))
+
+
+@query
+def combine_ohlc(spark, sf_dir):
+    return measures.candles(_combined(spark, sf_dir))
+
+
+@query
+def combine_flow(spark, sf_dir):
+    return measures.taker_flow(_combined(spark, sf_dir))
+
+
+@query
+def combine_vwap(spark, sf_dir):
+    return measures.average_prices(_combined(spark, sf_dir))
 
 
 @query
 def merge_ohlc(spark, sf_dir):
-    return measures.candles(_merged_half_hours(spark, sf_dir), SCALE)
+    """Finished candles of one half merged into those of the other."""
+    return merge.merge_ohlc(*(signals.ohlc(half, "1 hour") for half in _halves(spark, sf_dir)))
 
 
 @query
 def merge_flow(spark, sf_dir):
-    return measures.taker_flow(_merged_half_hours(spark, sf_dir), SCALE)
+    return merge.merge_flow(*(signals.maker_taker_flow(half, "1 hour") for half in _halves(spark, sf_dir)))
 
 
 @query
 def merge_vwap(spark, sf_dir):
-    return measures.average_prices(_merged_half_hours(spark, sf_dir), SCALE)
+    return merge.merge_vwap(*(signals.vwap(half, "1 hour") for half in _halves(spark, sf_dir)))
 
 
 @query
 def merge_upsert_generic(spark, sf_dir):
-    """Candles without volumes, the later half hours merged into the earlier ones by rules."""
-    columns = ["symbol", "candle_time", "open_price", "high_price", "low_price", "close_price", "total_trades"]
-    target, source = (signals.ohlc(t, "1 hour").select(columns) for t in _half_hours(spark, sf_dir))
+    """Candles without volumes merged by rules of the caller; new rows by an insert map that leaves one out."""
+    columns = ["symbol", "candle_time", "high_price", "low_price", "close_price", "close_event_time", "total_trades"]
+    target, source = (signals.ohlc(half, "1 hour").select(columns) for half in _halves(spark, sf_dir))
+    later = F.col("source.close_event_time") > F.col("target.close_event_time")
     rules = {
         "high_price": F.greatest("target.high_price", "source.high_price"),
         "low_price": F.least("target.low_price", "source.low_price"),
-        "close_price": F.col("source.close_price"),
         "total_trades": F.col("target.total_trades") + F.col("source.total_trades"),
+    } | {
+        name: F.when(later, F.col(f"source.{name}")).otherwise(F.col(f"target.{name}"))
+        for name in ("close_price", "close_event_time")
     }
-    return merge.upsert(target, source, ["symbol", "candle_time"], rules)
-
-
-@query
-def merge_ohlc_tables(spark, sf_dir):
-    """The finished candle tables merged by rules; volumes are doubles and left out here."""
-    first, second = _half_hours(spark, sf_dir)
-    merged = merge.merge_ohlc(signals.ohlc(first, "1 hour"), signals.ohlc(second, "1 hour"))
-    return merged.drop("total_quantity", "total_quote_qty")
+    insert = {name: F.col(f"source.{name}") for name in columns if name != "close_price"}
+    return merge.upsert(target, source, ["symbol", "candle_time"], rules, insert)
 
 
 @query
@@ -342,82 +381,89 @@ def merge_whale(spark, sf_dir):
     return merge.merge_large_trades(signals.large_trades(first), signals.large_trades(later))
 
 
-def _three_batches(spark, sf_dir, label: str, replay: bool) -> Medallion:
-    tables_of_batches = Medallion(scratch_dir(spark, label), BY_YEAR)
-    for number, delivery in enumerate(_deliveries(spark, sf_dir)):
-        for _ in range(2 if replay else 1):
-            tables_of_batches.process(delivery, number)
-    return tables_of_batches
+def _three_batches(spark, sf_dir, label: str, order=(0, 1, 2), replay: bool = False) -> Medallion:
+    """The deliveries as batches of one stream; with ``replay`` each is delivered twice."""
+
+    def build(store: Medallion) -> None:
+        deliveries = _deliveries(spark, sf_dir)
+        for number, delivery in enumerate(order):
+            for _ in range(2 if replay else 1):
+                store.process(deliveries[delivery], number)
+
+    return _store(spark, sf_dir, label, build, BY_YEAR)
 
 
 @query
 def gold_as_of_batch(spark, sf_dir):
     """Candles as they stood after the second of three batches."""
-    return _three_batches(spark, sf_dir, "as-of", replay=False).ohlc(spark, as_of=1)
+    return _three_batches(spark, sf_dir, "batches").ohlc(spark, as_of=1)
 
 
 @query
 def gold_replayed_batches(spark, sf_dir):
-    """Every batch delivered twice, the first two compacted: candles as if delivered once."""
-    written = _three_batches(spark, sf_dir, "replay", replay=True)
-    written.compact(spark, up_to=1)
-    return written.ohlc(spark)
+    """Every batch delivered twice: candles as if delivered once."""
+    return _three_batches(spark, sf_dir, "replayed", replay=True).ohlc(spark)
+
+
+@query
+def gold_compacted(spark, sf_dir):
+    """Trades out of the folded run of the first two batches and the third."""
+    store = _three_batches(spark, sf_dir, "batches")
+    if len(store.parts(spark)) != 2:
+        raise RuntimeError("the first two batches are not folded")
+    return store.trades(spark)
+
+
+@query
+def gold_late_batch(spark, sf_dir):
+    """The delivery that starts the history comes last: finished candles of old days change."""
+    return _three_batches(spark, sf_dir, "late", order=(2, 1, 0)).ohlc(spark)
 
 
 # --- streams --------------------------------------------------------------------------------
 
 
-def _streamed(spark, sf_dir, label: str) -> Medallion:
-    """Both tables as one raw stream through the whole chain."""
-    lines = market.table(spark, sf_dir, "lineitem").schema
-    reader = spark.readStream.options(**STREAM_LIMIT).schema(lines)
-    history = market.history_rows(reader.parquet(f"{sf_dir}/lineitem*.parquet"))
-    events = raw.open_bus(spark, "parquet", STREAM_LIMIT, market.EVENTS, path=f"{sf_dir}/events*.parquet")
-    live = raw.decode_payload(market.live_messages(events))
-    folder = scratch_dir(spark, label)
-    written = Medallion(folder, BY_YEAR)
-    written.start(raw.unify(history, live), f"{folder}/checkpoint", availableNow=True).awaitTermination()
-    return written
+def _streamed(spark, sf_dir) -> Medallion:
+    """Three landings in the raw table, one run of the stream after each, over one checkpoint.
+
+    The first brings a delivery of the history and all live messages, the others a delivery each. A run takes
+    all that has landed; what an id was first delivered with stays.
+    """
+
+    def build(store: Medallion) -> None:
+        bronze = scratch_dir(spark, "bronze")
+        _raw_live(spark, sf_dir).write.parquet(f"{bronze}/live")
+        for delivery in _deliveries(spark, sf_dir):
+            raw.append_history(delivery, bronze)
+            rows = raw.stream_bronze(spark, bronze)
+            store.start(rows, f"{store.root}/checkpoint", availableNow=True).awaitTermination()
+
+    return _store(spark, sf_dir, "stream", build, BY_YEAR)
 
 
 @query
 def stream_silver(spark, sf_dir):
-    return _streamed(spark, sf_dir, "stream-silver").trades(spark)
+    return _streamed(spark, sf_dir).trades(spark)
 
 
 @query
 def stream_ohlc(spark, sf_dir):
-    return _streamed(spark, sf_dir, "stream-ohlc").ohlc(spark)
+    return _streamed(spark, sf_dir).ohlc(spark)
 
 
 @query
 def stream_flow(spark, sf_dir):
-    return _streamed(spark, sf_dir, "stream-flow").flow(spark)
+    return _streamed(spark, sf_dir).flow(spark)
 
 
 @query
 def stream_vwap(spark, sf_dir):
-    return _streamed(spark, sf_dir, "stream-vwap").vwap(spark)
+    return _streamed(spark, sf_dir).vwap(spark)
 
 
 @query
 def stream_whale(spark, sf_dir):
-    return _streamed(spark, sf_dir, "stream-whale").whales(spark)
-
-
-@query
-def stream_ohlc_watermarked(spark, sf_dir):
-    """Candles out of Spark's state store: an hour is emitted once closed, the newest stay open."""
-    events = raw.open_bus(spark, "parquet", STREAM_LIMIT, market.EVENTS, path=f"{sf_dir}/events*.parquet")
-    trades = normalize.valid(normalize.normalize(raw.decode_payload(market.live_messages(events))))
-    folder = scratch_dir(spark, "watermarked")
-    running = watermarked.running_measures(watermarked.unique_trades(trades, "1 hour"), "1 hour", SCALE)
-    measured = running.writeStream.format("parquet").outputMode("append")
-    measured.option("checkpointLocation", f"{folder}/checkpoint").trigger(availableNow=True).start(
-        f"{folder}/measures"
-    ).awaitTermination()
-    closed = spark.read.schema(schemas.partial_schema(SCALE)).parquet(f"{folder}/measures")
-    return measures.candles(closed, SCALE)
+    return _streamed(spark, sf_dir).whales(spark)
 
 
 # --- read queries ---------------------------------------------------------------------------
@@ -425,37 +471,37 @@ def stream_ohlc_watermarked(spark, sf_dir):
 
 @query
 def ohlc_latest(spark, sf_dir):
-    return reads.latest_ohlc(ohlc(spark, sf_dir))
+    return reads.latest_ohlc(_live_store(spark, sf_dir).ohlc(spark))
 
 
 @query
 def ohlc_latest_symbol(spark, sf_dir):
-    return reads.latest_ohlc(ohlc(spark, sf_dir), limit=500, symbol=" purchase ")
+    return reads.latest_ohlc(_live_store(spark, sf_dir).ohlc(spark), limit=500, symbol=" purchase ")
 
 
 @query
 def ohlc_latest_json(spark, sf_dir):
-    return reads.json_rows(reads.latest_ohlc(ohlc(spark, sf_dir)))
+    return reads.json_rows(reads.latest_ohlc(_live_store(spark, sf_dir).ohlc(spark)))
 
 
 @query
 def flow_latest(spark, sf_dir):
-    return reads.latest_flow(maker_taker_flow(spark, sf_dir))
+    return reads.latest_flow(_live_store(spark, sf_dir).flow(spark))
 
 
 @query
 def vwap_latest(spark, sf_dir):
-    return reads.latest_vwap(vwap(spark, sf_dir))
+    return reads.latest_vwap(_live_store(spark, sf_dir).vwap(spark))
 
 
 @query
 def whale_latest(spark, sf_dir):
-    return reads.latest_whales(_live_whales(spark, sf_dir), min_value=LIVE_THRESHOLD)
+    return reads.latest_whales(_live_store(spark, sf_dir).whales(spark), min_value=LIVE_THRESHOLD)
 
 
 @query
 def whale_latest_symbol(spark, sf_dir):
-    return reads.latest_whales(_live_whales(spark, sf_dir), 200, "purchase", 15000)
+    return reads.latest_whales(_live_store(spark, sf_dir).whales(spark), 200, "purchase", 15000)
 
 
 def _newest_event(spark, sf_dir):
@@ -467,20 +513,13 @@ def _newest_event(spark, sf_dir):
 @query
 def whale_last_hour(spark, sf_dir):
     whales = signals.large_trades(market.live_trades(spark, sf_dir), 0.0)
-    return reads.whales_last_hour(whales, 0.0, _newest_event(spark, sf_dir), sum_scale=SCALE)
+    return reads.whales_last_hour(whales, 0.0, _newest_event(spark, sf_dir))
 
 
 def _summary_inputs(spark, sf_dir):
-    """The derived tables a dashboard reads: one pass over the trades, written once, serves three."""
-    folder = scratch_dir(spark, "measures")
-    measures.summarise(market.live_trades(spark, sf_dir), sum_scale=SCALE).write.parquet(folder)
-    wide = spark.read.schema(schemas.partial_schema(SCALE)).parquet(folder)
-    return (
-        measures.candles(wide, SCALE),
-        measures.taker_flow(wide, SCALE),
-        _live_whales(spark, sf_dir),
-        measures.average_prices(wide, SCALE),
-    )
+    """The written tables a dashboard reads."""
+    store = _live_store(spark, sf_dir)
+    return store.ohlc(spark), store.flow(spark), store.whales(spark), store.vwap(spark)
 
 
 def _flat(summary: DataFrame) -> DataFrame:
@@ -495,21 +534,21 @@ def _flat(summary: DataFrame) -> DataFrame:
 def dashboard_summary(spark, sf_dir):
     as_of = _newest_event(spark, sf_dir)
     inputs = _summary_inputs(spark, sf_dir)
-    return _flat(reads.dashboard_summary(*inputs, min_value=LIVE_THRESHOLD, as_of=as_of, sum_scale=SCALE))
+    return _flat(reads.dashboard_summary(*inputs, min_value=LIVE_THRESHOLD, as_of=as_of))
 
 
 @query
 def dashboard_summary_symbol(spark, sf_dir):
     as_of = _newest_event(spark, sf_dir)
     inputs = _summary_inputs(spark, sf_dir)
-    return _flat(reads.dashboard_summary(*inputs, "VIEW", LIVE_THRESHOLD, as_of, SCALE))
+    return _flat(reads.dashboard_summary(*inputs, "VIEW", LIVE_THRESHOLD, as_of))
 
 
 @query
 def dashboard_by_symbol(spark, sf_dir):
     as_of = _newest_event(spark, sf_dir)
     inputs = _summary_inputs(spark, sf_dir)
-    return _flat(reads.dashboard_by_symbol(*inputs, LIVE_THRESHOLD, as_of, SCALE))
+    return _flat(reads.dashboard_by_symbol(*inputs, LIVE_THRESHOLD, as_of))
 
 
 @query
@@ -518,9 +557,20 @@ def gold_stats(spark, sf_dir):
     return reads.row_counts({"ohlc": candles, "whale": whales, "flow": flow, "vwap": averages})
 
 
+# Fixed value: the statement that shows whether the named tables answer.
+NEWEST_CANDLES = "SELECT symbol, candle_time, close_price FROM {table} ORDER BY candle_time DESC, symbol LIMIT 20"
+
+
 @query
 def sql_latest_candles(spark, sf_dir):
-    tables.register_views({"ohlc": ohlc(spark, sf_dir)})
-    return spark.sql(
-        "SELECT symbol, candle_time, close_price FROM ohlc_1min ORDER BY candle_time DESC, symbol LIMIT 20"
-    )
+    tables.register_views({"ohlc": _live_store(spark, sf_dir).ohlc(spark)})
+    return spark.sql(NEWEST_CANDLES.format(table="ohlc_1min"))
+
+
+@query
+def sql_registered_tables(spark, sf_dir):
+    """Rows per named table over the published folders, through SQL."""
+    store = _live_store(spark, sf_dir)
+    names = tables.register_tables(spark, store.publish(spark), "gold_published")
+    counts = [f"SELECT '{n.split('.')[1]}' AS name, count(*) AS total_rows FROM {n}" for n in names]
+    return spark.sql(" UNION ALL ".join(counts))

@@ -23,7 +23,7 @@ HISTORY = T.StructType([T.StructField(name, T.StringType()) for name in HISTORY_
 LIVE = T.StructType([T.StructField("value", T.StringType())])
 BRONZE = T.StructType(LIVE.fields + HISTORY.fields)
 
-# Clean trades, one row per event_id.
+# The layout of clean trades, one row per event_id.
 SILVER = T.StructType(
     [
         T.StructField("event_id", T.StringType()),
@@ -39,6 +39,7 @@ SILVER_COLUMNS = SILVER.names
 
 REJECTED = T.StructType(SILVER.fields + [T.StructField("reject_reason", T.StringType())])
 
+# The columns of an alert, in the order they are read in.
 LARGE_TRADE_COLUMNS = [
     "event_id",
     "symbol",
@@ -60,33 +61,83 @@ LARGE_TRADES = T.StructType(
 TICK = T.StructType([SILVER["event_time"], SILVER["event_id"], SILVER["price"]])
 
 
-def partial_schema(sum_scale: int | None) -> T.StructType:
-    """Mergeable bucket measures; fixed-point sums are whole numbers, plain sums are doubles."""
-    total = T.DoubleType() if sum_scale is None else T.LongType()
-    return T.StructType(
-        [
-            T.StructField("bucket", T.TimestampType()),
-            T.StructField("symbol", T.StringType()),
-            T.StructField("opened", TICK),
-            T.StructField("closed", TICK),
-            T.StructField("high_price", T.DoubleType()),
-            T.StructField("low_price", T.DoubleType()),
-            T.StructField("quantity_sum", total),
-            T.StructField("quote_sum", total),
-            T.StructField("trade_count", T.LongType()),
-            T.StructField("bought_quantity", total),
-            T.StructField("sold_quantity", total),
-            T.StructField("bought_quote", total),
-            T.StructField("sold_quote", total),
-            T.StructField("flagged_count", T.LongType()),
-        ]
-    )
-
-
-# Logical name of a derived table -> name it is registered under.
+# Amounts are summed as decimals: exact for prices and quantities of up to eight places each, whose
+# product has up to sixteen. A total overflows only after 10^11 trades of the largest amount.
+AMOUNT = T.DecimalType(28, 16)
+TOTAL = T.DecimalType(38, 16)
+ADDEND = T.DecimalType(37, 16)
+LARGEST_AMOUNT = 1e11
+
+# Mergeable bucket measures.
+PARTIALS = T.StructType(
+    [
+        T.StructField("bucket", T.TimestampType()),
+        T.StructField("symbol", T.StringType()),
+        T.StructField("opened", TICK),
+        T.StructField("closed", TICK),
+        T.StructField("high_price", T.DoubleType()),
+        T.StructField("low_price", T.DoubleType()),
+        T.StructField("quantity_sum", TOTAL),
+        T.StructField("quote_sum", TOTAL),
+        T.StructField("trade_count", T.LongType()),
+        T.StructField("bought_quantity", TOTAL),
+        T.StructField("sold_quantity", TOTAL),
+        T.StructField("bought_quote", TOTAL),
+        T.StructField("sold_quote", TOTAL),
+        T.StructField("flagged_count", T.LongType()),
+    ]
+)
+
+# Logical name of a derived table -> name it is registered under.
 GOLD_TABLES = {
     "ohlc": "ohlc_1min",
     "whale": "whale_alert",
     "flow": "maker_taker_flow_1min",
     "vwap": "vwap_1min",
 }
+
+
+def _layout(*columns: tuple[str, T.DataType]) -> T.StructType:
+    return T.StructType([T.StructField(name, kind) for name, kind in columns])
+
+
+_TEXT, _NUMBER, _COUNT, _TIME = T.StringType(), T.DoubleType(), T.LongType(), T.TimestampType()
+
+# The layouts of the finished tables.
+FINISHED = {
+    "ohlc": _layout(
+        ("symbol", _TEXT),
+        ("candle_time", _TIME),
+        ("open_price", _NUMBER),
+        ("open_event_time", _TIME),
+        ("high_price", _NUMBER),
+        ("low_price", _NUMBER),
+        ("close_price", _NUMBER),
+        ("close_event_time", _TIME),
+        ("total_quantity", _NUMBER),
+        ("total_quote_qty", _NUMBER),
+        ("total_trades", _COUNT),
+    ),
+    "flow": _layout(
+        ("symbol", _TEXT),
+        ("window_start", _TIME),
+        ("buy_aggressive_qty", _NUMBER),
+        ("sell_aggressive_qty", _NUMBER),
+        ("buy_aggressive_quote_qty", _NUMBER),
+        ("sell_aggressive_quote_qty", _NUMBER),
+        ("net_flow", _NUMBER),
+    ),
+    "vwap": _layout(
+        ("symbol", _TEXT),
+        ("window_start", _TIME),
+        ("total_quantity", _NUMBER),
+        ("total_quote_qty", _NUMBER),
+        ("trade_count", _COUNT),
+        ("close_price", _NUMBER),
+        ("close_event_time", _TIME),
+        ("vwap_price", _NUMBER),
+        ("avg_trade_size", _NUMBER),
+        ("close_vs_vwap_diff", _NUMBER),
+        ("close_vs_vwap_pct", _NUMBER),
+    ),
+}

@@ -1,48 +1,119 @@
-"""Tables written batch by batch, where writing a batch again replaces it.
+"""Tables written batch by batch: parts in folders of their own, one marker per committed batch.
 
-Each batch owns the folder ``from_batch=a/to_batch=b`` (a = b but for compacted ones) and counts as
-written once Spark has put its ``_SUCCESS`` file there. A replayed micro-batch overwrites its own
-folder, so at-least-once delivery does not count anything twice, and a batch whose write died is not
-read. Folders are never changed in place by compaction, and none is deleted.
+Every attempt writes to a fresh folder ``part=<name>`` of each table. A batch counts once its marker is
+there, written after all its tables, so a reader sees all of a batch or nothing, and what a failed attempt
+left behind is never read. Markers are numbered from 0 in the order of the commits, without gaps.
 
-Below a batch, rows lie by period (a month, or any unit ``date_trunc`` knows) and, within a file, in
-time order: a period prunes folders when a query is planned, and a time range prunes row groups by
-their statistics. The period is a setting, because a live batch spans days and a backfill years.
+Whole runs of ``fan_out`` batches are folded into one part, runs of those again, and so on; such a part
+has a marker of its own that names the run. A reader looks for the longest runs first, so it opens a number
+of parts that grows with the logarithm of the number of batches, and each row is rewritten as rarely.
+Nothing is deleted: every earlier state stays readable.
+
+Below a part rows lie by period (a month, or another unit of dates), always cut in UTC; within a file they
+are in time order, so a time range prunes folders in planning and row groups while reading.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import json
 from datetime import date, datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-_PLACE = [
-    T.StructField("from_batch", T.LongType()),
-    T.StructField("to_batch", T.LongType()),
-    T.StructField("period", T.DateType()),
-]
+_PLACE = [T.StructField("part", T.StringType()), T.StructField("period", T.DateType())]
 
 
 def period_of(time: Column | str, unit: str) -> Column:
-    return F.date_trunc(unit, time).cast("date")
-
-
-def write_by_period(rows: DataFrame, time_column: str, unit: str, folder: str) -> None:
-    """Write by period of a time column; a period keeps together unless it is large, then it is split."""
-    (
-        rows.withColumn("period", period_of(time_column, unit))
-        .hint("rebalance", F.col("period"))
-        .sortWithinPartitions("period", time_column)
-        .write.mode("overwrite")
-        .partitionBy("period")
-        .parquet(folder)
-    )
-
-
-class BatchTable:
+    """First day of the period in UTC, whatever the session's zone."""
+    micros = F.unix_micros(F.col(time) if isinstance(time, str) else time)
+    day = F.date_from_unix_date(F.floor(micros / F.lit(86_400_000_000)).cast("int"))
+    return day if unit == "day" else F.trunc(day, unit)
+
+
+class Markers:
+    """Small files that say which parts make up the tables of a root. One writer at a time is assumed; a
+    second one is noticed and fails."""
+
+    def __init__(self, spark: SparkSession, root: str, fan_out: int = 8):
+        self.spark, self.root, self.fan_out = spark, root.rstrip("/"), fan_out
+
+    def _file(self, name: str):
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}")
+        return path, path.getFileSystem(self.spark._jsc.hadoopConfiguration())
+
+    def _get(self, name: str) -> dict | None:
+        """The content, or None if the marker is not there or was never finished."""
+        path, files = self._file(name)
+        if not files.exists(path) or not files.getFileStatus(path).getLen():
+            return None
+        stream = files.open(path)
+        try:
+            return json.loads(bytes(self.spark._jvm.org.apache.commons.io.IOUtils.toByteArray(stream)))
+        finally:
+            stream.close()
+
+    def _put(self, name: str, content: dict) -> None:
+        path, files = self._file(name)
+        unfinished = files.exists(path) and not files.getFileStatus(path).getLen()
+        stream = files.create(path, unfinished)
+        try:
+            stream.write(bytearray(json.dumps(content).encode()))
+        finally:
+            stream.close()
+
+    def batch(self, number: int) -> dict | None:
+        return self._get(f"_batches/{number:012d}.json") if number >= 0 else None
+
+    def commit(self, number: int, content: dict) -> None:
+        self._put(f"_batches/{number:012d}.json", content)
+
+    def count(self) -> int:
+        """Number of committed batches, found by doubling and halving: no listing."""
+        high = 1
+        while self.batch(high - 1):
+            high *= 2
+        low = high // 2
+        while low < high - 1:
+            middle = (low + high) // 2
+            low, high = (middle, high) if self.batch(middle - 1) else (low, middle)
+        return low
+
+    def run(self, start: int, size: int) -> dict | None:
+        return self._get(f"_runs/{start:012d}-{size}.json")
+
+    def commit_run(self, start: int, size: int, content: dict) -> None:
+        self._put(f"_runs/{start:012d}-{size}.json", content)
+
+    def parts(self, count: int, start: int = 0) -> list[str]:
+        """Parts that together hold the batches from ``start`` up to ``count`` once, in order."""
+        found, at = [], start
+        while at < count:
+            size = 1
+            while at % (size * self.fan_out) == 0 and at + size * self.fan_out <= count:
+                size *= self.fan_out
+            marker = None
+            while size > 1 and not (marker := self.run(at, size)):
+                size //= self.fan_out
+            found.append((marker if size > 1 else self.batch(at))["part"])
+            at += size
+        return found
+
+    def open_runs(self, count: int) -> list[tuple[int, int]]:
+        """Whole runs of the first ``count`` batches that are not folded yet, the short ones first."""
+        found, size = [], self.fan_out
+        while size <= count:
+            newest_first = range(count // size * size - size, -1, -size)
+            for start in newest_first:
+                if self.run(start, size):
+                    break
+                found.append((start, size))
+            size *= self.fan_out
+        return sorted(found, key=lambda run: (run[1], run[0]))
+
+
+class PartTable:
     def __init__(self, path: str, schema: T.StructType, time_column: str, unit: str = "month"):
         self.path = path
         self.columns = schema.names
@@ -50,21 +121,26 @@ class BatchTable:
         self.time_column = time_column
         self.unit = unit
 
-    def write(self, rows: DataFrame, batch: int, from_batch: int | None = None) -> None:
-        """Store the rows of one batch, replacing what an earlier attempt may have left."""
-        start = batch if from_batch is None else from_batch
-        folder = f"{self.path}/from_batch={start}/to_batch={batch}"
-        write_by_period(rows.select(*self.columns), self.time_column, self.unit, folder)
+    def write(self, rows: DataFrame, part: str) -> None:
+        """A period keeps together unless it is large, then it is split."""
+        (
+            rows.select(*self.columns)
+            .withColumn("period", period_of(self.time_column, self.unit))
+            .hint("rebalance", F.col("period"))
+            .sortWithinPartitions("period", self.time_column)
+            .write.partitionBy("period")
+            .parquet(f"{self.path}/part={part}")
+        )
 
     def read(
         self,
         spark: SparkSession,
-        up_to: int | None = None,
+        parts: list[str],
         since: datetime | str | None = None,
         periods: list[date] | None = None,
     ) -> DataFrame:
-        """Rows of the written batches: of those up to a batch id, from a time on, of some periods."""
-        rows = self._open(spark, self.chosen(spark, up_to))
+        """Rows of some parts: from a time on, of some periods."""
+        rows = self._open(spark, parts)
         if since is not None:
             start = F.lit(since).cast("timestamp")
             rows = rows.filter((F.col("period") >= period_of(start, self.unit)) & (F.col(self.time_column) >= start))
@@ -72,37 +148,25 @@ class BatchTable:
             rows = rows.filter(F.col("period").isin(periods))
         return rows.select(*self.columns)
 
-    def read_batch(self, spark: SparkSession, batch: int) -> DataFrame:
-        return self._open(spark, [(batch, batch)]).select(*self.columns)
-
-    def compact(
-        self, spark: SparkSession, up_to: int, fold: Callable[[DataFrame], DataFrame] = lambda rows: rows
-    ) -> None:
-        """Write all batches up to an id as one; readers take it from then on."""
-        chosen = self.chosen(spark, up_to)
-        if len(chosen) > 1:
-            self.write(fold(self.read(spark, up_to)), up_to, from_batch=chosen[0][0])
-
-    def chosen(self, spark: SparkSession, up_to: int | None = None) -> list[tuple[int, int]]:
-        """Batch ranges that together hold every written batch once, the widest ones first."""
-        taken, covered = [], -1
-        for first, last in sorted(self._written(spark), key=lambda r: (r[0], -r[1])):
-            if first > covered and (up_to is None or last <= up_to):
-                taken.append((first, last))
-                covered = last
-        return taken
-
-    def _written(self, spark: SparkSession) -> list[tuple[int, int]]:
-        marks = spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/from_batch=*/to_batch=*/_SUCCESS")
-        files = marks.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(marks)
-        ranges = []
-        for mark in files or []:
-            folder = mark.getPath().getParent()
-            ranges.append(tuple(int(p.getName().split("=")[1]) for p in (folder.getParent(), folder)))
-        return ranges
-
-    def _open(self, spark: SparkSession, ranges: list[tuple[int, int]]) -> DataFrame:
-        if not ranges:
+    def read_periods(
+        self, spark: SparkSession, newest: dict[str, str], since: datetime | str | None = None
+    ) -> DataFrame:
+        """Rows of each period from the one part that holds its newest version. ``newest``: period to part."""
+        held: dict[str, list[date]] = {}
+        for period, part in newest.items():
+            held.setdefault(part, []).append(date.fromisoformat(period))
+        rows = self._open(spark, sorted(held))
+        chosen = F.lit(False)
+        for part, periods in held.items():
+            chosen = chosen | ((F.col("part") == part) & F.col("period").isin(periods))
+        rows = rows.filter(chosen)
+        if since is not None:
+            start = F.lit(since).cast("timestamp")
+            rows = rows.filter((F.col("period") >= period_of(start, self.unit)) & (F.col(self.time_column) >= start))
+        return rows.select(*self.columns)
+
+    def _open(self, spark: SparkSession, parts: list[str]) -> DataFrame:
+        if not parts:
             return spark.createDataFrame([], self.schema)
-        folders = [f"{self.path}/from_batch={a}/to_batch={b}" for a, b in ranges]
+        folders = [f"{self.path}/part={part}" for part in parts]
         return spark.read.schema(self.schema).option("basePath", self.path).parquet(*folders)

@@ -1,22 +1,28 @@
-"""Raw rows to clean trades to derived tables, one micro-batch at a time.
+"""Raw rows to clean trades to derived tables, one batch at a time.
 
-One ``foreachBatch`` serves every derived table: the clean rows of a batch are written once, read
-back, and summarised to one wide set of partial measures for candles, flow and average price.
+One ``foreachBatch`` serves every derived table: the clean rows of a batch are written once, read back, and
+summarised to one wide set of partial measures. Finished candles, flow and average prices are then written
+anew for the periods the batch touches, from all partial measures of those periods; readers scan them.
 """
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
-from datetime import datetime
+from datetime import date, datetime
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tradeloom import schemas
-from tradeloom.functions import measures
+from tradeloom.functions import fields, measures
 from tradeloom.operators import merge, normalize, signals
-from tradeloom.streaming.batches import BatchTable, period_of, write_by_period
+from tradeloom.streaming.batches import Markers, PartTable, period_of
+
+#: Finished tables: what makes their rows out of folded measures.
+FINISHED = {"ohlc": measures.candles, "flow": measures.taker_flow, "vwap": measures.average_prices}
 
 
 @dataclass(frozen=True)
@@ -24,23 +30,33 @@ class Settings:
     rules: normalize.Rules = normalize.Rules()
     bucket: str = "1 minute"
     large_trade_value: float = schemas.LARGE_TRADE_VALUE
-    # Decimal places of exact sums; None sums doubles.
-    sum_scale: int | None = None
-    # True if equal ids always carry equal times: known ids are then looked up in the batch's periods only.
-    id_fixes_time: bool = False
-    # Folder granularity of the written tables.
+    # A live trade that is sent again has its id and its time again, and a hash of the content holds the time;
+    # so such ids are looked up in the batch's periods only. Ids of files are always looked up everywhere.
+    live_ids_fix_time: bool = True
+    # Folder granularity of the written tables: year, month, week or day.
     period: str = "month"
+    # So many batches, or runs of batches, are folded into one part.
+    fan_out: int = 8
 
 
 class Medallion:
     def __init__(self, root: str, settings: Settings = Settings()):
         self.settings = settings
-        self.root = root
+        self.root = root.rstrip("/")
         unit = settings.period
-        self.silver = BatchTable(f"{root}/silver", schemas.SILVER, "event_time", unit)
-        self.rejected = BatchTable(f"{root}/rejected", schemas.REJECTED, "event_time", unit)
-        self.partials = BatchTable(f"{root}/partials", schemas.partial_schema(settings.sum_scale), "bucket", unit)
-        self.large = BatchTable(f"{root}/large_trades", schemas.LARGE_TRADES, "event_time", unit)
+        self.silver = PartTable(f"{root}/silver", schemas.SILVER, "event_time", unit)
+        self.rejected = PartTable(f"{root}/rejected", schemas.REJECTED, "event_time", unit)
+        self.partials = PartTable(f"{root}/partials", schemas.PARTIALS, "bucket", unit)
+        self.large = PartTable(f"{root}/large_trades", schemas.LARGE_TRADES, "event_time", unit)
+        self.finished = {
+            name: PartTable(f"{root}/gold/{schemas.GOLD_TABLES[name]}", schemas.FINISHED[name], time, unit)
+            for name, time in (("ohlc", "candle_time"), ("flow", "window_start"), ("vwap", "window_start"))
+        }
+
+    def _markers(self, spark: SparkSession) -> Markers:
+        return Markers(spark, self.root, self.settings.fan_out)
+
+    # --- writing ----------------------------------------------------------------------------
 
     def start(self, raw: DataFrame, checkpoint: str, **trigger) -> StreamingQuery:
         """Run over a raw stream. Restarts go on where the checkpoint ends."""
@@ -52,71 +68,124 @@ class Medallion:
             .start()
         )
 
-    def process(self, raw: DataFrame, batch: int) -> None:
-        """Write everything that follows from one batch; doing it again gives the same tables."""
-        spark, settings = raw.sparkSession, self.settings
-        checked = normalize.with_reject_reason(normalize.normalize(raw, settings.rules))
+    def process(self, raw: DataFrame, batch: int, stream: str | None = None) -> None:
+        """Store one batch of raw rows; see ``store``. A running stream is told by its checkpoint's id."""
+        stream = stream or raw.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or "manual"
+        checked = normalize.with_reject_reason(normalize.normalize(raw, self.settings.rules))
+        self.store(checked, batch, stream)
+
+    def store(self, checked: DataFrame, batch: int, stream: str = "manual") -> None:
+        """Write everything that follows from one batch of trades with reject reasons, then commit it.
+
+        A batch that its stream has committed already is left alone, so delivering it again changes nothing;
+        numbers of different streams do not meet.
+        """
+        spark, settings = checked.sparkSession, self.settings
+        markers = self._markers(spark)
+        number = markers.count()
+        last = markers.batch(number - 1) or {"streams": {}, "gold": {}}
+        if batch <= last["streams"].get(stream, -1):
+            return
+        part, earlier = uuid.uuid4().hex, markers.parts(number)
+
         checked.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             # This first write fills the cache, so the joins below are planned with its true size.
-            self.rejected.write(checked.filter("reject_reason IS NOT NULL"), batch)
+            self.rejected.write(checked.filter("reject_reason IS NOT NULL"), part)
             accepted = checked.filter("reject_reason IS NULL").drop("reject_reason")
-            known = self._known_trades(spark, accepted, batch)
+            known = self._known_trades(spark, accepted, earlier)
             unique = normalize.first_per_id(accepted)
             wanted = accepted.select("event_id").distinct()
-            self.silver.write(merge.absent_rows(unique, known, wanted=wanted), batch)
+            self.silver.write(merge.absent_rows(unique, known, wanted=wanted), part)
         finally:
             checked.unpersist()
 
         # Read back what was written: later steps neither recompute nor depend on cached blocks.
-        trades = normalize.derivable(self.silver.read_batch(spark, batch))
-        self.partials.write(measures.summarise(trades, settings.bucket, settings.sum_scale), batch)
-        self.large.write(signals.large_trades(trades, settings.large_trade_value), batch)
-
-    def _known_trades(self, spark: SparkSession, accepted: DataFrame, batch: int) -> DataFrame:
-        """Clean trades of earlier batches; a replayed batch does not see its own."""
-        if not self.settings.id_fixes_time:
-            return self.silver.read(spark, up_to=batch - 1)
-        # As many rows as the batch has periods, however many trades it holds.
-        periods = accepted.select(period_of("event_time", self.settings.period).alias("period")).distinct()
-        return self.silver.read(spark, up_to=batch - 1, periods=[row.period for row in periods.collect()])
+        trades = normalize.derivable(self.silver.read(spark, [part]))
+        self.partials.write(measures.summarise(trades, settings.bucket), part)
+        self.large.write(signals.large_trades(trades, settings.large_trade_value), part)
+        touched = self._periods(self.partials.read(spark, [part]), "bucket")
+        folded = measures.combine(self.partials.read(spark, [*earlier, part], periods=touched))
+        for name, finish in FINISHED.items():
+            self.finished[name].write(finish(folded), part)
+        gold = last["gold"] | {day.isoformat(): part for day in touched}
+        markers.commit(number, {"part": part, "streams": last["streams"] | {stream: batch}, "gold": gold})
+        if (number + 1) % settings.fan_out == 0:
+            self.compact(spark)
+
+    def _periods(self, rows: DataFrame, time: str) -> list[date]:
+        """As many rows as there are periods, however many trades they hold."""
+        found = rows.select(period_of(time, self.settings.period).alias("period")).distinct().collect()
+        return sorted(row.period for row in found)
+
+    def _known_trades(self, spark: SparkSession, accepted: DataFrame, parts: list[str]) -> DataFrame:
+        """Trades of earlier batches that may have ids of this one."""
+        everywhere = self.silver.read(spark, parts)
+        if not self.settings.live_ids_fix_time:
+            return everywhere
+        from_file = F.col("event_id").startswith(fields.FILE_ID)
+        periods = self._periods(accepted.filter(~from_file), "event_time")
+        known = self.silver.read(spark, parts, periods=periods).filter(~from_file)
+        if accepted.filter(from_file).isEmpty():
+            return known
+        return known.unionByName(everywhere.filter(from_file))
+
+    def compact(self, spark: SparkSession, up_to: int | None = None) -> None:
+        """Fold whole runs of committed batches up to a number; called by itself every ``fan_out`` batches."""
+        markers = self._markers(spark)
+        count = markers.count()
+        if up_to is not None and not 0 <= up_to < count:
+            raise ValueError(f"batches 0 to {count - 1} are committed")
+        for start, size in markers.open_runs(count if up_to is None else up_to + 1):
+            parts, part = markers.parts(start + size, start), uuid.uuid4().hex
+            for table in (self.silver, self.rejected, self.large):
+                table.write(table.read(spark, parts), part)
+            self.partials.write(measures.combine(self.partials.read(spark, parts)), part)
+            markers.commit_run(start, size, {"part": part})
+
+    # --- reading ----------------------------------------------------------------------------
+
+    def parts(self, spark: SparkSession, as_of: int | None = None) -> list[str]:
+        """Parts of all committed batches, or of those up to a number."""
+        markers = self._markers(spark)
+        return markers.parts(self._count(markers, as_of))
+
+    @staticmethod
+    def _count(markers: Markers, as_of: int | None) -> int:
+        count = markers.count()
+        return count if as_of is None else min(count, as_of + 1)
 
     def trades(self, spark: SparkSession, as_of: int | None = None, since: datetime | str | None = None) -> DataFrame:
-        return self.silver.read(spark, as_of, since)
+        return self.silver.read(spark, self.parts(spark, as_of), since)
 
-    def measures(self, spark: SparkSession, as_of: int | None = None, since: datetime | str | None = None) -> DataFrame:
-        """Measures of all batches, or of those up to ``as_of``, folded per symbol and bucket."""
-        return measures.combine(self.partials.read(spark, as_of, since))
+    def quarantine(self, spark: SparkSession, as_of: int | None = None) -> DataFrame:
+        return self.rejected.read(spark, self.parts(spark, as_of))
+
+    def whales(self, spark: SparkSession, as_of: int | None = None, since: datetime | str | None = None) -> DataFrame:
+        return self.large.read(spark, self.parts(spark, as_of), since)
+
+    def gold(
+        self, spark: SparkSession, name: str, as_of: int | None = None, since: datetime | str | None = None
+    ) -> DataFrame:
+        """A finished table as of the newest batch or an earlier one."""
+        markers = self._markers(spark)
+        marker = markers.batch(self._count(markers, as_of) - 1) or {"gold": {}}
+        return self.finished[name].read_periods(spark, marker["gold"], since)
 
     def ohlc(self, spark: SparkSession, as_of: int | None = None, since: datetime | str | None = None) -> DataFrame:
-        return measures.candles(self.measures(spark, as_of, since), self.settings.sum_scale)
+        return self.gold(spark, "ohlc", as_of, since)
 
     def flow(self, spark: SparkSession, as_of: int | None = None, since: datetime | str | None = None) -> DataFrame:
-        return measures.taker_flow(self.measures(spark, as_of, since), self.settings.sum_scale)
+        return self.gold(spark, "flow", as_of, since)
 
     def vwap(self, spark: SparkSession, as_of: int | None = None, since: datetime | str | None = None) -> DataFrame:
-        return measures.average_prices(self.measures(spark, as_of, since), self.settings.sum_scale)
+        return self.gold(spark, "vwap", as_of, since)
 
-    def whales(self, spark: SparkSession, as_of: int | None = None, since: datetime | str | None = None) -> DataFrame:
-        return self.large.read(spark, as_of, since)
-
-    def compact(self, spark: SparkSession, up_to: int) -> None:
-        """Fold the batches up to an id into one each; reads as of an earlier batch still work."""
-        self.silver.compact(spark, up_to)
-        self.rejected.compact(spark, up_to)
-        self.large.compact(spark, up_to)
-        self.partials.compact(spark, up_to, measures.combine)
-
-    def publish(self, spark: SparkSession, version: int) -> dict[str, str]:
-        """Write the finished derived tables as of a batch; returns name -> folder."""
-        finished = {
-            "ohlc": (self.ohlc(spark, version), "candle_time"),
-            "whale": (self.whales(spark, version), "event_time"),
-            "flow": (self.flow(spark, version), "window_start"),
-            "vwap": (self.vwap(spark, version), "window_start"),
-        }
+    def publish(self, spark: SparkSession, as_of: int | None = None) -> dict[str, str]:
+        """Copy the derived tables into one folder each, to be registered under names; returns name -> folder."""
+        tables = {name: self.gold(spark, name, as_of) for name in FINISHED} | {"whale": self.whales(spark, as_of)}
         folders = {}
-        for name, (rows, time) in finished.items():
-            folders[name] = f"{self.root}/gold/{schemas.GOLD_TABLES[name]}/version={version}"
-            write_by_period(rows, time, self.settings.period, folders[name])
+        for name, rows in tables.items():
+            folders[name] = f"{self.root}/published/{schemas.GOLD_TABLES[name]}/{uuid.uuid4().hex}"
+            rows.write.parquet(folders[name])
         return folders
