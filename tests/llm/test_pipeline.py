@@ -34,7 +34,7 @@ def check_stages(spark, docs, folder):
         before = kept[name]
 
     good = kept[names[0]].collect()
-    assert len(good) == sum(not r.rejected for r in quality.classify(docs).collect())
+    assert len(good) == sum(r.kept for r in quality.classify(docs).collect())
     newest = {}
     for row in good:
         body = normal(row.text)

@@ -119,9 +119,9 @@ def test_label_model_finds_the_accuracies():
 
 def test_classifier_against_labels(spark, documents):
     labels = spark.read.parquet(f"{SF_DIR}/labels.parquet")
-    got = quality.classify(documents).join(labels, "doc_id").select("quality", "rejected").collect()
-    good = [r.rejected for r in got if r.quality == 1]
-    junk = [r.rejected for r in got if r.quality == 0]
+    got = quality.classify(documents).join(labels, "doc_id").select("quality", "kept").collect()
+    good = [not r.kept for r in got if r.quality == 1]
+    junk = [not r.kept for r in got if r.quality == 0]
     assert sum(good) <= 0.02 * len(good)
     assert sum(junk) >= 0.8 * len(junk)
 
@@ -131,10 +131,10 @@ def test_classifier_of_odd_rows(frame):
     docs = frame(*rows)
     got = quality.classify(docs).collect()
     assert len(got) == len(rows)
-    assert not any(r.rejected for r in got if r.doc_id in (4, 5, 6))
+    assert all(r.kept for r in got if r.doc_id in (4, 5, 6))
     kept = quality.keep_good(docs)
     assert kept.columns == docs.columns
-    assert kept.count() == sum(not r.rejected for r in got)
+    assert kept.count() == sum(r.kept for r in got)
     assert quality.classify(frame()).count() == quality.keep_good(frame()).count() == 0
 
 

@@ -26,7 +26,8 @@ TRAINING_DOCUMENTS = 8192
 DIMENSIONS = 1024
 #: Rejected from this chance of junk on.
 REJECT_FROM = 0.5
-CACHE_WORDS = 300_000
+#: Words whose signs a Python worker keeps.
+CACHE_WORDS = 150_000
 
 ABSTAIN, GOOD, JUNK = 0, 1, 2
 #: (trait, junk if above, good if below) or, with the signs turned, (trait, junk if below, good if above).
@@ -268,7 +269,7 @@ def classify(
     text_column: str = "text",
     training_documents: int = TRAINING_DOCUMENTS,
 ) -> DataFrame:
-    """Per row: id, pattern (votes as digits of base 3), label_junk (label model), junk (scorer), rejected.
+    """Per row: id, pattern (votes as digits of base 3), label_junk (label model), junk (scorer), kept.
 
     The scorer decides. Texts of fewer than 12 words get no votes but are scored; texts without words, null
     ones among them, are kept. Repeated rows count as often as they come. An empty table gives no rows.
@@ -286,14 +287,14 @@ def classify(
                     batch.column("pattern"),
                     pa.array([model.value.posteriors[p] for p in patterns], pa.float64()),
                     pa.array(junk, pa.float64()),
-                    pa.array([j >= REJECT_FROM for j in junk], pa.bool_()),
+                    pa.array([j < REJECT_FROM for j in junk], pa.bool_()),
                 ],
-                names=["id", "pattern", "label_junk", "junk", "rejected"],
+                names=["id", "pattern", "label_junk", "junk", "kept"],
             )
 
     id_type = described.schema["id"].dataType.simpleString()
     return described.mapInArrow(
-        run, f"id {id_type}, pattern int, label_junk double, junk double, rejected boolean"
+        run, f"id {id_type}, pattern int, label_junk double, junk double, kept boolean"
     ).withColumnRenamed("id", id_column)
 
 
