@@ -7,7 +7,7 @@ import os
 import statistics
 import time
 
-from tradeloom.plans.queries import QUERIES
+from tradeloom.plans.queries import QUERIES, forget_stores
 from tradeloom.session import local_session
 
 HEADLINE = [
@@ -35,10 +35,17 @@ HEADLINE = [
     "dashboard_by_symbol",
     "gold_stats",
     "stream_ohlc",
+    "stream_silver",
+    "gold_late_batch",
 ]
+# What these time is the writing of the tables; all other queries scan tables that the warm-up has written.
+WRITING = {"stream_ohlc", "stream_silver", "gold_late_batch"}
 
 
-def timed(query, spark, sf_dir: str) -> float:
+def timed(name: str, spark, sf_dir: str) -> float:
+    if name in WRITING:
+        forget_stores()
+    query = QUERIES[name]
     start = time.perf_counter()
     query(spark, sf_dir).write.format("noop").mode("overwrite").save()
     return time.perf_counter() - start
@@ -53,8 +60,8 @@ def main() -> None:
     spark.sparkContext.setLogLevel("ERROR")
     seconds = {}
     for name in names:
-        timed(QUERIES[name], spark, sf_dir)
-        seconds[name] = round(statistics.median(timed(QUERIES[name], spark, sf_dir) for _ in range(runs)), 3)
+        timed(name, spark, sf_dir)
+        seconds[name] = round(statistics.median(timed(name, spark, sf_dir) for _ in range(runs)), 3)
     spark.stop()
     print(
         json.dumps(

@@ -181,17 +181,17 @@ def test_file_ids_are_known_on_every_day(spark, tmp_path):
 
 def test_the_number_of_parts_grows_with_the_logarithm(spark, tmp_path):
     """Parts named by the batches they hold, folded as ``compact`` folds them."""
-    markers, most = Markers(spark, str(tmp_path), fan_out=4), 0
-    for number in range(150):
+    markers, most = Markers(spark, str(tmp_path), fan_out=3), 0
+    for number in range(60):
         markers.commit(number, {"part": f"{number}-{number + 1}", "streams": {}})
-        if (number + 1) % 4 == 0:
+        if (number + 1) % 3 == 0:
             for start, size in markers.open_runs(number + 1):
                 held = [tuple(map(int, p.split("-"))) for p in markers.parts(start + size, start)]
-                assert held[0][0] == start and held[-1][1] == start + size and len(held) <= 4
+                assert held[0][0] == start and held[-1][1] == start + size and len(held) <= 3
                 markers.commit_run(start, size, {"part": f"{start}-{start + size}"})
-        most = max(most, len(markers.parts(number + 1)))
-    assert markers.count() == 150 and most <= 3 * 4
-    for count in range(0, 151, 7):
+            most = max(most, len(markers.parts(number + 1)))
+    assert markers.count() == 60 and most <= 2 * 4
+    for count in range(0, 61, 7):
         at = 0
         for part in markers.parts(count):
             start, end = map(int, part.split("-"))

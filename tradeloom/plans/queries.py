@@ -229,6 +229,11 @@ def _store(spark, sf_dir: str, label: str, build: Callable[[Medallion], None], s
     return _stores[key]
 
 
+def forget_stores() -> None:
+    """Write the tables anew for the next query that reads them."""
+    _stores.clear()
+
+
 def _silver_store(spark, sf_dir) -> Medallion:
     """All raw rows of both kinds, stored as one batch."""
     return _store(spark, sf_dir, "silver", lambda store: store.process(_bronze(spark, sf_dir), 0), BY_YEAR)

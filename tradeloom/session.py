@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
+import io
 import uuid
 import zipfile
 from pathlib import Path
@@ -49,15 +49,31 @@ def ship_package(spark: SparkSession) -> None:
     context = spark.sparkContext
     if context.applicationId in _shipped:
         return
-    package = Path(__file__).resolve().parent
-    archive = Path(tempfile.mkdtemp(prefix="package-")) / "tradeloom.zip"
+    package, archive = Path(__file__).resolve().parent, io.BytesIO()
     with zipfile.ZipFile(archive, "w") as out:
         for file in sorted(package.rglob("*.py")):
             out.write(file, file.relative_to(package.parent))
-    context.addPyFile(str(archive))
+    place = f"{scratch_dir(spark, 'package')}/{package.name}.zip"
+    path, files = hadoop_file(spark, place)
+    write_file(files, path, archive.getvalue(), overwrite=False)
+    context.addPyFile(path.makeQualified(files.getUri(), files.getWorkingDirectory()).toString())
     _shipped.add(context.applicationId)
 
 
+def hadoop_file(spark: SparkSession, name: str):
+    """A path in any storage Spark can reach, and its file system."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(name)
+    return path, path.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def write_file(files, path, content: bytes, overwrite: bool) -> None:
+    stream = files.create(path, overwrite)
+    try:
+        stream.write(bytearray(content))
+    finally:
+        stream.close()
+
+
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A new folder in storage that every executor can reach.
 

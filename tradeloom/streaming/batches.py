@@ -22,6 +22,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tradeloom.session import hadoop_file, write_file
+
 _PLACE = [T.StructField("part", T.StringType()), T.StructField("period", T.DateType())]
 
 
@@ -40,8 +42,7 @@ class Markers:
         self.spark, self.root, self.fan_out = spark, root.rstrip("/"), fan_out
 
     def _file(self, name: str):
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}")
-        return path, path.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        return hadoop_file(self.spark, f"{self.root}/{name}")
 
     def _get(self, name: str) -> dict | None:
         """The content, or None if the marker is not there or was never finished."""
@@ -57,11 +58,7 @@ class Markers:
     def _put(self, name: str, content: dict) -> None:
         path, files = self._file(name)
         unfinished = files.exists(path) and not files.getFileStatus(path).getLen()
-        stream = files.create(path, unfinished)
-        try:
-            stream.write(bytearray(json.dumps(content).encode()))
-        finally:
-            stream.close()
+        write_file(files, path, json.dumps(content).encode(), overwrite=unfinished)
 
     def batch(self, number: int) -> dict | None:
         return self._get(f"_batches/{number:012d}.json") if number >= 0 else None
