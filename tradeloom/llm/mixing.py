@@ -137,10 +137,10 @@ def balanced_sample(units: DataFrame, seed: int) -> DataFrame:
     decided, left = None, units.filter("chance > 0 AND chance < 1")
     while True:
         strata = left.groupBy("stratum").agg(F.ceil(F.count("*") / BLOCK).cast("bigint").alias("blocks"))
-        dealt = left.join(strata, "stratum").select(
-            "*", F.pmod(F.col("spread"), F.col("blocks")).alias("block"), (F.col("blocks") == 1).alias("last")
-        )
-        flown = dealt.groupBy("stratum", "block").applyInPandas(_fly(seed), "row bigint, chance double")
+        # One key for a block: the blocks of a source that the join has brought together are dealt out again.
+        block = F.concat_ws(":", F.col("stratum"), F.pmod(F.col("spread"), F.col("blocks")))
+        dealt = left.join(strata, "stratum").select("*", block.alias("block"), (F.col("blocks") == 1).alias("last"))
+        flown = dealt.groupBy("block").applyInPandas(_fly(seed), "row bigint, chance double")
         done = written(left.drop("chance").join(flown, "row"), "cube")
         final = done.filter("chance IN (0, 1)").select("row", "chance")
         decided = final if decided is None else decided.union(final)
