@@ -1,10 +1,10 @@
 """Secret scan: fixed patterns, and a battery of randomness tests with false-discovery control.
 
 Candidates of the battery are long unbroken runs of letters, digits and the signs of the usual encodings.
-The smallest alphabet that holds a run's characters is its inferred encoding. Under the hypothesis that the characters are
-independent and uniform over it, three tests are made: chi-squared for the alphabet's uniformity, runs
-above and below the alphabet's middle, and lag-one serial correlation. A run that fails the combined
-tests is text. Passing proves little for a short run, so the second hypothesis, that a run is ordinary text,
+The smallest alphabet that holds a run's characters is its inferred encoding. Under the hypothesis that
+the characters are independent and uniform over it, three tests are made: chi-squared for the alphabet's
+uniformity, runs above and below the alphabet's middle, and lag-one serial correlation. A run that fails
+the combined tests is text. Passing proves little for a short run, so the second hypothesis, that a run is ordinary text,
 is tested as well: the ratio of its probability as random characters to that under the corpus's own
 character pairs has mean at most one for text, so one over it bounds a p-value, and it falls with the length
 by itself. The Benjamini-Hochberg step over all candidates of the corpus then sets the level at which
@@ -163,7 +163,8 @@ def log_pairs(texts: DataFrame) -> np.ndarray:
     """log10 of the chance of a character after another in the corpus outside long runs; 128 x 128."""
     counts = np.full(1 << 14, 0.5)
     # At most 2^14 rows, whatever the corpus.
-    for row in texts.mapInArrow(_pair_counts, "pair int, n bigint").groupBy("pair").agg(F.sum("n").alias("n")).collect():
+    pairs = texts.mapInArrow(_pair_counts, "pair int, n bigint").groupBy("pair").agg(F.sum("n").alias("n"))
+    for row in pairs.collect():
         counts[row.pair] += row.n
     counts = counts.reshape(128, 128)
     return np.log10(counts / counts.sum(axis=1, keepdims=True))
@@ -241,12 +242,14 @@ def _finish(level: float):
             base = batch.column("base").to_pylist()
             spans = []
             for text, extra in zip(base, batch.column("candidates").to_pylist()):
-                all_spans = [(int(s), KINDS.index(k), int(e)) for k, s, e in (x.split(":") for x in text.split(",") if x)]
+                parts = [x.split(":") for x in text.split(",") if x]
+                all_spans = [(int(start), KINDS.index(kind), int(end)) for kind, start, end in parts]
                 all_spans += [(c["start"], 3, c["end"]) for c in extra if c["p"] <= level]
                 spans.append(written_spans(all_spans))
             kept = batch.select(["id", "n_assign", "n_access", "n_hex"])
             digests = [hashlib.sha256(b.encode()).hexdigest() for b in base]
-            yield kept.append_column("base_sha256", pa.array(digests)).append_column("spans", pa.array(spans, pa.string()))
+            kept = kept.append_column("base_sha256", pa.array(digests, pa.string()))
+            yield kept.append_column("spans", pa.array(spans, pa.string()))
 
     return run
 
@@ -266,12 +269,8 @@ def find_secrets(docs: DataFrame, id_column: str = "doc_id", text_column: str =
         return _scan(pairs.value)(batches)
 
     columns = f"id {id_type}, n_assign bigint, n_access bigint, n_hex bigint"
-    scanned = written(
-        source.mapInArrow(
-            scan, f"{columns}, base string, runs bigint, candidates array<struct<start: bigint, end: bigint, p: double>>"
-        ),
-        "secrets",
-    )
+    found = "base string, runs bigint, candidates array<struct<start: bigint, end: bigint, p: double>>"
+    scanned = written(source.mapInArrow(scan, f"{columns}, {found}"), "secrets")
     level = discovery_level(scanned)
     return scanned.mapInArrow(_finish(level), f"{columns}, base_sha256 string, spans string").withColumnRenamed(
         "id", id_column

@@ -104,7 +104,9 @@ def with_next(rows: DataFrame, columns: list[str]) -> DataFrame:
     value = F.col("id").cast("double")
     ids = rows.select("id", value.alias("value"))
     row = ids.agg(F.min("value"), F.count_if(F.col("id").isNull())).first()
-    quantiles = ids.approxQuantile("value", [i / ranges for i in range(1, ranges)], 0.25 / ranges) if row[0] is not None else []
+    quantiles = []
+    if row[0] is not None:
+        quantiles = ids.approxQuantile("value", [i / ranges for i in range(1, ranges)], 0.25 / ranges)
     bounds = sorted({q for q in quantiles if q > row[0]})
     if row[1]:
         tie = rows.filter("id IS NULL").agg(F.min("tie")).first()[0]
@@ -119,7 +121,8 @@ def with_next(rows: DataFrame, columns: list[str]) -> DataFrame:
     stops = F.filter(
         F.array(here, F.when(starts, back), F.when(F.coalesce(first, F.lit(False)), last)), lambda s: s.isNotNull()
     )
-    dealt = ranged.select("*", F.explode(stops).alias("stop")).select("*", "stop.at", "stop.guest").drop("stop", "range")
+    dealt = ranged.select("*", F.explode(stops).alias("stop"))
+    dealt = dealt.select("*", "stop.at", "stop.guest").drop("stop", "range")
     order = Window.partitionBy("at").orderBy("guest", F.col("id").asc_nulls_first(), "tie")
     following = dealt.select("*", *[F.lead(c).over(order).alias(f"next_{c}") for c in columns])
     return following.filter("NOT guest").drop("at", "guest")
