@@ -9,38 +9,37 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tradeloom.llm import exact_dedup, mixing, near_dedup, packing, quality
-from tradeloom.llm.common import written
+from tradeloom.llm.common import prepared, written
 from tradeloom.llm.queries import vocabulary
-from tradeloom.session import configure, ship_package
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier calls junk go."""
-    ship_package(configure(spark))
+    prepared(spark)
     return quality.keep_good(docs)
 
 
 def exact_deduplication(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts the document with the largest id stays."""
-    ship_package(configure(spark))
+    prepared(spark)
     return exact_dedup.drop_exact_duplicates(docs)
 
 
 def simhash_deduplication(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of linked fingerprints the document with the smallest id stays."""
-    ship_package(configure(spark))
+    prepared(spark)
     return near_dedup.drop_near_duplicates(docs)
 
 
 def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents repeat, stay or go, so that the sources come near their target weights."""
-    ship_package(configure(spark))
+    prepared(spark)
     return mixing.mixed_documents(docs)
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of all documents of the mix with their places in sequences."""
-    ship_package(configure(spark))
+    prepared(spark)
     return packing.pack(docs, vocabulary("word_bpe_49k.json"))
 
 

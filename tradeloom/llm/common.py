@@ -11,17 +11,26 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradeloom.session import scratch_dir
+from tradeloom.session import configure, scratch_dir, ship_package
 
 #: Bytes of text after which a task hands on what it has gathered; bounds a task's memory.
 FLUSH_BYTES = 16 << 20
+#: Bytes of one Arrow batch between Spark and a Python worker.
+ARROW_BYTES = 8 << 20
 #: 2^24 bits, 2 MB: the size of every bitmap that is sent to all tasks, whatever it describes.
 BITMAP_BITS = 24
 
 
+def prepared(spark: SparkSession) -> SparkSession:
+    """The session with the library's settings, the package on its executors, and Arrow batches of a bounded size."""
+    ship_package(configure(spark))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BYTES))
+    return spark
+
+
 def written(frame: DataFrame, label: str) -> DataFrame:
     """Write a result to the shared folder and read it back: it is computed once and outlives executors."""
     folder = scratch_dir(frame.sparkSession, label)
@@ -53,10 +62,6 @@ def small_batches(batches: Iterator[pa.RecordBatch], rows: int = 1024) -> Iterat
             yield batch.slice(start, rows)
 
 
-def table_of(**columns) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(v) for v in columns.values()], names=list(columns))
-
-
 def hash_bitmap(hashes: DataFrame, column: str) -> np.ndarray:
     """A bitmap of the top 24 bits of 64-bit hashes: 2 MB at the driver for any number of hashes.
 

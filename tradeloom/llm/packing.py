@@ -23,8 +23,8 @@ from tradeloom.llm.common import small_batches, text_of, written
 SEQUENCE = 4096
 #: Pieces of one length that are ranked in one task.
 RANKED = 100_000
-#: Distinct words whose ids a Python worker keeps.
-CACHE_WORDS = 500_000
+#: Words whose ids a Python worker keeps in each of two generations; what is used again moves to the younger.
+CACHE_WORDS = 125_000
 
 
 # --- tokens ---------------------------------------------------------------------------------
@@ -55,7 +55,9 @@ class WordTokenizer:
         self.model = self.tokenizer.model
         self.letters = _byte_letters()
         self.words: dict[str, bytes] = {}
-        self.parts: dict[str, bytes] = {"": b""}
+        self.parts: dict[str, bytes] = {}
+        self.old_words: dict[str, bytes] = {}
+        self.old_parts: dict[str, bytes] = {}
 
     def ids(self, text: str) -> bytes:
         """Little-endian 32-bit ids."""
@@ -64,15 +66,19 @@ class WordTokenizer:
         missing = {w for w in split if w not in known}
         if missing:
             if len(known) + len(missing) > CACHE_WORDS:
-                known.clear()
-                self.parts = {"": b""}
+                self.old_words, self.words, known = known, {}, None
                 missing = set(split)
             self._learn(missing)
+            known = self.words
         return b"".join([known[w] for w in split])
 
     def _learn(self, words: set[str]) -> None:
         rest = []
         for word in words:
+            ids = self.old_words.get(word)
+            if ids is not None:
+                self.words[word] = ids
+                continue
             plain = _PLAIN.fullmatch(word)
             if plain:
                 self.words[word] = self._part(plain[1].lower()) + self._part(plain[2])
@@ -85,10 +91,15 @@ class WordTokenizer:
 
     def _part(self, part: str) -> bytes:
         ids = self.parts.get(part)
+        if ids is not None:
+            return ids
+        ids = self.old_parts.get(part)
         if ids is None:
             shown = part if part.isascii() else "".join([self.letters[b] for b in part.encode()])
             ids = b"".join([t.id.to_bytes(4, "little") for t in self.model.tokenize(shown)])
-            self.parts[part] = ids
+        if len(self.parts) >= CACHE_WORDS:
+            self.old_parts, self.parts = self.parts, {}
+        self.parts[part] = ids
         return ids
 
 

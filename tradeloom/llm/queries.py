@@ -19,7 +19,7 @@ from tradeloom.llm import (
     suffix_tree,
     token_counts,
 )
-from tradeloom.session import configure, ship_package
+from tradeloom.llm.common import prepared
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -28,8 +28,7 @@ ORACLES: dict[str, str] = {}
 
 def query(build: Query) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        ship_package(configure(spark))
-        return build(spark, sf_dir)
+        return build(prepared(spark), sf_dir)
 
     run.__name__, run.__doc__ = build.__name__, build.__doc__
     QUERIES[build.__name__] = run

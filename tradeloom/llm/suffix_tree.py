@@ -39,7 +39,7 @@ MIN_GAIN = 1.0
 DISCOUNT = 0.5
 #: Tokens gathered before a task hands on its counts.
 FLUSH_TOKENS = 2 << 20
-CACHE_WORDS = 500_000
+CACHE_WORDS = 250_000
 #: Added to every count in the base score.
 BASE_SMOOTHING = 0.1
 
@@ -350,7 +350,8 @@ def _wanted(batches):
         for block in np.unique(blocks):
             mine = b"".join(r for r, b in zip(rare, blocks) if b == block)
             words = np.unique(np.frombuffer(mine, dtype=np.int64))
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(words), block)), pa.array(words)], names=["block", "word"])
+            numbers = np.full(len(words), block)
+            yield pa.RecordBatch.from_arrays([pa.array(numbers), pa.array(words)], names=["block", "word"])
 
 
 def _finish(tree_of, columns: list[str]):

@@ -19,8 +19,8 @@ from tradeloom.llm.common import small_batches, text_of
 
 #: The sign that stands for a blank in the pieces.
 BLANK = "▁"
-#: Segments whose counts a Python worker keeps.
-CACHE_SEGMENTS = 700_000
+#: Segments whose counts a Python worker keeps in each of two generations; what is used again moves to the younger.
+CACHE_SEGMENTS = 200_000
 _SEGMENT = re.compile(r" *[^ \n]+|\n| +")
 
 
@@ -40,6 +40,7 @@ class PieceCounter:
         rank = {score: i for i, score in enumerate(order)}
         self.ranks = {piece: rank[score] for score, piece in pieces}
         self.counts: dict[str, int] = {}
+        self.old_counts: dict[str, int] = {}
         # Blanks open a piece or fill it, and no piece holds a line end: segments are independent.
         self.separable = not any("\n" in p or BLANK in p.lstrip(BLANK) for p in self.ranks)
 
@@ -54,14 +55,17 @@ class PieceCounter:
             return sum([counts[s] for s in segments])
         except KeyError:
             pass
-        if len(counts) > CACHE_SEGMENTS:
-            counts.clear()
         total = 0
         for segment in segments:
             n = counts.get(segment)
             if n is None:
-                n = self.merged(segment.replace(" ", BLANK))
+                n = self.old_counts.get(segment)
+                if n is None:
+                    n = self.merged(segment.replace(" ", BLANK))
                 if len(segment) <= 64:
+                    if len(counts) >= CACHE_SEGMENTS:
+                        self.old_counts, counts = counts, {}
+                        self.counts = counts
                     counts[segment] = n
             total += n
         return total
