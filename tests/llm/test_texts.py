@@ -130,6 +130,40 @@ def test_secrets_of_documents_and_planted_ones(spark, documents):
             assert not extra
 
 
+def test_secrets_behind_names_and_signs(frame, documents):
+    """Secrets that are one run with a name, a path or another parameter, and only their characters."""
+    rng = random.Random(15)
+    shapes = ["AWS_KEY={}", "sig={}", "SharedAccessKey={}==", "a/b_c/{}", "x-y/{}", "first={}&second=1", "a=b={}", "{}=a_b/c"]
+    rows, planted = [], {}
+    for i in range(40):
+        run, shape = secret(rng, "base62", 40), shapes[i % len(shapes)]
+        rows.append((i, f"some words and {shape.format(run)} and more of them"))
+        planted[i] = run
+    # The signs of the secret's own encoding do not cut it.
+    for i, kind in enumerate(["base64", "base64url"] * 4, 100):
+        planted[i] = secret(rng, kind, 44)
+        rows.append((i, f"some words and my_key={planted[i]} and more of them"))
+    rows += [(200, "a plain_name=of/some_words-and-paths/in_the=running_text/of_words here")]
+    for row in secret_scan.find_secrets(frame(*rows)).collect():
+        text, spans = dict(rows)[row.doc_id], [s.split(":") for s in row.spans.split(",") if s]
+        if row.doc_id not in planted:
+            assert not spans
+            continue
+        ((kind, a, b),) = spans
+        # A short piece of a path may stand before it if the wider encoding holds both.
+        assert kind == "random" and planted[row.doc_id] in text[int(a) : int(b)] and int(b) - int(a) <= 46
+
+
+def test_parts_of_runs():
+    def cut(run):
+        return [run[a:b] for a, b in secret_scan.parts(run)]
+
+    long = "A1b2" * 6
+    assert cut(long + "==") == [long + "=="] and cut("short=x" * 5) == [] and cut("=" * 30) == []
+    assert cut(f"k={long}={long}=") == [long, long + "="]
+    assert cut(f"a/b_c/{long}") == [f"c/{long}", long]
+
+
 def test_secrets_of_odd_rows(frame):
     got = secret_scan.find_secrets(frame(*odd_rows())).collect()
     assert len(got) == len(odd_rows()) and {r.spans for r in got} == {""}

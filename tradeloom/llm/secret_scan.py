@@ -1,7 +1,8 @@
 """Secret scan: fixed patterns, and a battery of randomness tests with false-discovery control.
 
 Candidates of the battery are long unbroken runs of letters, digits and the signs of the usual encodings.
-The smallest alphabet that holds a run's characters is its inferred encoding. Under the hypothesis that
+A run is cut at inner equals signs, and a part that no alphabet holds at the signs that break its encoding.
+The smallest alphabet that holds a part's characters is its inferred encoding. Under the hypothesis that
 the characters are independent and uniform over it, three tests are made: chi-squared for the alphabet's
 uniformity, runs above and below the alphabet's middle, and lag-one serial correlation. A run that fails
 the combined tests is text. Passing proves little for a short run, so the second hypothesis, that a run is ordinary text,
@@ -41,6 +42,9 @@ _ASSIGN_WORDS = ("password", "passwd", "secret", "token", "apikey", "api_key")
 _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"(?<![0-9a-f])[0-9a-f]{32,}")
 _RUN = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{20,}")
+#: Parts of a run, with the filling at its end; and what is left of a part that mixes the signs of two encodings.
+_PART = re.compile(r"[^=]+(?:=+\Z)?")
+_PURE = tuple(re.compile(rf"[^{signs}]+") for signs in ("_-", "+/", "+/_-"))
 
 # Alphabets from the smallest to the largest.
 ENCODINGS = {
@@ -85,6 +89,15 @@ def encoding(run: str) -> str | None:
     return next((name for name, places in _PLACES.items() if letters and letters <= places.keys()), None)
 
 
+def parts(run: str) -> list[tuple[int, int]]:
+    """(start, end) of what is tested of a run: long parts that an alphabet holds; those of one mixed part may overlap."""
+    found = set()
+    for part in _PART.finditer(run):
+        pure = [part] if encoding(part[0]) else [m for cut in _PURE for m in cut.finditer(run, *part.span())]
+        found.update(m.span() for m in pure if len(m[0].rstrip("=")) >= MIN_RANDOM)
+    return sorted(found)
+
+
 def _two_sided(z: float) -> float:
     return math.erfc(abs(z) / math.sqrt(2))
 
@@ -175,20 +188,30 @@ def log_pairs(texts: DataFrame) -> np.ndarray:
 
 def candidates(
     matches: list[re.Match], base: list[tuple[int, int, int]], pairs: np.ndarray
-) -> list[tuple[int, int, float]]:
-    """(start, end, log10 p) of the long runs that pass the battery and do not touch a base span."""
-    found = []
+) -> tuple[int, list[tuple[int, int, float]]]:
+    """Tests made, and (start, end, log10 p) of the parts of long runs that pass the battery and touch no base span.
+
+    Of overlapping parts, which are other readings of the same characters, the one of the least p is taken.
+    """
+    tests, found = 0, []
     for match in matches:
-        start, end, run = match.start(), match.end(), match[0]
-        if any(a < end and start < b for a, _, b in base):
-            continue
-        name = encoding(run)
-        if name is None or len(run.rstrip("=")) < MIN_RANDOM:
-            continue
-        evidence = text_evidence(run, name, pairs)
-        if evidence < 0 and battery(run, name) >= BATTERY_LEVEL:
-            found.append((start, end, evidence))
-    return found
+        tested, passed = parts(match[0]), []
+        # A run without a part to test counts as well, which only makes the level stricter.
+        tests += max(len(tested), 1)
+        for a, b in tested:
+            start, end, run = match.start() + a, match.start() + b, match[0][a:b]
+            if any(first < end and start < last for first, _, last in base):
+                continue
+            name = encoding(run)
+            evidence = text_evidence(run, name, pairs)
+            if evidence < 0 and battery(run, name) >= BATTERY_LEVEL:
+                passed.append((evidence, start, end))
+        taken = []
+        for evidence, start, end in sorted(passed):
+            if all(end <= first or last <= start for first, last, _ in taken):
+                taken.append((start, end, evidence))
+        found += sorted(taken)
+    return tests, found
 
 
 def _scan(pairs: np.ndarray):
@@ -197,8 +220,8 @@ def _scan(pairs: np.ndarray):
             texts = batch.column("text").to_pylist()
             base = [base_spans(t) for t in texts]
             matches = [list(_RUN.finditer(t)) for t in texts]
-            extra = [candidates(m, b, pairs) for m, b in zip(matches, base)]
-            runs = [len(m) for m in matches]
+            tested = [candidates(m, b, pairs) for m, b in zip(matches, base)]
+            runs, extra = [n for n, _ in tested], [found for _, found in tested]
             kinds = [[s[1] for s in b] for b in base]
             yield pa.RecordBatch.from_arrays(
                 [
@@ -220,7 +243,7 @@ _CANDIDATES = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("
 def discovery_level(scanned: DataFrame, rate: float = FALSE_DISCOVERY_RATE) -> float:
     """The largest log10 p at which Benjamini and Hochberg report a run; -inf if none.
 
-    All long runs of the corpus count as tests. P-values are rounded up to steps, which only makes the
+    All long runs of the corpus, or the parts tested of them, count as tests. P-values are rounded up to steps, which only makes the
     level stricter; so the counts of at most 4,000 steps decide.
     """
     tests = scanned.agg(F.sum("runs")).first()[0] or 0
