@@ -80,6 +80,36 @@ def test_distributions_add_up_and_longest_context_wins(spark, frame):
     assert chance("x b d", 2) > 0.7 > 0.5 > chance("x b c", 2)
 
 
+def test_scores_equal_those_of_the_tree_in_memory(documents, frame):
+    rng = np.random.default_rng(3)
+    few = [(i, " ".join(rng.choice(list("abcdefghij"), 30)) + f" only{i}" * (i % 3)) for i in range(200)]
+    for docs in (documents, frame(*odd_rows()), frame(*few), frame((1, "a b a b a b")), frame((1, "a a"), (2, "a a"))):
+        rows = docs.selectExpr("doc_id AS id", "text")
+        tree, counts = suffix_tree.train(rows.selectExpr("id", "coalesce(text, '') AS text"))
+        known = dict(counts.collect())
+        expected = []
+        for id_, text in rows.collect():
+            words = suffix_tree.tokens(text or "")
+            symbols = tree.symbols(words)
+            p = suffix_tree.predict(tree, symbols, suffix_tree.context_places(tree, symbols, np.array([0])))
+            rare = tree.root(np.array([known.get(w, 0) for w in words.view(np.int64).tolist()]))
+            expected.append((str(id_), len(words), np.log10(np.where(symbols < 0, p * rare, p)).sum()))
+        got = sorted((str(r.doc_id), r.n_tokens, r.score) for r in suffix_tree.score(docs).collect())
+        assert [g[2] for g in got] == pytest.approx([e[2] for e in sorted(expected)])
+
+
+def test_a_run_seen_often_is_kept_in_a_large_corpus(spark):
+    """Three occurrences among 4 million tokens: a threshold of one in a million would be 4."""
+    texts = spark.range(40_000).selectExpr("id AS doc_id", "repeat(concat('w', id % 50, ' '), 110) AS text")
+    told = [(-i, "copper lantern sings") for i in range(1, 30) if not suffix_tree.held_out(-i)][:3]
+    asked = [-1000 - i for i in range(100) if suffix_tree.held_out(-1000 - i)][:2]
+    rows = told + [(asked[0], "copper lantern sings"), (asked[1], "lantern copper sings")]
+    docs = texts.union(spark.createDataFrame(rows, "doc_id bigint, text string"))
+    got = {r.doc_id: r for r in suffix_tree.score(docs).filter("doc_id < 0").collect()}
+    assert got[asked[0]].train_tokens > 3.5e6
+    assert got[asked[0]].score > got[asked[1]].score + 5
+
+
 def test_contexts_do_not_cross_documents():
     tree = suffix_tree.Tree(np.sort(suffix_tree.tokens("a b")), np.array([2, 2, 2]), 6, 3, 0.5)
     tree.levels.append(suffix_tree._candidates(np.arange(4), np.array([2, 2, 2, 2])))

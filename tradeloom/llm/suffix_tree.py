@@ -1,15 +1,16 @@
 """Language-model scores by a probabilistic suffix tree over words.
 
-A node of the tree is a context, a suffix of the words before a word, of variable length. Candidates are
-contexts that make up at least ``min_probability`` of the training tokens; so are the (context, word) pairs a node
-keeps. All other words of a node share one class. A node's distribution is smoothed by absolute
+A node of the tree is a context, a suffix of the words before a word, of variable length. Candidates are all
+contexts that occur at least ``MIN_COUNT`` times, at every size of the input; so are the (context, word) pairs a
+node keeps. All words below that count share one class. A node's distribution is smoothed by absolute
 discounting towards its parent, the context without its first word, down to the root, the discounted counts of all
 words with one place for unknown ones. A candidate is retained if the divergence of its counts from its
 parent's prediction, weighted by its count, is worth the pairs it keeps. A word is predicted by the longest
 suffix of what precedes it that is in the tree.
 
-The nodes are bounded by 1/min_probability at every size and are sent to all tasks. The counts of all
-words are not: they stay distributed, and each block of documents gets those of its own rare words by a join.
+The tree grows with the corpus and is held nowhere: words, contexts and pairs are rows, told apart by 64-bit hashes,
+the divergence test is made by grouped sums and joins to the parent, and each block of documents gets the
+rows of its own runs of words by a join. ``train`` builds the same tree in memory, for corpora that fit there.
 """
 
 from __future__ import annotations
@@ -27,10 +28,7 @@ from pyspark.sql import functions as F
 
 from tradeloom.llm.common import ascii_words, small_batches, text_of, written
 
-#: A word, a pair or a longer run is kept by itself from this share of the training tokens on: at most a
-#: million words, and as many entries for each length of context.
-MIN_PROBABILITY = 1e-6
-#: ... and from this count on.
+#: A word, a pair or a longer run is kept by itself from this count on.
 MIN_COUNT = 2
 #: Words of the longest context.
 DEPTH = 2
@@ -39,14 +37,17 @@ MIN_GAIN = 1.0
 DISCOUNT = 0.5
 #: Tokens gathered before a task hands on its counts.
 FLUSH_TOKENS = 2 << 20
+#: Tokens of a block of documents that is scored at once.
+BLOCK_TOKENS = 1 << 20
 CACHE_WORDS = 250_000
 #: Added to every count in the base score.
 BASE_SMOOTHING = 0.1
 
 #: Hashes of the two signs that are no words: blanks never occur in one.
 END, START = (np.uint64(xxhash.xxh64_intdigest(sign)) for sign in (b"\n", b" "))
-#: The class of all words that are not kept by themselves.
+#: The class of all words that are not kept by themselves, and its hash.
 RARE = -1
+RARE_HASH = np.uint64(xxhash.xxh64_intdigest(b"\n "))
 
 
 # --- tokens ---------------------------------------------------------------------------------
@@ -114,7 +115,7 @@ class Level:
 
 @dataclass
 class Tree:
-    """Sent to all tasks; ``words`` are the hashes of the words kept by themselves, sorted."""
+    """``words`` are the hashes of the words kept by themselves, sorted."""
 
     words: np.ndarray
     counts: np.ndarray
@@ -265,17 +266,18 @@ def _candidates(contexts: np.ndarray, totals: np.ndarray) -> Level:
     return Level(contexts, totals, np.zeros(size, bool), np.ones(size), np.zeros(0, np.int64), np.zeros(0))
 
 
-def train(texts: DataFrame, depth: int = DEPTH, min_probability: float = MIN_PROBABILITY) -> tuple[Tree, DataFrame]:
-    """The tree, and the counts (word, n) of all training words. ``texts``: (id, text)."""
+def train(texts: DataFrame, depth: int = DEPTH) -> tuple[Tree, DataFrame]:
+    """The tree in memory, and the counts (word, n) of all training words. ``texts``: (id, text).
+
+    All its nodes come to the driver: this is for looking into a tree of a small corpus. ``score`` does not use it.
+    """
     spark = texts.sparkSession
     counts = written(
         texts.mapInArrow(_word_counts, "word bigint, n bigint").groupBy("word").agg(F.sum("n").alias("n")), "words"
     )
     row = counts.agg(F.sum("n"), F.count("*"), F.count_if(F.col("n") == 1), F.count_if(F.col("n") == 2)).first()
     total, distinct, once, twice = row[0] or 0, row[1], row[2], row[3]
-    least = max(MIN_COUNT, math.ceil(min_probability * total))
-    # At most 1/min_probability rows.
-    kept = counts.filter(F.col("n") >= least).toArrow()
+    kept = counts.filter(F.col("n") >= MIN_COUNT).toArrow()
     words, n = kept.column("word").to_numpy().view(np.uint64), kept.column("n").to_numpy()
     order = np.argsort(words)
     discount = once / (once + 2 * twice) if once and twice else 0.5
@@ -288,8 +290,7 @@ def train(texts: DataFrame, depth: int = DEPTH, min_probability: float = MIN_PRO
         tree.levels.append(_candidates(contexts, totals))
         sent = spark.sparkContext.broadcast(tree)
         counted = texts.mapInArrow(_context_counts(lambda sent=sent: sent.value), "key bigint, n bigint")
-        # At most 1/min_probability rows.
-        entries = counted.groupBy("key").agg(F.sum("n").alias("n")).filter(F.col("n") >= least).toArrow()
+        entries = counted.groupBy("key").agg(F.sum("n").alias("n")).filter(F.col("n") >= MIN_COUNT).toArrow()
         found = _grow(tree, entries, MIN_GAIN)
         # A longer context is a frequent pair of a context and a kept word that has a successor.
         symbol = tree.levels[-1].pairs % _width(tree)
@@ -298,82 +299,252 @@ def train(texts: DataFrame, depth: int = DEPTH, min_probability: float = MIN_PRO
     return tree, counts
 
 
-# --- scores ---------------------------------------------------------------------------------
+# --- the tree as tables ---------------------------------------------------------------------
+
 
+def _mix(context: np.ndarray, word: np.ndarray) -> np.ndarray:
+    """64-bit hashes of contexts followed by a word."""
+    x = (context * np.uint64(0x9E3779B97F4A7C15)) ^ word
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+def runs_of(words: np.ndarray, starts: np.ndarray, depth: int) -> tuple[list, list, list]:
+    """Hashes of the runs of 1 to depth + 1 words that end at each token, and of its contexts of 1 to depth words.
+
+    The third list tells where there is a context of that length: only the one word before a text is its start.
+    """
+    context = np.empty_like(words)
+    context[1:] = words[:-1]
+    context[starts] = START
+    there = np.ones(len(words), dtype=bool)
+    runs, contexts, exist = [words], [context], [there]
+    for d in range(1, depth + 1):
+        runs.append(_mix(contexts[-1], words))
+        if d < depth:
+            context, there = np.empty_like(words), np.zeros(len(words), dtype=bool)
+            context[1:], there[1:] = runs[-1][:-1], exist[-1][:-1]
+            there[starts] = False
+            contexts.append(context)
+            exist.append(there)
+    return runs, contexts, exist
 
-def _first_scores(tree_of):
-    """Per document what the kept words decide, and the hashes of its rare words; documents in numbered blocks."""
+
+def _signed(hashes: np.ndarray) -> pa.Array:
+    return pa.array(np.ascontiguousarray(hashes).view(np.int64))
+
+
+def _words_in_context(depth: int):
+    """(word, n, c1, c2, ...): the contexts of one occurrence; they are all of a word that occurs once."""
 
     def run(batches):
-        from pyspark import TaskContext
+        for words, starts in _training_blocks(batches):
+            _, contexts, exist = runs_of(words, starts, depth)
+            found, first, counts = np.unique(words, return_index=True, return_counts=True)
+            seen = [pa.array(c[first].view(np.int64), mask=~e[first]) for c, e in zip(contexts, exist)]
+            names = ["word", "n", *[f"c{d + 1}" for d in range(depth)]]
+            yield pa.RecordBatch.from_arrays([_signed(found), pa.array(counts), *seen], names=names)
 
-        tree = tree_of()
-        block, size = TaskContext.get().partitionId() << 24, 0
-        kept_base = tree.base(tree.counts)
-        for batch in small_batches(batches, 256):
-            texts = [tokens(t) for t in batch.column("text").to_pylist()]
-            lengths = np.array([len(t) for t in texts])
-            words = np.concatenate(texts)
-            starts = np.cumsum(lengths) - lengths
-            symbols = tree.symbols(words)
-            prediction = np.log10(predict(tree, symbols, context_places(tree, symbols, starts)))
-            known = symbols >= 0
-            base = np.where(known, kept_base[symbols] if len(kept_base) else 0.0, 0.0)
-            rare = words[~known].tobytes()
-            ends = np.cumsum(np.add.reduceat((~known).astype(np.int64), starts)) * 8
-            begins = np.concatenate([[0], ends[:-1]])
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(np.full(len(texts), block)),
-                    batch.column("id"),
-                    pa.array([held_out(i) for i in batch.column("id").to_pylist()]),
-                    pa.array(lengths),
-                    pa.array(np.add.reduceat(known.astype(np.int64), starts)),
-                    pa.array(np.add.reduceat(base, starts)),
-                    pa.array(np.add.reduceat(prediction, starts)),
-                    pa.array([rare[a:b] for a, b in zip(begins, ends)], pa.binary()),
-                ],
-                names=["block", "id", "held_out", "n_tokens", "n_known", "base_score", "score", "rare"],
-            )
-            size += len(words)
-            if size >= FLUSH_TOKENS:
-                block, size = block + 1, 0
+    return run
+
+
+_ENTRY = "depth int, key bigint, context bigint, parent bigint, rare boolean, n bigint"
+
+
+def _entries(depth, keys, contexts, parents, rare, counts):
+    columns = [pa.array(np.full(len(keys), depth, dtype=np.int32)), _signed(keys), _signed(contexts), _signed(parents)]
+    columns += [pa.array(np.full(len(keys), rare)), pa.array(counts)]
+    return pa.RecordBatch.from_arrays(columns, names=["depth", "key", "context", "parent", "rare", "n"])
+
+
+def _run_counts(depth: int):
+    """Runs of two and more words of the training texts."""
+
+    def run(batches):
+        for words, starts in _training_blocks(batches):
+            runs, contexts, exist = runs_of(words, starts, depth)
+            for d in range(1, depth + 1):
+                at = np.flatnonzero(exist[d - 1])
+                keys, first, counts = np.unique(runs[d][at], return_index=True, return_counts=True)
+                at = at[first]
+                yield _entries(d, keys, contexts[d - 1][at], runs[d - 1][at], False, counts)
+
+    return run
+
+
+def _rare_runs(depth: int):
+    """The same for contexts followed by the class of rare words, from the words that occur once."""
+
+    def run(batches):
+        for batch in batches:
+            shorter, there = np.full(batch.num_rows, RARE_HASH), np.ones(batch.num_rows, dtype=bool)
+            for d in range(1, depth + 1):
+                column = batch.column(f"c{d}")
+                there &= column.is_valid().to_numpy(zero_copy_only=False)
+                context = column.fill_null(0).to_numpy().view(np.uint64)
+                keys = _mix(context, np.full(len(context), RARE_HASH))
+                yield _entries(d, keys[there], context[there], shorter[there], True, np.ones(there.sum(), dtype=np.int64))
+                shorter = keys
 
     return run
 
 
-def _wanted(batches):
-    """(block, word): the rare words of a block, once per batch."""
-    for batch in batches:
-        blocks = batch.column("block").to_numpy()
-        rare = batch.column("rare").to_pylist()
-        for block in np.unique(blocks):
-            mine = b"".join(r for r, b in zip(rare, blocks) if b == block)
-            words = np.unique(np.frombuffer(mine, dtype=np.int64))
-            numbers = np.full(len(words), block)
-            yield pa.RecordBatch.from_arrays([pa.array(numbers), pa.array(words)], names=["block", "word"])
+def tables(texts: DataFrame, depth: int = DEPTH) -> tuple[Tree, DataFrame]:
+    """The root's numbers, and the tree as rows (key, n, value, backoff, rare_value). ``texts``: (id, text).
+
+    ``key`` is the hash of a run of words. ``n`` is given for single training words. ``value`` is log10 P of the last
+    word after the others, ``backoff`` that of what a retained context leaves to its parent, and ``rare_value`` that of
+    the factor by which a rare word's root probability is multiplied after the run.
+    """
+    spark = texts.sparkSession
+    seen = [f"c{d + 1}" for d in range(depth)]
+    words = texts.mapInArrow(_words_in_context(depth), f"word bigint, n bigint, {', '.join(f'{c} bigint' for c in seen)}")
+    words = words.groupBy("word").agg(F.sum("n").alias("n"), *[F.max(c).alias(c) for c in seen])
+    counts = written(words, "words")
+    often = F.col("n") >= MIN_COUNT
+    end = int(END.view(np.int64))
+    row = counts.agg(
+        F.sum("n"), F.count("*"), F.count_if(F.col("n") == 1), F.count_if(F.col("n") == 2),
+        F.sum(F.when(often, F.col("n"))), F.count_if(often), F.sum(F.when(F.col("word") == end, F.col("n"))),
+    ).first()
+    total, distinct, once, twice, kept_total, kept, ends = (v or 0 for v in row)
+    discount = once / (once + 2 * twice) if once and twice else 0.5
+    root = Tree(np.zeros(0, np.uint64), np.zeros(0, np.int64), total, distinct, discount)
+    rare_mass = max(1.0 - (kept_total - discount * kept) / total, 1e-12) if total else 1.0
+
+    counted = texts.mapInArrow(_run_counts(depth), _ENTRY)
+    counted = counted.union(counts.filter(~often).mapInArrow(_rare_runs(depth), _ENTRY))
+    counted = counted.groupBy("depth", "key").agg(
+        F.max("context").alias("context"), F.max("parent").alias("parent"), F.max("rare").alias("rare"), F.sum("n").alias("n")
+    )
+    entries = written(counted.filter(often), "runs")
+
+    def one(key, value, name):
+        return spark.range(1).select(F.lit(int(key.view(np.int64))).cast("bigint").alias("key"), F.lit(value).alias(name))
+
+    # Every word but the end has a successor, and the start has one in each text.
+    totals = counts.select(F.col("word").alias("key"), F.col("n").alias("total")).union(one(START, ends, "total"))
+    below = counts.filter(often).select(F.col("word").alias("key"), ((F.col("n") - discount) / max(total, 1)).alias("below"))
+    below = below.union(one(RARE_HASH, 1.0, "below"))
+    null = F.lit(None).cast("double")
+    rows = [counts.select(F.col("word").alias("key"), "n", null.alias("value"), null.alias("backoff"), null.alias("rare_value"))]
+    none = F.lit(0).cast("bigint").alias("n")
+    for d in range(1, depth + 1):
+        mine = entries.filter(F.col("depth") == d).drop("depth")
+        # Sums over contexts are written before they are joined, so that joins of common contexts can be split.
+        sums = mine.groupBy(F.col("context").alias("key")).agg(F.sum("n").alias("held"), F.count("*").alias("entries"))
+        left = 1 - (F.col("held") - DISCOUNT * F.col("entries")) / F.col("total")
+        left = F.least(F.greatest(left, F.lit(1e-12)), F.lit(1.0))
+        sums = written(sums.join(totals, "key").withColumn("backoff", left).withColumnRenamed("key", "context"), "contexts")
+        share = (F.col("n") - DISCOUNT) / F.col("total") / F.when(F.col("rare"), rare_mass).otherwise(1.0)
+        tested = mine.join(sums, "context").join(below.withColumnRenamed("key", "parent"), "parent")
+        tested = tested.withColumn("mine", share + F.col("backoff") * F.col("below"))
+        tested = written(tested.select("key", "context", "rare", "n", "below", "mine"), "tested")
+        # The gain in log-likelihood on the context's own counts: its divergence from the parent times its count.
+        gain = F.sum(F.col("n") * F.log(F.col("mine") / F.col("below"))).alias("gain")
+        retained = sums.join(tested.groupBy("context").agg(gain), "context")
+        rest = (F.col("total") - F.col("held")) * F.log("backoff")
+        retained = retained.filter(F.col("gain") + rest >= MIN_GAIN * (F.col("entries") + 1))
+        retained = written(retained.select("context", "backoff"), "retained")
+        there = retained.select("context", F.lit(True).alias("inside"))
+        value = F.when(F.col("inside"), F.col("mine")).otherwise(F.col("below")).alias("value")
+        valued = tested.join(there, "context", "left").select("key", "context", "rare", value)
+        valued = written(valued, "values")
+        totals = mine.filter(~F.col("rare")).select("key", F.col("n").alias("total"))
+        below = valued.select("key", F.col("value").alias("below"))
+        logged = F.log10("value")
+        rows += [
+            valued.filter(~F.col("rare")).select("key", none, logged, null, null),
+            valued.filter("rare").select(F.col("context"), none, null, null, logged),
+            retained.select("context", none, null, F.log10("backoff"), null),
+        ]
+    every = rows[0]
+    for more in rows[1:]:
+        every = every.union(more)
+    every = every.groupBy("key").agg(*[F.max(c).alias(c) for c in ("n", "value", "backoff", "rare_value")])
+    return root, every
+
+
+# --- scores ---------------------------------------------------------------------------------
+
 
+def _in_blocks(batches):
+    """Per document its words; documents in numbered blocks."""
+    from pyspark import TaskContext
 
-def _finish(tree_of, columns: list[str]):
-    """Add what the rare words of a block's documents contribute, once their counts are there."""
+    block, size = TaskContext.get().partitionId() << 24, 0
+    for batch in small_batches(batches, 256):
+        texts = [tokens(t) for t in batch.column("text").to_pylist()]
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array(np.full(len(texts), block)),
+                batch.column("id"),
+                pa.array([held_out(i) for i in batch.column("id").to_pylist()]),
+                pa.array([len(t) for t in texts], pa.int64()),
+                pa.array([t.tobytes() for t in texts], pa.binary()),
+            ],
+            names=["block", "id", "held_out", "n_tokens", "words"],
+        )
+        size += sum(map(len, texts))
+        if size >= BLOCK_TOKENS:
+            block, size = block + 1, 0
+
+
+def _block_runs(words: bytes, lengths: np.ndarray, depth: int):
+    words = np.frombuffer(words, dtype=np.uint64)
+    return runs_of(words, np.cumsum(lengths) - lengths, depth)
+
+
+def _wanted(depth: int):
+    """(block, key): the runs of words of a block, once per batch."""
+
+    def run(batches):
+        for batch in batches:
+            blocks, lengths = batch.column("block").to_numpy(), batch.column("n_tokens").to_numpy()
+            texts = batch.column("words").to_pylist()
+            for block in np.unique(blocks):
+                at = np.flatnonzero(blocks == block)
+                runs, _, exist = _block_runs(b"".join(texts[i] for i in at), lengths[at], depth)
+                for d, found in enumerate(runs):
+                    keys = np.unique(found[exist[d - 1]]) if d else np.unique(np.append(found, START))
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(keys), block)), _signed(keys)], names=["block", "key"])
+
+    return run
+
+
+def _finish(root: Tree, depth: int, columns: list[str]):
+    """Score a block's documents by the rows of its runs."""
 
     def run(docs: pd.DataFrame, found: pd.DataFrame) -> pd.DataFrame:
-        tree = tree_of()
-        order = np.argsort(found["word"].to_numpy())
-        words, counts = found["word"].to_numpy()[order], found["n"].to_numpy()[order]
-        out = docs.drop(columns=["rare", "block"])
-        lengths = np.array([len(r) // 8 for r in docs["rare"]], dtype=np.int64)
-        rare = np.frombuffer(b"".join(docs["rare"]), dtype=np.int64)
-        at = _lookup(words, rare)
-        n = np.where(at >= 0, counts[at] if len(counts) else 0, 0)
+        found = found.sort_values("key")
+        known = found["key"].to_numpy()
+
+        def looked_up(name, keys, there):
+            at = np.where(there, _lookup(known, keys.view(np.int64)), -1)
+            values = found[name].to_numpy(dtype=float)
+            return np.where(at >= 0, values[at] if len(values) else 0.0, np.nan)
+
+        lengths = docs["n_tokens"].to_numpy()
+        runs, contexts, exist = _block_runs(b"".join(docs["words"]), lengths, depth)
+        n = np.nan_to_num(looked_up("n", runs[0], True)).astype(np.int64)
+        rare, first = n < MIN_COUNT, np.log10(root.root(n))
+        prediction = np.where(rare, 0.0, first)
+        for d in range(depth):
+            after = looked_up("rare_value", contexts[d], exist[d])
+            value = np.where(rare, after, looked_up("value", runs[d + 1], exist[d]))
+            left = np.nan_to_num(looked_up("backoff", contexts[d], exist[d]))
+            prediction = np.where(np.isnan(value), left + prediction, value)
+        prediction += np.where(rare, first, 0.0)
         owner = np.repeat(np.arange(len(docs)), lengths)
 
         def per_document(values):
             return np.bincount(owner, weights=values, minlength=len(docs))
 
-        out["n_known"] = docs["n_known"].to_numpy() + per_document(n > 0).astype(np.int64)
-        out["base_score"] = docs["base_score"].to_numpy() + per_document(tree.base(n))
-        out["score"] = docs["score"].to_numpy() + per_document(np.log10(tree.root(n)))
+        out = docs.drop(columns=["words", "block"])
+        out["n_known"] = per_document(n > 0).astype(np.int64)
+        out["base_score"] = per_document(root.base(n))
+        out["score"] = per_document(prediction)
         return out[columns]
 
     return run
@@ -382,7 +553,6 @@ def _finish(tree_of, columns: list[str]):
 def score(
     docs: DataFrame,
     depth: int = DEPTH,
-    min_probability: float = MIN_PROBABILITY,
     id_column: str = "doc_id",
     text_column: str = "text",
 ) -> DataFrame:
@@ -390,31 +560,26 @@ def score(
 
     Rows whose id has a CRC-32 divisible by 10 are held out, all others train; a null id counts as the empty
     text there. A null or empty text is the end token alone. Repeated rows train as often as they come. Without
-    training rows every probability is 1. An empty table gives no rows. Words are told apart by 64-bit hashes.
+    training rows every probability is 1. An empty table gives no rows. Words and runs of words
+    are told apart by 64-bit hashes.
     """
-    spark = docs.sparkSession
     texts = docs.select(F.col(id_column).alias("id"), text_of(text_column).alias("text"))
     id_type = texts.schema["id"].dataType.simpleString()
-    tree, counts = train(texts, depth, min_probability)
-    sent = spark.sparkContext.broadcast(tree)
-
-    def tree_of():
-        return sent.value
-
+    root, tree = tables(texts, depth)
     numbers = f"id {id_type}, held_out boolean, n_tokens bigint, n_known bigint, base_score double, score double"
     columns = [c.split()[0] for c in numbers.split(", ")]
-    first = written(texts.mapInArrow(_first_scores(tree_of), f"block bigint, {numbers}, rare binary"), "scores")
-    wanted = first.select("block", "rare").mapInArrow(_wanted, "block bigint, word bigint")
-    found = wanted.join(counts, "word")
-    scored = (
-        first.groupBy("block").cogroup(found.groupBy("block")).applyInPandas(_finish(tree_of, columns), numbers)
-    )
+    held = f"block bigint, id {id_type}, held_out boolean, n_tokens bigint, words binary"
+    first = written(texts.mapInArrow(_in_blocks, held), "scores")
+    wanted = first.select("block", "n_tokens", "words").mapInArrow(_wanted(depth), "block bigint, key bigint")
+    found = wanted.join(tree, "key")
+    finish = _finish(root, depth, columns)
+    scored = first.groupBy("block").cogroup(found.groupBy("block")).applyInPandas(finish, numbers)
     return scored.select(
         F.col("id").alias(id_column),
         "held_out",
         "n_tokens",
         "n_known",
-        F.lit(tree.total).cast("bigint").alias("train_tokens"),
+        F.lit(root.total).cast("bigint").alias("train_tokens"),
         "base_score",
         "score",
     )
