@@ -168,6 +168,21 @@ def test_classifier_of_odd_rows(frame):
     assert quality.classify(frame()).count() == quality.keep_good(frame()).count() == 0
 
 
+def test_copies_enter_the_sample_one_by_one(frame, monkeypatch):
+    """Half of the rows are one text: about half of the sample is, not all or nothing."""
+    prose = "again and again one text of many plain words fills a good half of all the rows here"
+    other = [" ".join(f"{'ab' * (i % 7 + 1)}{j * i % 13}" for j in range(20)) + f" tail{i}" for i in range(400)]
+    docs = frame(*[(i, prose) for i in range(400)], *[(1000 + i, t) for i, t in enumerate(other)])
+    drawn, train = [], quality.train
+    monkeypatch.setattr(quality, "train", lambda features, chances: drawn.append(features) or train(features, chances))
+    quality.fit(quality.describe_documents(docs, "doc_id", "text"), 100)
+    copy = np.zeros(quality.DIMENSIONS, dtype=np.float32)
+    places, values = quality._unpack(quality._pack(quality.describe(prose)[1]))
+    copy[places] = values
+    assert len(drawn[0]) == 100
+    assert 30 <= (drawn[0] == copy).all(axis=1).sum() <= 70
+
+
 def test_shape_table_starts_again_when_full(monkeypatch):
     texts = [" ".join(f"w{i * 100 + j}{'!' * (j % 3)}" for j in range(50)) for i in range(20)]
     expected = [quality.describe(t) for t in texts]

@@ -236,12 +236,15 @@ class Classifier:
 
 
 def fit(described: DataFrame, training_documents: int = TRAINING_DOCUMENTS) -> Classifier:
-    """From rows as ``describe_documents`` makes them: label model on all of them, scorer on a bounded sample."""
+    """From rows as ``describe_documents`` makes them: label model on all of them, scorer on a bounded sample.
+
+    Copies of a text under different ids are drawn one by one; only rows of one id and text are drawn together.
+    """
     counted = described.groupBy("pattern").agg(F.count("*").alias("n")).collect()
     posteriors, accuracies, _ = label_model({r.pattern: r.n for r in counted})
     sample = (
         described.filter(F.length("features") > 0)
-        .sort(F.xxhash64("digest"), "pattern", "features")
+        .sort(F.xxhash64("id", "digest"), "pattern", "features")
         .limit(training_documents)
         .select("pattern", "features")
         .collect()
