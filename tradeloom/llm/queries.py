@@ -2,17 +2,21 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tradeloom.llm import (
+    alignment,
     chat_format,
+    cutting_stock,
     exact_dedup,
     mixing,
     near_dedup,
     packing,
+    periodic_runs,
     quality,
     secret_scan,
     sketches,
@@ -106,6 +110,33 @@ def op10_document_fingerprints(spark, sf_dir):
     return sketches.fingerprints(_documents(spark, sf_dir))
 
 
+@query
+def op11_cross_tokenizer_alignment(spark, sf_dir):
+    docs = _documents(spark, sf_dir)
+    return alignment.align(docs, vocabulary("byte_bpe_50k.json"), vocabulary("piece_bpe_32k.model"))
+
+
+@query
+def op12_packing(spark, sf_dir):
+    return cutting_stock.pack(_documents(spark, sf_dir), vocabulary("word_bpe_49k.json"))
+
+
+def with_planted_period(doc_id: object, words: list[bytes]) -> list[bytes]:
+    """The words of a document, in a tenth of all documents periodic from some word on; a null id counts as empty text."""
+    code, n = zlib.crc32(str("" if doc_id is None else doc_id).encode()), len(words)
+    if code % 10 or not n:
+        return words
+    first = code // 10 % n
+    period = 1 + (n - first) // (3 + code // 10 % 8)
+    block = words[first : first + period]
+    return words[:first] + (block * -(-(n - first) // period))[: n - first]
+
+
+@query
+def op13_periodic_run_detection(spark, sf_dir):
+    return periodic_runs.periodic_runs(_documents(spark, sf_dir), with_planted_period).drop("runs")
+
+
 _AZ = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
 
 ORACLES["op8_exact_dedup"] = f"""
