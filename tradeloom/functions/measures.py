@@ -10,39 +10,27 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tradeloom import schemas
+from tradeloom.functions import amounts
 
 BUCKET_KEYS = ["bucket", "symbol"]
 
 
-def exact(amount: Column) -> Column:
-    """An amount as a decimal number, so that its sums are exact and independent of row order."""
-    return amount.cast(schemas.AMOUNT)
-
-
-def _total(name: str) -> Column:
-    return F.col(name).cast("double")
-
-
 def bucket_measures() -> list[Column]:
-    """The measures of a group of trades, as aggregate expressions."""
+    """The measures of a group of trades, as aggregate expressions over ``amounts.with_parts``."""
     tick = F.struct("event_time", "event_id", "price")
-    quantity, quote = exact(F.col("quantity")), exact(F.col("quote_qty"))
-    nothing = exact(F.lit(0))
-    maker_sold = F.col("is_buyer_maker")
-    taker_bought = ~maker_sold
+    maker_sold, taker_bought = "is_buyer_maker", "NOT is_buyer_maker"
     return [
         F.min(tick).alias("opened"),
         F.max(tick).alias("closed"),
         F.max("price").alias("high_price"),
         F.min("price").alias("low_price"),
-        F.sum(quantity).alias("quantity_sum"),
-        F.sum(quote).alias("quote_sum"),
+        *amounts.sums("quantity", "quantity_sum"),
+        *amounts.sums("quote_qty", "quote_sum"),
         F.count("*").alias("trade_count"),
-        F.sum(F.when(taker_bought, quantity).otherwise(nothing)).alias("bought_quantity"),
-        F.sum(F.when(maker_sold, quantity).otherwise(nothing)).alias("sold_quantity"),
-        F.sum(F.when(taker_bought, quote).otherwise(nothing)).alias("bought_quote"),
-        F.sum(F.when(maker_sold, quote).otherwise(nothing)).alias("sold_quote"),
+        *amounts.sums("quantity", "bought_quantity", taker_bought),
+        *amounts.sums("quantity", "sold_quantity", maker_sold),
+        *amounts.sums("quote_qty", "bought_quote", taker_bought),
+        *amounts.sums("quote_qty", "sold_quote", maker_sold),
         F.count(maker_sold).alias("flagged_count"),
     ]
 
@@ -55,7 +43,7 @@ def summarise(trades: DataFrame, bucket: str = "1 minute") -> DataFrame:
     number and not on the symbol text.
     """
     start = F.window("event_time", bucket)["start"].alias("bucket")
-    return trades.groupBy(start, "symbol").agg(*bucket_measures())
+    return amounts.with_parts(trades, "quantity", "quote_qty").groupBy(start, "symbol").agg(*bucket_measures())
 
 
 _SMALLEST = ["opened", "low_price"]
@@ -83,25 +71,22 @@ def candles(measures: DataFrame) -> DataFrame:
         "low_price",
         F.col("closed.price").alias("close_price"),
         F.col("closed.event_time").alias("close_event_time"),
-        _total("quantity_sum").alias("total_quantity"),
-        _total("quote_sum").alias("total_quote_qty"),
+        amounts.total("quantity_sum").alias("total_quantity"),
+        amounts.total("quote_sum").alias("total_quote_qty"),
         F.col("trade_count").alias("total_trades"),
     )
 
 
 def taker_flow(measures: DataFrame) -> DataFrame:
     """Buckets without a single flagged trade have no flow row."""
-    # With one digit less in front the difference keeps all places.
-    bought, sold = (F.col(name).cast(schemas.ADDEND) for name in ("bought_quote", "sold_quote"))
-    net = (bought - sold).cast("double")
     return measures.filter("flagged_count > 0").select(
         "symbol",
         F.col("bucket").alias("window_start"),
-        _total("bought_quantity").alias("buy_aggressive_qty"),
-        _total("sold_quantity").alias("sell_aggressive_qty"),
-        _total("bought_quote").alias("buy_aggressive_quote_qty"),
-        _total("sold_quote").alias("sell_aggressive_quote_qty"),
-        net.alias("net_flow"),
+        amounts.total("bought_quantity").alias("buy_aggressive_qty"),
+        amounts.total("sold_quantity").alias("sell_aggressive_qty"),
+        amounts.total("bought_quote").alias("buy_aggressive_quote_qty"),
+        amounts.total("sold_quote").alias("sell_aggressive_quote_qty"),
+        amounts.difference("bought_quote", "sold_quote").alias("net_flow"),
     )
 
 
@@ -110,8 +95,8 @@ def average_prices(measures: DataFrame) -> DataFrame:
         measures.select(
             "symbol",
             F.col("bucket").alias("window_start"),
-            _total("quantity_sum").alias("total_quantity"),
-            _total("quote_sum").alias("total_quote_qty"),
+            amounts.total("quantity_sum").alias("total_quantity"),
+            amounts.total("quote_sum").alias("total_quote_qty"),
             "trade_count",
             F.col("closed.price").alias("close_price"),
             F.col("closed.event_time").alias("close_event_time"),

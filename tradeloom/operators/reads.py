@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tradeloom import schemas
-from tradeloom.functions import measures
+from tradeloom.functions import amounts
 
 # Argument ranges of the read queries.
 _SYMBOL = re.compile(r"[A-Z0-9_]{1,20}")
@@ -108,14 +108,10 @@ def _in_last_hour(as_of: datetime | str | Column | None) -> Column:
     return (F.col("event_time") >= moment - hour) & (F.col("event_time") <= moment)
 
 
-def _sum(name: str) -> Column:
-    return F.sum(measures.exact(F.col(name))).cast("double")
-
-
 def _whale_totals() -> list[Column]:
     return [
         F.count("*").alias("whale_count_1h"),
-        F.coalesce(_sum("trade_value_usdt"), F.lit(0.0)).alias("whale_total_value_1h"),
+        F.coalesce(amounts.exact_sum("trade_value_usdt"), F.lit(0.0)).alias("whale_total_value_1h"),
     ]
 
 
@@ -157,7 +153,7 @@ def _summary(
     candle = _by_age("candle_time", "close_price", "candle_time")
     parts = [
         candles.groupBy(*by).agg(F.min(candle).alias("newest"), F.max(candle)["close_price"].alias("base_close")),
-        flow.groupBy(*by).agg(_sum("net_flow").alias("net")),
+        flow.groupBy(*by).agg(amounts.exact_sum("net_flow").alias("net")),
         whales.groupBy(*by).agg(*_whale_totals()),
         averages.groupBy(*by).agg(
             F.min(_by_age("window_start", "close_vs_vwap_pct"))["close_vs_vwap_pct"].alias("pct")

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
+from tradeloom.functions import amounts
+
 # The input formats that have to be read as they come.
 HISTORY_COLUMNS = [
     "Trade_ID",
@@ -61,13 +63,6 @@ LARGE_TRADES = T.StructType(
 TICK = T.StructType([SILVER["event_time"], SILVER["event_id"], SILVER["price"]])
 
 
-# Amounts are summed as decimals: exact for prices and quantities of up to eight places each, whose
-# product has up to sixteen. A total overflows only after 10^11 trades of the largest amount.
-AMOUNT = T.DecimalType(28, 16)
-TOTAL = T.DecimalType(38, 16)
-ADDEND = T.DecimalType(37, 16)
-LARGEST_AMOUNT = 1e11
-
 # Mergeable bucket measures.
 PARTIALS = T.StructType(
     [
@@ -77,13 +72,13 @@ PARTIALS = T.StructType(
         T.StructField("closed", TICK),
         T.StructField("high_price", T.DoubleType()),
         T.StructField("low_price", T.DoubleType()),
-        T.StructField("quantity_sum", TOTAL),
-        T.StructField("quote_sum", TOTAL),
+        *amounts.sum_fields("quantity_sum"),
+        *amounts.sum_fields("quote_sum"),
         T.StructField("trade_count", T.LongType()),
-        T.StructField("bought_quantity", TOTAL),
-        T.StructField("sold_quantity", TOTAL),
-        T.StructField("bought_quote", TOTAL),
-        T.StructField("sold_quote", TOTAL),
+        *amounts.sum_fields("bought_quantity"),
+        *amounts.sum_fields("sold_quantity"),
+        *amounts.sum_fields("bought_quote"),
+        *amounts.sum_fields("sold_quote"),
         T.StructField("flagged_count", T.LongType()),
     ]
 )
