@@ -87,7 +87,7 @@ def test_queries_are_registered():
     import __spark_entry__ as driver
 
     names = list(driver.queries())
-    assert [sum(n.startswith(f"op{i}_") for n in names) for i in range(1, 11)] == [1] * 10
+    assert [sum(n.startswith(f"op{i}_") for n in names) for i in range(1, 14)] == [1] * 13
     assert "pipeline" in names
 
 

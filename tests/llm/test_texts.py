@@ -253,6 +253,23 @@ def test_sketches_merge(spark):
     assert row.both == sorted({*row.sx, *row.sy}) and row.c == 1.0
 
 
+def test_merged_sketches_are_those_of_both_shingle_sets(spark):
+    """Short texts often keep a hash above the fraction; together with a longer one that hash has to go."""
+    rng = random.Random(12)
+    rows = [tuple(" ".join(rng.choices("abcdefghij", k=rng.choice([0, 3, 6, 9, 60]))) for _ in "xy") for _ in range(300)]
+    frame = spark.createDataFrame(rows, "x string, y string")
+    for name in "xy":
+        frame = sketches.with_sketch(frame, name, f"s{name}")
+    words = {r.x: r.sx for r in frame.collect()} | {r.y: r.sy for r in frame.collect()}
+    above = 0
+    for row in frame.select("x", "y", sketches.merged("sx", "sy").alias("both")).collect():
+        hashes = sorted(set(words[row.x]) | set(words[row.y]))
+        low = [h for h in hashes if h < sketches.BELOW]
+        above += bool(low) and low != hashes
+        assert row.both == (low or hashes[:1])
+    assert above > 5
+
+
 def test_fingerprints_run_no_python(spark, documents):
     plan = sketches.fingerprints(documents)._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
@@ -308,6 +325,14 @@ def test_mixed_documents_repeat_rows(documents):
     assert got == Counter({d: n for d, n in copies.items() if n})
 
 
+@pytest.mark.parametrize("name", ["row", "row_copies", "_row", "_row_copies", "copies", "id", "size", "digest", "unit"])
+def test_mixed_documents_with_one_clashing_column(spark, name):
+    rows = [(i, f"word {i}", "ab"[i % 2], "kept") for i in range(6)]
+    docs = spark.createDataFrame(rows, f"doc_id bigint, text string, source string, {name} string")
+    mixed = mixing.mixed_documents(docs)
+    assert mixed.columns == docs.columns and {r[3] for r in mixed.collect()} == {"kept"}
+
+
 def test_mix_of_odd_rows(frame):
     rows = [r for r in odd_rows() if r[0] is not None][1:]
     rows = [(*r, None)[:3] for r in rows] + [(50 + i, "w " * (i % 7), "hot") for i in range(300)]

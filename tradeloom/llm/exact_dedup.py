@@ -2,8 +2,8 @@
 
 Each partition puts the 64-bit fingerprints of its normalised texts into counting quotient filters, one
 per block of the hash space: a quotient (the bits after the block's) leads to its run of sorted
-remainders, each with a count. Filters of one block merge without loss, run by run, by adding the counts
-of equal remainders. Only texts whose fingerprint has a count above one are compared byte for byte.
+remainders, each with a count. Filters of one block merge without loss: their fingerprints are read back, sorted
+together, and the counts of equal remainders added. Only texts whose fingerprint has a count above one are compared byte for byte.
 """
 
 from __future__ import annotations
@@ -252,7 +252,11 @@ def exact_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: st
 
 
 def drop_exact_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """The rows of ``docs`` that stay, with all their columns."""
+    """The rows of ``docs`` that stay, with all their columns, whatever their names.
+
+    Of equal texts, a null one being empty, the row with the largest id stays, a null id being the least; of equal ids one
+    row stays. An empty table stays empty.
+    """
     numbered, name = with_rows(docs, "dedup-documents")
     found = decisions(
         numbered.select(F.col(name).alias("row"), F.col(id_column).alias("id"), text_of(text_column).alias("text"))

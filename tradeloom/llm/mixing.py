@@ -239,7 +239,11 @@ def mixed_documents(
     source_column: str = "source",
     seed: int = 7,
 ) -> DataFrame:
-    """The mix itself: each row of ``docs`` as often as it has copies, with all its columns."""
+    """The mix itself: each row of ``docs`` as often as it has copies, with all its columns, whatever their names.
+
+    Null ids, sources and texts are values like others, and empty texts have no words, as in ``mix``. Repeated rows have
+    copies each for itself. An empty table stays empty.
+    """
     held, name = with_rows(docs, "mix-documents")
     source = held.select(
         F.col(name).alias("row"),
@@ -249,6 +253,8 @@ def mixed_documents(
     )
     planned = plan(_sized(source), weights, share, limit, seed)
     times = f"{name}_copies"
+    while times in held.columns:
+        times = f"_{times}"
     copies = planned.filter("copies > 0").select(F.col("row").alias(name), F.col("copies").alias(times))
     repeated = held.join(copies, name).withColumn(times, F.explode(F.sequence(F.lit(1), F.col(times))))
     return repeated.select(*docs.columns)

@@ -1,8 +1,10 @@
 """Document fingerprints: all shingle hashes below a fixed fraction of the hash space, sorted.
 
 The fraction, not a number, bounds a sketch, so sketches of unequal documents are comparable as they are:
-the sketch of a union is the union of the sketches, and the share of one sketch found in another estimates
-the containment of the documents. Only built-in functions of Spark are used.
+the sketch of two documents together is what ``merged`` makes of theirs, and the share of one sketch found in another
+estimates the containment of the documents. A short text may have no hash in the fraction. It then keeps its least
+one, which tells it from other texts but is not in the sketch of a longer text that holds it: containment of such
+a text in a longer one is not estimated, but 0. Only built-in functions of Spark are used.
 """
 
 from __future__ import annotations
@@ -17,6 +19,8 @@ from tradeloom.llm.common import text_of
 SHINGLE_WORDS = 5
 #: One of so many hashes is retained.
 SCALE = 8
+#: Signed hashes below this one are retained.
+BELOW = -(2**63) + 2**64 // SCALE
 _WHITE = r"[\x20\x09-\x0D]+"
 
 
@@ -27,8 +31,7 @@ def with_sketch(frame: DataFrame, text: str, sketch: str, shingle_words: int = S
     empty sketch. If no hash is low enough the least one is retained, so that other texts have one.
     """
     words, hashes, all_ = f"_{sketch}_words", f"_{sketch}_hashes", f"_{sketch}_all"
-    below = -(2**63) + 2**64 // SCALE
-    n, low = F.size(words), F.filter(all_, lambda x: x < F.lit(below))
+    n, low = F.size(words), F.filter(all_, lambda x: x < F.lit(BELOW))
     shingle = F.transform(
         F.sequence(F.lit(0), n - shingle_words),
         lambda i: F.xxhash64(*[F.get(hashes, i + k) for k in range(shingle_words)]),
@@ -54,8 +57,10 @@ def with_sketch(frame: DataFrame, text: str, sketch: str, shingle_words: int = S
 
 
 def merged(a: Column | str, b: Column | str) -> Column:
-    """The sketch of both documents together."""
-    return F.array_sort(F.array_union(a, b))
+    """The sketch of both documents together: a least hash above the fraction goes once there is one below."""
+    both = F.array_sort(F.array_union(a, b))
+    low = F.filter(both, lambda x: x < F.lit(BELOW))
+    return F.when(F.size(low) > 0, low).otherwise(F.slice(both, 1, 1))
 
 
 def containment(part: Column | str, whole: Column | str) -> Column:
