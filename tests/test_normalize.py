@@ -154,3 +154,23 @@ def test_evolved_columns_are_read(spark, tmp_path):
     assert "venue" not in raw.read_bronze(spark, str(tmp_path)).columns
     evolved = raw.read_bronze(spark, str(tmp_path), evolve=True)
     assert rows_of(evolved.groupBy("venue").count()) == [("A", 1), (None, 2)]
+
+
+def test_evolving_reads_open_no_footers(spark, tmp_path):
+    first = spark.createDataFrame([("1", "1", "1", "1", "1", "true", "true")], schemas.HISTORY)
+    for _ in range(3):
+        raw.append_history(first, str(tmp_path))
+    raw.append_history(first.withColumn("venue", F.lit("A")).withColumn("Fee", F.lit(1.5)), str(tmp_path))
+    assert len(list((tmp_path / "history" / "_layouts").glob("*.json"))) == 2
+    layout = raw.recorded_layout(spark, f"{tmp_path}/history")
+    assert layout.names == [*schemas.HISTORY_COLUMNS, "Fee", "venue"]
+    # A file that is no Parquet at all lies in the folder: planning does not look at it.
+    (tmp_path / "history" / "broken.parquet").write_bytes(b"no footer")
+    spark.createDataFrame([("{}",)], schemas.LIVE).write.parquet(f"{tmp_path}/live")
+    assert raw.read_bronze(spark, str(tmp_path), evolve=True).columns[-2:] == ["venue", "value"]
+    (tmp_path / "history" / "broken.parquet").unlink()
+    rows = raw.read_bronze(spark, str(tmp_path), evolve=True)
+    assert rows_of(rows.groupBy("venue", "Fee").count()) == [("A", 1.5, 1), (None, None, 4)]
+    raw.append_history(first.withColumn("Fee", F.lit("dear")), str(tmp_path))
+    with pytest.raises(ValueError, match="Fee"):
+        raw.read_bronze(spark, str(tmp_path), evolve=True)

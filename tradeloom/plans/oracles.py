@@ -215,6 +215,11 @@ def sql() -> dict[str, str]:
     return {
         "bronze_batch_scan": _HISTORY_TEXT,
         "bronze_stream_scan": _LIVE_TEXT,
+        "bronze_stream_from_latest": f"""
+SELECT event_id, symbol, price, quantity, event_time, CAST(1 AS BIGINT) AS lost
+FROM ({_LIVE.format(time=_MILLIS)[: -len("FROM events") - 1]}
+      FROM (SELECT * FROM events WHERE event_id % 6 IN (2, 3, 5)))
+""",
         "bronze_appended": f"""
 SELECT *, CASE WHEN l_returnflag <> 'A' THEN 'venue-' || "is_Buyer_Maker" END AS "Venue"
 FROM ({_HISTORY_TEXT.replace("FROM lineitem", ", l_returnflag FROM lineitem")})

@@ -12,7 +12,7 @@ from tradeloom import schemas
 from tradeloom.functions import measures
 from tradeloom.operators import merge, normalize, reads, signals, tables
 from tradeloom.session import configure, scratch_dir
-from tradeloom.sources import market, raw
+from tradeloom.sources import landing, market, raw
 from tradeloom.streaming.medallion import Medallion, Settings
 
 # No event is worth 50,000; this threshold selects about four in a hundred.
@@ -109,6 +109,40 @@ def bronze_stream_scan(spark, sf_dir):
     return spark.read.schema(schemas.LIVE).parquet(f"{folder}/live")
 
 
+@query
+def bronze_stream_from_latest(spark, sf_dir):
+    """Two of six landings are there before the stream starts, one never comes; the stream stops and goes on in between.
+
+    The result is the trades that reached Bronze, and the number of lost landings beside each.
+    """
+    folder, bronze = scratch_dir(spark, "landing"), scratch_dir(spark, "bronze")
+    events = market.table(spark, sf_dir, "events").withColumn("segment", F.col("event_id") % 6)
+
+    def land(*segments: int) -> None:
+        for segment in segments:
+            messages = market.live_messages(events.filter(F.col("segment") == segment))
+            landing.land(messages.select(F.lit(segment).alias("segment"), "value"), folder)
+
+    def started():
+        bus = raw.open_bus(spark, landing.FORMAT, path=folder)
+        copy = bus.writeStream.format("parquet").option("checkpointLocation", f"{bronze}/checkpoint")
+        running = copy.trigger(processingTime="0 seconds").start(f"{bronze}/bus")
+        running.processAllAvailable()
+        return running
+
+    land(0, 1)
+    running = started()
+    land(2, 3)
+    running.processAllAvailable()
+    running.stop()
+    land(5)
+    started().stop()
+    bus = spark.read.schema(landing.SCHEMA).parquet(f"{bronze}/bus")
+    lost = landing.losses(bus).agg(F.sum("lost")).scalar()
+    trades = normalize.normalize(raw.decode_payload(bus))
+    return trades.select("event_id", "symbol", "price", "quantity", "event_time").withColumn("lost", lost)
+
+
 @query
 def bronze_appended(spark, sf_dir):
     """Two appends to the history, the second with a column the first does not have, read back together."""

@@ -74,6 +74,15 @@ def write_file(files, path, content: bytes, overwrite: bool) -> None:
         stream.close()
 
 
+def read_file(files, path) -> bytes:
+    """A small file's bytes."""
+    stream = files.open(path)
+    try:
+        return bytes(stream.readAllBytes())
+    finally:
+        stream.close()
+
+
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A new folder in storage that every executor can reach.
 
