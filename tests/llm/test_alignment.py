@@ -1,7 +1,9 @@
 import hashlib
 from collections import Counter, defaultdict
 
+import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import sentencepiece
 from tokenizers import Tokenizer
 
@@ -90,16 +92,18 @@ def test_long_texts_part_by_part(spark, frame, monkeypatch):
     for text in [t for _, t in rows if t and len(t) < 9999] + ["a  b\n c" * 50, " lead  and trail  "]:
         parts = list(tokens.parts(text))
         assert "".join(parts) == " " + text
-        once, several = tokens.ids([" " + text])[0], tokens.ids(parts)
-        assert once == ([i for p in several for i in p[0]], [i for p in several for i in p[1]])
-    # The same numbers come out of many small parts as out of one.
-    import numpy as np
-    import pyarrow as pa
-
+        once, several = tokens.ids(" " + text), [s for p in parts for s in tokens.ids(p)]
+        plain = tokens._encoded(" " + text)
+        for segments in (once, several):
+            for side, ids in enumerate(plain):
+                assert b"".join(s[side] for s in segments) == np.array(ids, "<u4").tobytes()
+    # The same numbers come out of many small parts as out of one, and whatever is kept of earlier texts.
     batch = pa.RecordBatch.from_arrays(
         [pa.array(np.arange(len(rows))), pa.array([i for i, _ in rows]), pa.array([t for _, t in rows])],
         names=["row", "id", "text"],
     )
+    monkeypatch.setattr(alignment, "CACHE_SEGMENTS", 30)
+    monkeypatch.setattr(alignment, "LEARNED", 7)
     small = pa.Table.from_batches(alignment._align(BYTES, PIECES)([batch])).to_pylist()
     monkeypatch.setattr(alignment, "PART", 1 << 20)
     monkeypatch.setattr(alignment, "FLUSH_TOKENS", 1 << 18)
@@ -110,3 +114,17 @@ def test_common_pairs_and_many_rows(spark):
     rows = [(i, "the same text in a third of all rows" if i % 3 == 0 else f"row {i} of its own") for i in range(900)]
     docs = spark.createDataFrame(rows, "doc_id bigint, text string")
     assert ordered(alignment.align(docs, BYTES, PIECES, hot_pairs=5).collect()) == ordered(Plain().corpus(rows))
+
+
+def test_segments_equal_the_libraries():
+    tokens = alignment.TokenPair(BYTES, PIECES)
+    a, b = Tokenizer.from_file(BYTES), sentencepiece.SentencePieceProcessor(model_file=PIECES)
+    a.encode_special_tokens = True
+    for text in random_texts(3000, 120):
+        segments = tokens.ids(" " + text) if text else []
+        if text and None not in segments:
+            mine = [np.frombuffer(b"".join(s[side] for s in segments), "<u4").tolist() for side in (0, 1)]
+            assert mine == [a.encode(" " + text, add_special_tokens=False).ids, b.encode(text)], text
+        elif text:
+            spelled = b"".join(tokens.b_bytes[i] for i in b.encode(text))
+            assert spelled != (" " + text).encode(), text

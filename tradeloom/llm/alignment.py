@@ -16,7 +16,6 @@ import hashlib
 import json
 import os
 import re
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -36,7 +35,13 @@ HOT_PAIRS = 1 << 20
 #: Pairs gathered before a task hands on its counts.
 FLUSH_PAIRS = 4 << 20
 
-#: A place before a single blank and a sign that is surely no white space.
+#: Segments whose ids a Python worker keeps in each of two generations; what is used again moves to the younger.
+CACHE_SEGMENTS = 100_000
+#: Segments that are encoded as one text.
+LEARNED = 2048
+
+#: A place before a single blank and a sign that is surely no white space, and what lies between such places.
+_SEGMENT = re.compile(r" +[^ ]*(?:(?: {2,}| (?![!-~\w]))[^ ]*)*")
 _CUT = re.compile(r"(?<=[^ ])(?= [!-~\w])")
 
 
@@ -50,6 +55,10 @@ def byte_letters() -> dict[str, int]:
     return {chr(b) if b in shown else chr(next(hidden)): b for b in range(256)}
 
 
+#: Ids of both tokenizers, as little-endian 32-bit numbers.
+Ids = tuple[bytes, bytes]
+
+
 class TokenPair:
     """Ids of both tokenizers for segments of a text, and how many bytes each id stands for."""
 
@@ -73,6 +82,8 @@ class TokenPair:
         pre = (json.loads(self.a.to_str()).get("pre_tokenizer") or {}).get("type")
         joined = any(BLANK in self.b.id_to_piece(i).lstrip(BLANK) for i in range(len(self.b)))
         self.separable = pre == "ByteLevel" and not joined
+        self.known: dict[str, Ids | None] = {}
+        self.old: dict[str, Ids | None] = {}
 
     def _piece(self, number: int) -> bytes:
         piece = self.b.id_to_piece(number)
@@ -86,12 +97,52 @@ class TokenPair:
             at = cut.start()
         yield text[at:]
 
-    def ids(self, parts: list[str]) -> list[tuple[list[int], list[int]] | None]:
-        """Per part, which starts with a blank, the ids of both; None where the bytes differ."""
-        a = [e.ids for e in self.a.encode_batch_fast(parts, add_special_tokens=False)]
-        # This tokenizer puts the first blank itself.
-        b = self.b.encode([p[1:] for p in parts], num_threads=1)
-        return [(x, y) if self._spell(p.encode(), x, y) else None for p, x, y in zip(parts, a, b)]
+    def ids(self, part: str) -> list[Ids | None]:
+        """Per segment of a part, which starts with a blank, the ids of both; None where the bytes differ."""
+        segments = _SEGMENT.findall(part) if self.separable else [part]
+        known = self.known
+        missing = {s for s in segments if s not in known}
+        if not missing:
+            return [known[s] for s in segments]
+        if len(known) + len(missing) > CACHE_SEGMENTS:
+            self.old, self.known, known = known, {}, {}
+            missing = set(segments)
+        found = {s: self.old[s] for s in missing if s in self.old}
+        new = [s for s in missing if s not in found]
+        for start in range(0, len(new), LEARNED):
+            self._learn(new[start : start + LEARNED], found)
+        self.known.update((s, ids) for s, ids in found.items() if len(s) <= 64)
+        return [found[s] if s in found else known[s] for s in segments]
+
+    def _learn(self, segments: list[str], found: dict[str, Ids | None]) -> None:
+        """Encode segments as one text, and apart where that does not cut between them.
+
+        The next segment's blanks would join those at the end of a segment, so these are left to themselves.
+        """
+        together = [s for s in segments if self.separable and s[-1] != " " and BLANK not in s]
+        a, b = self._encoded("".join(together)) if together else ([], [])
+        if together and self._spell("".join(together).encode(), a, b):
+            ends = np.cumsum([len(s.encode()) for s in together])
+            a_at, b_at = (
+                np.searchsorted(np.cumsum(lengths[ids]), ends) + 1
+                for lengths, ids in ((self.a_length, a), (self.b_length, b))
+            )
+            a, b = np.array(a, "<u4"), np.array(b, "<u4")
+            meet = (np.cumsum(self.a_length[a])[a_at - 1] == ends) & (np.cumsum(self.b_length[b])[b_at - 1] == ends)
+            if meet.all():
+                a, b, a_from, b_from = a.tobytes(), b.tobytes(), 0, 0
+                for segment, a_to, b_to in zip(together, (4 * a_at).tolist(), (4 * b_at).tolist()):
+                    found[segment] = a[a_from:a_to], b[b_from:b_to]
+                    a_from, b_from = a_to, b_to
+        for segment in segments:
+            if segment not in found:
+                a, b = self._encoded(segment)
+                same = self._spell(segment.encode(), a, b)
+                found[segment] = (np.array(a, "<u4").tobytes(), np.array(b, "<u4").tobytes()) if same else None
+
+    def _encoded(self, text: str) -> tuple[list[int], list[int]]:
+        # The second tokenizer puts the first blank itself.
+        return self.a.encode_batch_fast([text], add_special_tokens=False)[0].ids, self.b.encode(text[1:])
 
     def _spell(self, body: bytes, a: list[int], b: list[int]) -> bool:
         a_bytes, b_bytes = self.a_bytes, self.b_bytes
@@ -172,11 +223,11 @@ class Aligned:
     def _clear(self):
         self.docs, self.a, self.b, self.held = [], [], [], 0
 
-    def add(self, doc: int, ids: tuple[list[int], list[int]]) -> None:
+    def add(self, doc: int, segments: list[Ids]) -> None:
         self.docs.append(doc)
-        self.a.append(ids[0])
-        self.b.append(ids[1])
-        self.held += len(ids[0])
+        self.a.append(b"".join([s[0] for s in segments]))
+        self.b.append(b"".join([s[1] for s in segments]))
+        self.held += len(self.a[-1]) // 4
         if self.held >= FLUSH_TOKENS:
             self.flush()
 
@@ -184,8 +235,8 @@ class Aligned:
         if not self.docs:
             return
         docs = np.array(self.docs)
-        a_count, b_count = (np.array([len(x) for x in side]) for side in (self.a, self.b))
-        a, b = (np.fromiter(chain.from_iterable(side), dtype=np.int64) for side in (self.a, self.b))
+        a_count, b_count = (np.array([len(x) // 4 for x in side]) for side in (self.a, self.b))
+        a, b = (np.frombuffer(b"".join(side), dtype="<u4").astype(np.int64) for side in (self.a, self.b))
         a_group, b_group, a_place, b_place = coalesce(self.tokens.a_length[a], self.tokens.b_length[b])
         owner = np.repeat(docs, a_count)
         size = len(self.n_a)
@@ -237,18 +288,15 @@ def _align(byte_level: str, pieces: str):
         tokens = token_pair(byte_level, pieces)
         for batch in small_batches(batches, 256):
             done = Aligned(tokens, batch.num_rows)
-            texts = batch.column("text").to_pylist()
-            short = [i for i, text in enumerate(texts) if 0 < len(text) <= PART]
-            for start in range(0, len(short), 32):
-                group = short[start : start + 32]
-                for i, ids in zip(group, tokens.ids([" " + texts[i] for i in group])):
-                    if ids:
-                        done.add(i, ids)
-            for i, text in enumerate(texts):
+            for i, text in enumerate(batch.column("text").to_pylist()):
+                if 0 < len(text) <= PART:
+                    segments = tokens.ids(" " + text)
+                    if None not in segments:
+                        done.add(i, segments)
                 # A long text is read twice, as its last part may show that the tokenizers see other bytes.
-                if len(text) > PART and all(tokens.ids([part])[0] for part in tokens.parts(text)):
+                elif text and all(None not in tokens.ids(part) for part in tokens.parts(text)):
                     for part in tokens.parts(text):
-                        done.add(i, tokens.ids([part])[0])
+                        done.add(i, tokens.ids(part))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("row"), batch.column("id"), *done.columns()], names=["row", "id", *_ALIGNED]
             )
