@@ -28,6 +28,8 @@ from tradeloom.llm.common import small_batches, text_of, written
 LEAST = 12
 #: Boundaries of one tile at most.
 BOUNDARIES = 16
+#: Tiles that a task solves.
+TILES = 4096
 #: Words that a task gathers before it looks for tiles.
 FLUSH_WORDS = 1 << 20
 
@@ -373,8 +375,8 @@ def periodic_runs(
     layout = f"row bigint, id {id_type}, spacing int, at bigint, before int, boundaries int, words binary, {result}"
     exploded = written(source.mapInArrow(_explode(rewrite, least, texts), layout), "tiles")
     cut = exploded.filter("spacing IS NOT NULL").select("row", "spacing", "at", "before", "boundaries", "words")
-    # A long document's tiles lie together; they are dealt out one by one.
-    cut = cut.repartition("row", "spacing", "at")
+    # A long document's tiles lie together; they are dealt out one by one, by their number and not by their few bytes.
+    cut = cut.repartition(-(-cut.count() // TILES) or 1, "row", "spacing", "at")
     pieces = cut.mapInArrow(_solve(least), "row bigint, period bigint, start bigint, stop bigint")
     runs = stitched(pieces, least).groupBy("row")
     runs = runs.agg(F.sort_array(F.collect_list(F.struct("start", "period", "length"))).alias("found"))
