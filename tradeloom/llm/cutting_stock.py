@@ -35,7 +35,7 @@ STEADY = 0.8
 #: Sequences that rounding may leave open, added to the share that is kept aside.
 SPARE = 4
 #: Pieces of one class, or sequences with a gap, that are numbered in one task.
-RANKED = 100_000
+RANKED = 20_000
 #: Parts that the share kept aside is a number of.
 SHARES = 1 << 20
 
@@ -232,27 +232,22 @@ def _cut(batches):
 # --- places ---------------------------------------------------------------------------------
 
 
-def _lookup(values: dict, *keys: str) -> Column:
-    """A number per key, out of a bounded dictionary; 0 elsewhere."""
-    if not values:
-        return F.lit(0).cast("bigint")
-    flat = [F.lit(x) for key, n in values.items() for x in (key, n)]
-    key = F.col(keys[0]) if len(keys) == 1 else F.concat_ws("/", *[F.col(k) for k in keys])
-    return F.coalesce(F.create_map(*flat)[key], F.lit(0)).cast("bigint")
-
-
 def on_a_line(frame: DataFrame, width: str, order: list[str], place: str, rows: int) -> tuple[DataFrame, int]:
     """Rows laid end to end: where each starts, and how long the line is. Parts of the rows are summed on their own."""
     parts = max(1, -(-rows // RANKED))
     dealt = frame.withColumn("part", F.pmod(F.xxhash64(*order), F.lit(parts)).cast("int"))
-    widths = {r.part: r.n for r in dealt.groupBy("part").agg(F.sum(width).alias("n")).collect()}
-    firsts, total = [], 0
-    for part in range(parts):
-        firsts.append(total)
-        total += widths.get(part, 0)
+    firsts = _firsts(dealt.groupBy("part").agg(F.sum(width).alias("n")), [], "part")
     before = Window.partitionBy("part").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    first = F.array(*[F.lit(n).cast("bigint") for n in firsts])[F.col("part")]
-    return dealt.withColumn(place, first + F.coalesce(F.sum(width).over(before), F.lit(0))).drop("part"), total
+    within = dealt.withColumn("within", F.coalesce(F.sum(width).over(before), F.lit(0)))
+    laid = within.join(firsts, "part").withColumn(place, F.col("first") + F.col("within"))
+    total = frame.agg(F.sum(width)).first()[0] or 0
+    return laid.drop("part", "first", "within"), total
+
+
+def _firsts(sums: DataFrame, by: list[str], part: str) -> DataFrame:
+    """For each part of ``RANKED`` rows the sum of the parts before it."""
+    before = Window.partitionBy(*by).orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
+    return sums.withColumn("first", F.coalesce(F.sum("n").over(before), F.lit(0))).drop("n")
 
 
 def _seated(sent):
@@ -301,8 +296,7 @@ def pack(
     share, patterns, sizes = aside(lengths, size)
     kept_aside = F.pmod(F.xxhash64("row", "start"), F.lit(SHARES)) < round(share * SHARES)
     on_line = (F.col("length") < size) & kept_aside
-    steps = F.array(*[F.lit(int(s)) for s in sizes])
-    seated = pieces.filter(~on_line).drop("ids").withColumn("class", _class_of(steps, sizes))
+    seated = pieces.filter(~on_line).drop("ids").withColumn("class", _class_of(sizes))
     found = {r["class"]: r.n for r in seated.groupBy("class").agg(F.count("*").alias("n")).collect()}
 
     counts = np.array([found.get(c, 0) for c in range(len(sizes))], dtype=np.int64)
@@ -336,8 +330,7 @@ def pack(
     gaps, room = on_a_line(gaps, "gap", ["sequence_id"], "from", sequences)
     line = pieces.filter(on_line)
     line, tokens = on_a_line(line, "length", ["row", "start"], "at", round(share * sum(lengths.values())))
-    more = [(sequences, room, max(tokens - room, 0) // size)]
-    gaps = gaps.unionByName(_new_sequences(spark, *more[0], max(tokens - room, 0) % size, size))
+    gaps = gaps.unionByName(_new_sequences(spark, sequences, room, max(tokens - room, 0), size))
 
     # Two intervals that overlap do so in the block where the later one starts.
     def in_blocks(frame, first, width):
@@ -365,7 +358,7 @@ def pack(
     return placed.select(*result).unionByName(cut.select(*result)).withColumnRenamed("id", id_column)
 
 
-def _class_of(steps: Column, sizes: np.ndarray) -> Column:
+def _class_of(sizes: np.ndarray) -> Column:
     """Place of the smallest class that holds a length: by the length's doubling, then by steps within it."""
     starts, low = [], EXACT
     top = int(sizes[-1])
@@ -381,20 +374,19 @@ def _class_of(steps: Column, sizes: np.ndarray) -> Column:
 
 def _ranked(seated: DataFrame, found: dict[int, int]) -> DataFrame:
     """Ranks from 0 within each class. Large classes are ranked in parts; equal rows differ in their number."""
-    parts = _lookup({c: -(-n // RANKED) for c, n in found.items() if n > RANKED}, "class")
-    salt = F.pmod(F.xxhash64("row", "start"), F.greatest(parts, F.lit(1))).cast("int")
-    salted = seated.withColumn("salt", salt)
-    firsts, taken = {}, {}
-    for row in salted.groupBy("class", "salt").agg(F.count("*").alias("n")).sort("class", "salt").collect():
-        firsts[f"{row['class']}/{row.salt}"] = taken.get(row["class"], 0)
-        taken[row["class"]] = taken.get(row["class"], 0) + row.n
+    # As many entries as there are classes.
+    large = [F.lit(x) for c, n in found.items() if n > RANKED for x in (c, -(-n // RANKED))]
+    parts = F.coalesce(F.create_map(*large)[F.col("class")], F.lit(1)) if large else F.lit(1)
+    salted = seated.withColumn("salt", F.pmod(F.xxhash64("row", "start"), parts).cast("int"))
+    firsts = _firsts(salted.groupBy("class", "salt").agg(F.count("*").alias("n")), ["class"], "salt")
     local = F.row_number().over(Window.partitionBy("class", "salt").orderBy("row", "start")) - 1
-    first = _lookup({k: n for k, n in firsts.items() if n}, "class", "salt")
-    return salted.withColumn("rank", first + local).drop("salt")
+    ranked = salted.withColumn("within", local).join(firsts, ["class", "salt"])
+    return ranked.withColumn("rank", F.col("first") + F.col("within")).drop("salt", "first", "within")
 
 
-def _new_sequences(spark, first: int, place: int, whole: int, rest: int, size: int) -> DataFrame:
+def _new_sequences(spark, first: int, place: int, tokens: int, size: int) -> DataFrame:
     """Whole sequences on the rest of the line, and one for each binary digit of what is left then."""
+    whole, rest = divmod(tokens, size)
     rows = spark.range(whole).select(
         (F.col("id") + first).alias("sequence_id"),
         F.lit(0).cast("bigint").alias("used"),

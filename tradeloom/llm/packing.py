@@ -24,7 +24,7 @@ SEQUENCE = 4096
 #: Pieces of one length that are ranked in one task.
 RANKED = 100_000
 #: Words whose ids a Python worker keeps in each of two generations; what is used again moves to the younger.
-CACHE_WORDS = 125_000
+CACHE_WORDS = 200_000
 
 
 # --- tokens ---------------------------------------------------------------------------------
@@ -73,17 +73,19 @@ class WordTokenizer:
         return b"".join([known[w] for w in split])
 
     def _learn(self, words: set[str]) -> None:
-        rest = []
+        rest, known, old = [], self.words, self.old_words
         for word in words:
-            ids = self.old_words.get(word)
-            if ids is not None:
-                self.words[word] = ids
-                continue
-            plain = _PLAIN.fullmatch(word)
-            if plain:
-                self.words[word] = self._part(plain[1].lower()) + self._part(plain[2])
-            else:
-                rest.append(word)
+            ids = old.get(word)
+            if ids is None:
+                plain = _PLAIN.fullmatch(word)
+                if plain is None:
+                    rest.append(word)
+                    continue
+                letters, signs = plain.groups()
+                ids = self._part(letters.lower())
+                if signs:
+                    ids += self._part(signs)
+            known[word] = ids
         for start in range(0, len(rest), 4096):
             part = rest[start : start + 4096]
             for word, found in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
