@@ -59,7 +59,7 @@ def _where(rows: DataFrame, *conditions: Column | None) -> DataFrame:
     return rows.filter(reduce(lambda a, b: a & b, present)) if present else rows
 
 
-def _is_symbol(symbol: str | None) -> Column | None:
+def is_symbol(symbol: str | None) -> Column | None:
     cleaned = check_symbol(symbol)
     return None if cleaned is None else F.col("symbol") == cleaned
 
@@ -70,7 +70,7 @@ def _newest(rows: DataFrame, time: str, tie: str, count: int) -> DataFrame:
 
 
 def latest_ohlc(ohlc: DataFrame, limit: int = 100, symbol: str | None = None) -> DataFrame:
-    chosen = _where(ohlc, _is_symbol(symbol)).drop("open_event_time", "close_event_time")
+    chosen = _where(ohlc, is_symbol(symbol)).drop("open_event_time", "close_event_time")
     return _newest(chosen, "candle_time", "symbol", check_limit(limit, 5000))
 
 
@@ -82,16 +82,16 @@ def latest_whales(
 ) -> DataFrame:
     """Newest alerts from ``min_value`` up. The table itself starts above its own threshold."""
     worth = F.col("trade_value_usdt") >= check_min_value(min_value)
-    chosen = _where(whales, worth, _is_symbol(symbol)).select(*schemas.LARGE_TRADE_COLUMNS)
+    chosen = _where(whales, worth, is_symbol(symbol)).select(*schemas.LARGE_TRADE_COLUMNS)
     return _newest(chosen, "event_time", "event_id", check_limit(limit, 2000))
 
 
 def latest_flow(flow: DataFrame, limit: int = 100, symbol: str | None = None) -> DataFrame:
-    return _newest(_where(flow, _is_symbol(symbol)), "window_start", "symbol", check_limit(limit, 5000))
+    return _newest(_where(flow, is_symbol(symbol)), "window_start", "symbol", check_limit(limit, 5000))
 
 
 def latest_vwap(vwap: DataFrame, limit: int = 100, symbol: str | None = None) -> DataFrame:
-    return _newest(_where(vwap, _is_symbol(symbol)), "window_start", "symbol", check_limit(limit, 5000))
+    return _newest(_where(vwap, is_symbol(symbol)), "window_start", "symbol", check_limit(limit, 5000))
 
 
 def latest_trades(trades: DataFrame, limit: int = 20, columns: list[str] | None = None) -> DataFrame:
@@ -127,7 +127,7 @@ def whales_last_hour(
 
 def _recent_whales(whales, min_value, as_of, symbol) -> DataFrame:
     worth = F.col("trade_value_usdt") >= check_min_value(min_value)
-    return _where(whales, worth, _in_last_hour(as_of), _is_symbol(symbol))
+    return _where(whales, worth, _in_last_hour(as_of), is_symbol(symbol))
 
 
 def _newest_per_symbol(rows: DataFrame, time: str, count: int) -> DataFrame:
@@ -201,7 +201,7 @@ def dashboard_summary(
     as_of: datetime | str | Column | None = None,
 ) -> DataFrame:
     """One row over the newest 60 rows of all symbols together, or of the one asked for."""
-    only = _is_symbol(symbol)
+    only = is_symbol(symbol)
     return _summary(
         _newest(_where(ohlc, only), "candle_time", "symbol", SUMMARY_ROWS),
         _newest(_where(flow, only), "window_start", "symbol", SUMMARY_ROWS),

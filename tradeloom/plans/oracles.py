@@ -361,6 +361,14 @@ ORDER BY event_time DESC, event_id LIMIT 200
         "whale_last_hour": f"""
 SELECT count(*) AS whale_count_1h, coalesce({_sum('quote_qty')}, 0) AS whale_total_value_1h
 FROM ({_T}) WHERE event_time >= {_NEWEST} - INTERVAL 1 HOUR AND event_time <= {_NEWEST}
+""",
+        "whale_hours_running": f"""
+SELECT CAST(m.hours AS BIGINT) AS hours_before,
+       count(t.event_id) AS whale_count_1h, coalesce({_sum('t.quote_qty')}, 0) AS whale_total_value_1h
+FROM (SELECT hours, {_NEWEST} - to_hours(hours) - to_seconds(CASE WHEN hours > 0 THEN 30 ELSE 0 END) AS as_of
+      FROM (VALUES (0), (1), (26), (1000), (9000), (-240)) AS v(hours)) AS m
+LEFT JOIN ({_T}) AS t ON t.event_time >= m.as_of - INTERVAL 1 HOUR AND t.event_time <= m.as_of
+GROUP BY m.hours
 """,
         "dashboard_summary": _summary(_T),
         "dashboard_summary_symbol": _summary(f"SELECT * FROM ({_T}) WHERE symbol = 'VIEW'"),

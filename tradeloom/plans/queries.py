@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from tradeloom import schemas
 from tradeloom.functions import measures
-from tradeloom.operators import merge, normalize, reads, signals, tables
+from tradeloom.operators import merge, normalize, reads, running, signals, tables
 from tradeloom.session import configure, scratch_dir
 from tradeloom.sources import landing, market, raw
 from tradeloom.streaming.medallion import Medallion, Settings
@@ -555,6 +555,27 @@ def whale_last_hour(spark, sf_dir):
     return reads.whales_last_hour(whales, 0.0, _newest_event(spark, sf_dir))
 
 
+@query
+def whale_hours_running(spark, sf_dir):
+    """The hour before six moments, out of running totals that are written once for all of them.
+
+    The moments are the newest event and 1, 26, 1000 and 9000 hours and half a minute before it, and ten days after it.
+    """
+    folder = scratch_dir(spark, "running")
+    whales = signals.large_trades(market.live_trades(spark, sf_dir), 0.0)
+    running.write_running(whales, folder)
+    totals, newest = running.read_running(spark, folder), _newest_event(spark, sf_dir)
+    found = []
+    for hours in (0, 1, 26, 1000, 9000, -240):
+        shift = f"INTERVAL {hours} HOUR" + (" + INTERVAL 30 SECOND" if hours > 0 else "")
+        hour = running.totals_of_span(totals, whales, newest - F.expr(shift))
+        found.append(hour.select(F.lit(hours).cast("bigint").alias("hours_before"), "*"))
+    rows = found[0]
+    for more in found[1:]:
+        rows = rows.union(more)
+    return rows
+
+
 def _summary_inputs(spark, sf_dir):
     """The written tables a dashboard reads."""
     store = _live_store(spark, sf_dir)
