@@ -80,12 +80,13 @@ def test_distributions_add_up_and_longest_context_wins(spark, frame):
     assert chance("x b d", 2) > 0.7 > 0.5 > chance("x b c", 2)
 
 
-def test_scores_equal_those_of_the_tree_in_memory(documents, frame):
+@pytest.mark.parametrize("depth", [1, suffix_tree.DEPTH, 4])
+def test_scores_equal_those_of_the_tree_in_memory(documents, frame, depth):
     rng = np.random.default_rng(3)
     few = [(i, " ".join(rng.choice(list("abcdefghij"), 30)) + f" only{i}" * (i % 3)) for i in range(200)]
     for docs in (documents, frame(*odd_rows()), frame(*few), frame((1, "a b a b a b")), frame((1, "a a"), (2, "a a"))):
         rows = docs.selectExpr("doc_id AS id", "text")
-        tree, counts = suffix_tree.train(rows.selectExpr("id", "coalesce(text, '') AS text"))
+        tree, counts = suffix_tree.train(rows.selectExpr("id", "coalesce(text, '') AS text"), depth)
         known = dict(counts.collect())
         expected = []
         for id_, text in rows.collect():
@@ -94,7 +95,7 @@ def test_scores_equal_those_of_the_tree_in_memory(documents, frame):
             p = suffix_tree.predict(tree, symbols, suffix_tree.context_places(tree, symbols, np.array([0])))
             rare = tree.root(np.array([known.get(w, 0) for w in words.view(np.int64).tolist()]))
             expected.append((str(id_), len(words), np.log10(np.where(symbols < 0, p * rare, p)).sum()))
-        got = sorted((str(r.doc_id), r.n_tokens, r.score) for r in suffix_tree.score(docs).collect())
+        got = sorted((str(r.doc_id), r.n_tokens, r.score) for r in suffix_tree.score(docs, depth).collect())
         assert [g[2] for g in got] == pytest.approx([e[2] for e in sorted(expected)])
 
 
@@ -110,6 +111,23 @@ def test_a_run_seen_often_is_kept_in_a_large_corpus(spark):
     assert got[asked[0]].score > got[asked[1]].score + 5
 
 
+def test_scores_do_not_depend_on_blocks(spark, documents, monkeypatch):
+    """Documents dealt out anew make other blocks and the same scores."""
+    expected = {r.doc_id: r.score for r in suffix_tree.score(documents).collect()}
+    got = {r.doc_id: r.score for r in suffix_tree.score(documents.repartition(7)).collect()}
+    assert got == pytest.approx(expected)
+    assert spark.conf.get(suffix_tree.Steps.CLEANUP) == "false"
+
+
+def test_packed_numbers_come_back():
+    rng = np.random.default_rng(4)
+    for size in (0, 1, 1000):
+        keys = np.sort(rng.integers(0, 2**64, size, dtype=np.uint64))
+        assert np.array_equal(suffix_tree.unpack_sorted(suffix_tree.pack_sorted(keys)), keys)
+        values = rng.random(size)
+        assert np.array_equal(suffix_tree.unpack(suffix_tree.pack(values), np.float64), values)
+
+
 def test_contexts_do_not_cross_documents():
     tree = suffix_tree.Tree(np.sort(suffix_tree.tokens("a b")), np.array([2, 2, 2]), 6, 3, 0.5)
     tree.levels.append(suffix_tree._candidates(np.arange(4), np.array([2, 2, 2, 2])))

@@ -8,9 +8,12 @@ words with one place for unknown ones. A candidate is retained if the divergence
 parent's prediction, weighted by its count, is worth the pairs it keeps. A word is predicted by the longest
 suffix of what precedes it that is in the tree.
 
-The tree grows with the corpus and is held nowhere: words, contexts and pairs are rows, told apart by 64-bit hashes,
-the divergence test is made by grouped sums and joins to the parent, and each block of documents gets the
-rows of its own runs of words by a join. ``train`` builds the same tree in memory, for corpora that fit there.
+The tree grows with the corpus and is held nowhere. Documents lie in written blocks of about a million tokens. Runs of
+words are counted length by length: a block asks for its distinct runs, as sorted 64-bit hashes dealt out to buckets by
+their top bits, and is told each one's count in the same order, so answers need no keys. A longer run is
+asked for only if its context and its last words without the first are kept: of a run seen twice both are. The divergence
+test is made by grouped sums and joins to the parent, and the values come back to the blocks in the same way.
+``train`` builds the same tree in memory, for corpora that fit there.
 """
 
 from __future__ import annotations
@@ -23,10 +26,13 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from tradeloom.llm.common import ascii_words, small_batches, text_of, written
+from tradeloom.session import hadoop_file, scratch_dir
 
 #: A word, a pair or a longer run is kept by itself from this count on.
 MIN_COUNT = 2
@@ -37,7 +43,7 @@ MIN_GAIN = 1.0
 DISCOUNT = 0.5
 #: Tokens gathered before a task hands on its counts.
 FLUSH_TOKENS = 2 << 20
-#: Tokens of a block of documents that is scored at once.
+#: Tokens of a block of documents that is counted and scored at once; a longer document is a block of its own.
 BLOCK_TOKENS = 1 << 20
 CACHE_WORDS = 250_000
 #: Added to every count in the base score.
@@ -299,7 +305,55 @@ def train(texts: DataFrame, depth: int = DEPTH) -> tuple[Tree, DataFrame]:
     return tree, counts
 
 
-# --- the tree as tables ---------------------------------------------------------------------
+# --- written steps --------------------------------------------------------------------------
+
+
+class Steps:
+    """Written steps of one scoring: shuffles end with the write, and a step can be removed once others replace it."""
+
+    CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+    def __init__(self, spark):
+        self.spark, self.folders = spark, {}
+
+    def write(self, frame: DataFrame, label: str) -> DataFrame:
+        folder = scratch_dir(self.spark, label)
+        before = self.spark.conf.get(self.CLEANUP)
+        self.spark.conf.set(self.CLEANUP, "true")
+        try:
+            frame.write.option("compression", "zstd").parquet(folder)
+        finally:
+            self.spark.conf.set(self.CLEANUP, before)
+        self.folders[label] = folder
+        return self.spark.read.schema(frame.schema).parquet(folder)
+
+    def drop(self, *labels: str) -> None:
+        """Remove steps that no later read needs."""
+        for label in labels:
+            path, files = hadoop_file(self.spark, self.folders.pop(label))
+            files.delete(path, True)
+
+
+def pack(values: np.ndarray) -> bytes:
+    """Numbers with their bytes of equal weight side by side, so that leading zeros take no room."""
+    planes = values.view(np.uint8).reshape(-1, values.itemsize).T
+    return zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
+
+
+def unpack(blob: bytes, kind=np.uint64) -> np.ndarray:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(blob), dtype=np.uint8)
+    return np.ascontiguousarray(planes.reshape(np.dtype(kind).itemsize, -1).T).view(kind).ravel()
+
+
+def pack_sorted(keys: np.ndarray) -> bytes:
+    return pack(np.diff(keys, prepend=np.uint64(0)))
+
+
+def unpack_sorted(blob: bytes) -> np.ndarray:
+    return np.cumsum(unpack(blob), dtype=np.uint64)
+
+
+# --- blocks of documents --------------------------------------------------------------------
 
 
 def _mix(context: np.ndarray, word: np.ndarray) -> np.ndarray:
@@ -310,244 +364,347 @@ def _mix(context: np.ndarray, word: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def runs_of(words: np.ndarray, starts: np.ndarray, depth: int) -> tuple[list, list, list]:
-    """Hashes of the runs of 1 to depth + 1 words that end at each token, and of its contexts of 1 to depth words.
+_BLOCK = "block bigint, ids array<{id}>, held_out array<boolean>, lengths array<bigint>, words binary, counts binary, codes binary"
 
-    The third list tells where there is a context of that length: only the one word before a text is its start.
-    """
-    context = np.empty_like(words)
-    context[1:] = words[:-1]
-    context[starts] = START
-    there = np.ones(len(words), dtype=bool)
-    runs, contexts, exist = [words], [context], [there]
-    for d in range(1, depth + 1):
-        runs.append(_mix(contexts[-1], words))
-        if d < depth:
-            context, there = np.empty_like(words), np.zeros(len(words), dtype=bool)
-            context[1:], there[1:] = runs[-1][:-1], exist[-1][:-1]
-            there[starts] = False
-            contexts.append(context)
-            exist.append(there)
-    return runs, contexts, exist
 
+def _block_row(block: int, ids: list, texts: list[np.ndarray], schema: pa.Schema) -> pa.RecordBatch:
+    """Sorted distinct words, how often each occurs, and the tokens as ranks by that count."""
+    words, inverse, counts = np.unique(np.concatenate(texts), return_inverse=True, return_counts=True)
+    rank = np.empty(len(words), dtype=np.uint32)
+    rank[np.argsort(-counts, kind="stable")] = np.arange(len(words), dtype=np.uint32)
+    row = {
+        "block": block,
+        "ids": ids,
+        "held_out": [held_out(i) for i in ids],
+        "lengths": [len(t) for t in texts],
+        "words": pack_sorted(words),
+        "counts": pack(counts.astype(np.uint32)),
+        "codes": pack(rank[inverse]),
+    }
+    return pa.RecordBatch.from_pylist([row], schema=schema)
 
-def _signed(hashes: np.ndarray) -> pa.Array:
-    return pa.array(np.ascontiguousarray(hashes).view(np.int64))
 
+def _blocks():
+    def run(batches):
+        from pyspark import TaskContext
+
+        block, size, ids, texts, schema = TaskContext.get().partitionId() << 24, 0, [], [], None
+        for batch in small_batches(batches, 256):
+            if schema is None:
+                listed, number = pa.list_(batch.schema.field("id").type), pa.list_(pa.int64())
+                kinds = [pa.int64(), listed, pa.list_(pa.bool_()), number, pa.binary(), pa.binary(), pa.binary()]
+                names = ["block", "ids", "held_out", "lengths", "words", "counts", "codes"]
+                schema = pa.schema(list(zip(names, kinds)))
+            for id_, text in zip(batch.column("id").to_pylist(), batch.column("text").to_pylist()):
+                ids.append(id_)
+                texts.append(tokens(text))
+                size += len(texts[-1])
+                if size >= BLOCK_TOKENS:
+                    yield _block_row(block, ids, texts, schema)
+                    block, size, ids, texts = block + 1, 0, [], []
+        if ids:
+            yield _block_row(block, ids, texts, schema)
+
+    return run
 
-def _words_in_context(depth: int):
-    """(word, n, c1, c2, ...): the contexts of one occurrence; they are all of a word that occurs once."""
 
+@dataclass
+class Runs:
+    """Runs of one length in a block. ``there``: tokens with a kept context; ``at``: tokens whose run may be kept."""
+
+    context: np.ndarray
+    there: np.ndarray
+    parent: np.ndarray
+    at: np.ndarray
+    keys: np.ndarray
+    inverse: np.ndarray
+    #: As answered: 2 n + 1 in the one block that tells of the run, 2 n in others, 0 for runs that are not kept.
+    answer: np.ndarray | None = None
+
+    @property
+    def kept(self) -> np.ndarray:
+        return self.answer > 0
+
+
+class Block:
+    """The tokens of a block, and its runs as far as they are answered and one word longer."""
+
+    def __init__(self, row: dict):
+        self.row, self.lengths = row, np.array(row["lengths"], dtype=np.int64)
+        self.starts = np.cumsum(self.lengths) - self.lengths
+        self.vocabulary = unpack_sorted(row["words"])
+        order = np.argsort(-unpack(row["counts"], np.uint32).astype(np.int64), kind="stable")
+        self.places = order[unpack(row["codes"], np.uint32)]
+        self.words = self.vocabulary[self.places]
+        self.train = np.repeat(~np.array(row["held_out"], dtype=bool), self.lengths)
+        self.answers = []
+        while row.get(f"a{len(self.answers)}") is not None:
+            parts = row[f"a{len(self.answers)}"]
+            self.answers.append(np.concatenate([unpack(p["answer"]) for p in parts]))
+        self.longer = []
+        if self.answers:
+            self._grow()
+
+    def _before(self, values: np.ndarray, at_start) -> np.ndarray:
+        moved = np.empty_like(values)
+        moved[1:] = values[:-1]
+        moved[self.starts] = at_start
+        return moved
+
+    def _grow(self) -> None:
+        self.n = (self.answers[0] >> np.uint64(1)).astype(np.int64)
+        self.rare = self.n[self.places] < MIN_COUNT
+        symbol = np.where(self.rare, RARE_HASH, self.words)
+        context, there = self._before(self.words, START), self._before(~self.rare, True)
+        parent, held = symbol, np.ones(len(symbol), dtype=bool)
+        for answer in [*self.answers[1:], None]:
+            at = np.flatnonzero(there & held)
+            run = np.zeros_like(symbol)
+            run[at] = _mix(context[at], symbol[at])
+            keys, inverse = np.unique(run[at], return_inverse=True)
+            self.longer.append(Runs(context, there, parent, at, keys, inverse, answer))
+            if answer is None and len(keys):
+                return
+            if answer is None:
+                answer = self.longer[-1].answer = np.zeros(0, dtype=np.uint64)
+            held = np.zeros(len(symbol), dtype=bool)
+            held[at] = (answer > 0)[inverse]
+            parent, context, there = run, self._before(run, 0), self._before(held & ~self.rare, False)
+
+    def runs(self, depth: int) -> Runs | None:
+        """Runs of depth + 1 words."""
+        return self.longer[depth - 1] if depth <= len(self.longer) else None
+
+    def asked(self, depth: int) -> tuple[np.ndarray, np.ndarray]:
+        """Sorted keys of the runs of depth + 1 words, and their counts among training tokens."""
+        if not depth:
+            return self.vocabulary, np.bincount(self.places, weights=self.train, minlength=len(self.vocabulary))
+        runs = self.runs(depth)
+        if runs is None:
+            return np.zeros(0, np.uint64), np.zeros(0)
+        return runs.keys, np.bincount(runs.inverse, weights=self.train[runs.at], minlength=len(runs.keys))
+
+    def kept_keys(self, depth: int) -> np.ndarray:
+        """Sorted keys of the kept runs; of single words those that are contexts, and the start."""
+        if not depth:
+            return np.unique(np.append(self.vocabulary[self.n >= MIN_COUNT], START))
+        runs = self.runs(depth)
+        return np.zeros(0, np.uint64) if runs is None else runs.keys[runs.kept]
+
+
+def _each_block(work):
     def run(batches):
-        for words, starts in _training_blocks(batches):
-            _, contexts, exist = runs_of(words, starts, depth)
-            found, first, counts = np.unique(words, return_index=True, return_counts=True)
-            seen = [pa.array(c[first].view(np.int64), mask=~e[first]) for c, e in zip(contexts, exist)]
-            names = ["word", "n", *[f"c{d + 1}" for d in range(depth)]]
-            yield pa.RecordBatch.from_arrays([_signed(found), pa.array(counts), *seen], names=names)
+        for batch in batches:
+            for i in range(batch.num_rows):
+                yield from work(Block(batch.slice(i, 1).to_pylist()[0]))
 
     return run
 
 
-_ENTRY = "depth int, key bigint, context bigint, parent bigint, rare boolean, n bigint"
+# --- counts ---------------------------------------------------------------------------------
 
 
-def _entries(depth, keys, contexts, parents, rare, counts):
-    columns = [pa.array(np.full(len(keys), depth, dtype=np.int32)), _signed(keys), _signed(contexts), _signed(parents)]
-    columns += [pa.array(np.full(len(keys), rare)), pa.array(counts)]
-    return pa.RecordBatch.from_arrays(columns, names=["depth", "key", "context", "parent", "rare", "n"])
+def _dealt(keys: np.ndarray, bits: int):
+    """(bucket, from, to) of sorted keys by their top bits."""
+    buckets, first = np.unique(keys >> np.uint64(64 - bits), return_index=True)
+    return zip(buckets.tolist(), first.tolist(), [*first[1:].tolist(), len(keys)])
 
 
-def _run_counts(depth: int):
-    """Runs of two and more words of the training texts."""
+def _ask_counts(depth: int, bits: int):
+    def work(block: Block):
+        keys, n = block.asked(depth)
+        n = n.astype(np.uint64)
+        for bucket, a, b in _dealt(keys, bits):
+            columns = [[bucket], [block.row["block"]], [pack_sorted(keys[a:b])], [pack(n[a:b])]]
+            yield pa.RecordBatch.from_arrays(list(map(pa.array, columns)), names=["bucket", "block", "keys", "n"])
 
-    def run(batches):
-        for words, starts in _training_blocks(batches):
-            runs, contexts, exist = runs_of(words, starts, depth)
-            for d in range(1, depth + 1):
-                at = np.flatnonzero(exist[d - 1])
-                keys, first, counts = np.unique(runs[d][at], return_index=True, return_counts=True)
-                at = at[first]
-                yield _entries(d, keys, contexts[d - 1][at], runs[d - 1][at], False, counts)
+    return _each_block(work)
+
+
+def _answer_counts(least: int):
+    """One bucket: how often each key is seen in all blocks. The first block that has it is to tell of it."""
+
+    def run(asked: pd.DataFrame) -> pd.DataFrame:
+        asked = asked.sort_values("block")
+        keys = [unpack_sorted(k) for k in asked["keys"]]
+        ends = np.cumsum([len(k) for k in keys])
+        _, first, inverse = np.unique(np.concatenate(keys), return_index=True, return_inverse=True)
+        total = np.zeros(len(first), dtype=np.uint64)
+        np.add.at(total, inverse, np.concatenate([unpack(n) for n in asked["n"]]))
+        answer = np.where(total >= least, total << np.uint64(1), np.uint64(0))[inverse]
+        answer[first] += answer[first] > 0
+        told = [pack(np.ascontiguousarray(a)) for a in np.split(answer, ends[:-1])]
+        return pd.DataFrame({"block": asked["block"], "bucket": asked["bucket"], "answer": told})
 
     return run
 
 
-def _rare_runs(depth: int):
-    """The same for contexts followed by the class of rare words, from the words that occur once."""
+def _with_answers(blocks: DataFrame, answers: dict[str, DataFrame]) -> DataFrame:
+    """Blocks with the answers to what they asked, in the order of the keys."""
+    for name, rows in answers.items():
+        fields = [c for c in rows.columns if c != "block"]
+        mine = F.array_sort(F.collect_list(F.struct(*fields))).alias(name)
+        blocks = blocks.join(rows.groupBy("block").agg(mine), "block", "left")
+    return blocks
 
-    def run(batches):
-        for batch in batches:
-            shorter, there = np.full(batch.num_rows, RARE_HASH), np.ones(batch.num_rows, dtype=bool)
-            for d in range(1, depth + 1):
-                column = batch.column(f"c{d}")
-                there &= column.is_valid().to_numpy(zero_copy_only=False)
-                context = column.fill_null(0).to_numpy().view(np.uint64)
-                keys = _mix(context, np.full(len(context), RARE_HASH))
-                yield _entries(d, keys[there], context[there], shorter[there], True, np.ones(there.sum(), dtype=np.int64))
-                shorter = keys
 
-    return run
+def _told_words(block: Block):
+    mine = (block.answers[0] & np.uint64(1)).astype(bool)
+    yield pa.RecordBatch.from_arrays([_signed(block.vocabulary[mine]), pa.array(block.n[mine])], names=["key", "n"])
+
 
+_ENTRY = "key bigint, context bigint, parent bigint, rare boolean, n bigint"
 
-def tables(texts: DataFrame, depth: int = DEPTH) -> tuple[Tree, DataFrame]:
-    """The root's numbers, and the tree as rows (key, n, value, backoff, rare_value). ``texts``: (id, text).
 
-    ``key`` is the hash of a run of words. ``n`` is given for single training words. ``value`` is log10 P of the last
-    word after the others, ``backoff`` that of what a retained context leaves to its parent, and ``rare_value`` that of
-    the factor by which a rare word's root probability is multiplied after the run.
+def _told_runs(depth: int):
+    """The kept runs of depth + 1 words, each from one block."""
+
+    def work(block: Block):
+        runs = block.runs(depth)
+        if runs is None or not len(runs.keys):
+            return
+        mine = np.flatnonzero(runs.answer & np.uint64(1))
+        some = np.empty(len(runs.keys), dtype=np.int64)
+        some[runs.inverse] = runs.at
+        at = some[mine]
+        columns = [_signed(runs.keys[mine]), _signed(runs.context[at]), _signed(runs.parent[at])]
+        columns += [pa.array(block.rare[at]), pa.array((runs.answer[mine] >> np.uint64(1)).astype(np.int64))]
+        yield pa.RecordBatch.from_arrays(columns, names=["key", "context", "parent", "rare", "n"])
+
+    return _each_block(work)
+
+
+def _signed(hashes: np.ndarray) -> pa.Array:
+    return pa.array(np.ascontiguousarray(hashes).view(np.int64))
+
+
+# --- the divergence test --------------------------------------------------------------------
+
+
+def _fit(steps: Steps, words: DataFrame, entries: list[DataFrame]) -> tuple[Tree, list[DataFrame]]:
+    """The root's numbers, and by length of the run rows (key, value, backoff).
+
+    ``value`` is log10 P of the last word after the others, for a rare word that of the factor by which its root
+    probability is multiplied; ``backoff`` that of what a retained context leaves to its parent.
     """
-    spark = texts.sparkSession
-    seen = [f"c{d + 1}" for d in range(depth)]
-    words = texts.mapInArrow(_words_in_context(depth), f"word bigint, n bigint, {', '.join(f'{c} bigint' for c in seen)}")
-    words = words.groupBy("word").agg(F.sum("n").alias("n"), *[F.max(c).alias(c) for c in seen])
-    counts = written(words, "words")
-    often = F.col("n") >= MIN_COUNT
-    end = int(END.view(np.int64))
-    row = counts.agg(
+    spark, often, end = steps.spark, F.col("n") >= MIN_COUNT, int(END.view(np.int64))
+    row = words.agg(
         F.sum("n"), F.count("*"), F.count_if(F.col("n") == 1), F.count_if(F.col("n") == 2),
-        F.sum(F.when(often, F.col("n"))), F.count_if(often), F.sum(F.when(F.col("word") == end, F.col("n"))),
+        F.sum(F.when(often, F.col("n"))), F.count_if(often), F.sum(F.when(F.col("key") == end, F.col("n"))),
     ).first()
     total, distinct, once, twice, kept_total, kept, ends = (v or 0 for v in row)
     discount = once / (once + 2 * twice) if once and twice else 0.5
     root = Tree(np.zeros(0, np.uint64), np.zeros(0, np.int64), total, distinct, discount)
     rare_mass = max(1.0 - (kept_total - discount * kept) / total, 1e-12) if total else 1.0
 
-    counted = texts.mapInArrow(_run_counts(depth), _ENTRY)
-    counted = counted.union(counts.filter(~often).mapInArrow(_rare_runs(depth), _ENTRY))
-    counted = counted.groupBy("depth", "key").agg(
-        F.max("context").alias("context"), F.max("parent").alias("parent"), F.max("rare").alias("rare"), F.sum("n").alias("n")
-    )
-    entries = written(counted.filter(often), "runs")
-
     def one(key, value, name):
         return spark.range(1).select(F.lit(int(key.view(np.int64))).cast("bigint").alias("key"), F.lit(value).alias(name))
 
     # Every word but the end has a successor, and the start has one in each text.
-    totals = counts.select(F.col("word").alias("key"), F.col("n").alias("total")).union(one(START, ends, "total"))
-    below = counts.filter(often).select(F.col("word").alias("key"), ((F.col("n") - discount) / max(total, 1)).alias("below"))
+    totals = words.filter(often).select("key", F.col("n").alias("total")).union(one(START, ends, "total"))
+    below = words.filter(often).select("key", ((F.col("n") - discount) / max(total, 1)).alias("below"))
     below = below.union(one(RARE_HASH, 1.0, "below"))
-    null = F.lit(None).cast("double")
-    rows = [counts.select(F.col("word").alias("key"), "n", null.alias("value"), null.alias("backoff"), null.alias("rare_value"))]
-    none = F.lit(0).cast("bigint").alias("n")
-    for d in range(1, depth + 1):
-        mine = entries.filter(F.col("depth") == d).drop("depth")
+    values = totals.limit(0).select("key", F.lit(None).cast("double").alias("value"))
+    tables = []
+    for d, mine in enumerate(entries, 1):
         # Sums over contexts are written before they are joined, so that joins of common contexts can be split.
         sums = mine.groupBy(F.col("context").alias("key")).agg(F.sum("n").alias("held"), F.count("*").alias("entries"))
         left = 1 - (F.col("held") - DISCOUNT * F.col("entries")) / F.col("total")
         left = F.least(F.greatest(left, F.lit(1e-12)), F.lit(1.0))
-        sums = written(sums.join(totals, "key").withColumn("backoff", left).withColumnRenamed("key", "context"), "contexts")
+        sums = sums.join(totals, "key").withColumn("backoff", left).withColumnRenamed("key", "context")
+        sums = steps.write(sums, f"contexts{d}")
         share = (F.col("n") - DISCOUNT) / F.col("total") / F.when(F.col("rare"), rare_mass).otherwise(1.0)
         tested = mine.join(sums, "context").join(below.withColumnRenamed("key", "parent"), "parent")
         tested = tested.withColumn("mine", share + F.col("backoff") * F.col("below"))
-        tested = written(tested.select("key", "context", "rare", "n", "below", "mine"), "tested")
+        tested = steps.write(tested.select("key", "context", "n", "below", "mine"), f"tested{d}")
         # The gain in log-likelihood on the context's own counts: its divergence from the parent times its count.
         gain = F.sum(F.col("n") * F.log(F.col("mine") / F.col("below"))).alias("gain")
         retained = sums.join(tested.groupBy("context").agg(gain), "context")
         rest = (F.col("total") - F.col("held")) * F.log("backoff")
         retained = retained.filter(F.col("gain") + rest >= MIN_GAIN * (F.col("entries") + 1))
-        retained = written(retained.select("context", "backoff"), "retained")
+        retained = steps.write(retained.select("context", F.log10("backoff").alias("backoff")), f"retained{d}")
         there = retained.select("context", F.lit(True).alias("inside"))
-        value = F.when(F.col("inside"), F.col("mine")).otherwise(F.col("below")).alias("value")
-        valued = tested.join(there, "context", "left").select("key", "context", "rare", value)
-        valued = written(valued, "values")
+        value = F.when(F.col("inside"), F.col("mine")).otherwise(F.col("below")).alias("below")
+        below = steps.write(tested.join(there, "context", "left").select("key", value), f"values{d}")
+        steps.drop(f"contexts{d}", f"tested{d}")
+        tables.append(values.join(retained.withColumnRenamed("context", "key"), "key", "full"))
         totals = mine.filter(~F.col("rare")).select("key", F.col("n").alias("total"))
-        below = valued.select("key", F.col("value").alias("below"))
-        logged = F.log10("value")
-        rows += [
-            valued.filter(~F.col("rare")).select("key", none, logged, null, null),
-            valued.filter("rare").select(F.col("context"), none, null, null, logged),
-            retained.select("context", none, null, F.log10("backoff"), null),
-        ]
-    every = rows[0]
-    for more in rows[1:]:
-        every = every.union(more)
-    every = every.groupBy("key").agg(*[F.max(c).alias(c) for c in ("n", "value", "backoff", "rare_value")])
-    return root, every
+        values = below.select("key", F.log10("below").alias("value"))
+    tables.append(values.withColumn("backoff", F.lit(None).cast("double")))
+    return root, tables
 
 
 # --- scores ---------------------------------------------------------------------------------
 
 
-def _in_blocks(batches):
-    """Per document its words; documents in numbered blocks."""
-    from pyspark import TaskContext
-
-    block, size = TaskContext.get().partitionId() << 24, 0
-    for batch in small_batches(batches, 256):
-        texts = [tokens(t) for t in batch.column("text").to_pylist()]
-        yield pa.RecordBatch.from_arrays(
-            [
-                pa.array(np.full(len(texts), block)),
-                batch.column("id"),
-                pa.array([held_out(i) for i in batch.column("id").to_pylist()]),
-                pa.array([len(t) for t in texts], pa.int64()),
-                pa.array([t.tobytes() for t in texts], pa.binary()),
-            ],
-            names=["block", "id", "held_out", "n_tokens", "words"],
-        )
-        size += sum(map(len, texts))
-        if size >= BLOCK_TOKENS:
-            block, size = block + 1, 0
-
-
-def _block_runs(words: bytes, lengths: np.ndarray, depth: int):
-    words = np.frombuffer(words, dtype=np.uint64)
-    return runs_of(words, np.cumsum(lengths) - lengths, depth)
-
-
-def _wanted(depth: int):
-    """(block, key): the runs of words of a block, once per batch."""
-
-    def run(batches):
-        for batch in batches:
-            blocks, lengths = batch.column("block").to_numpy(), batch.column("n_tokens").to_numpy()
-            texts = batch.column("words").to_pylist()
-            for block in np.unique(blocks):
-                at = np.flatnonzero(blocks == block)
-                runs, _, exist = _block_runs(b"".join(texts[i] for i in at), lengths[at], depth)
-                for d, found in enumerate(runs):
-                    keys = np.unique(found[exist[d - 1]]) if d else np.unique(np.append(found, START))
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(keys), block)), _signed(keys)], names=["block", "key"])
-
-    return run
-
-
-def _finish(root: Tree, depth: int, columns: list[str]):
-    """Score a block's documents by the rows of its runs."""
-
-    def run(docs: pd.DataFrame, found: pd.DataFrame) -> pd.DataFrame:
-        found = found.sort_values("key")
-        known = found["key"].to_numpy()
-
-        def looked_up(name, keys, there):
-            at = np.where(there, _lookup(known, keys.view(np.int64)), -1)
-            values = found[name].to_numpy(dtype=float)
-            return np.where(at >= 0, values[at] if len(values) else 0.0, np.nan)
-
-        lengths = docs["n_tokens"].to_numpy()
-        runs, contexts, exist = _block_runs(b"".join(docs["words"]), lengths, depth)
-        n = np.nan_to_num(looked_up("n", runs[0], True)).astype(np.int64)
-        rare, first = n < MIN_COUNT, np.log10(root.root(n))
-        prediction = np.where(rare, 0.0, first)
-        for d in range(depth):
-            after = looked_up("rare_value", contexts[d], exist[d])
-            value = np.where(rare, after, looked_up("value", runs[d + 1], exist[d]))
-            left = np.nan_to_num(looked_up("backoff", contexts[d], exist[d]))
-            prediction = np.where(np.isnan(value), left + prediction, value)
-        prediction += np.where(rare, first, 0.0)
-        owner = np.repeat(np.arange(len(docs)), lengths)
+def _ask_values(depth: int, bits: int):
+    def work(block: Block):
+        keys = block.kept_keys(depth)
+        for bucket, a, b in _dealt(keys, bits):
+            columns = [[bucket], [block.row["block"]], [pack_sorted(keys[a:b])]]
+            yield pa.RecordBatch.from_arrays(list(map(pa.array, columns)), names=["bucket", "block", "keys"])
+
+    return _each_block(work)
+
+
+def _answer_values(asked: pd.DataFrame, table: pd.DataFrame) -> pd.DataFrame:
+    known = table["key"].to_numpy(dtype=np.int64).view(np.uint64)
+    order = np.argsort(known)
+    known = known[order]
+    columns = {name: table[name].to_numpy(dtype=float)[order] for name in ("value", "backoff")}
+    told = {name: [] for name in columns}
+    for blob in asked["keys"]:
+        at = _lookup(known, unpack_sorted(blob))
+        for name, values in columns.items():
+            found = np.where(at >= 0, values[at], np.nan) if len(values) else np.full(len(at), np.nan)
+            told[name].append(pack(found))
+    return pd.DataFrame({"block": asked["block"], "bucket": asked["bucket"], **told})
+
+
+def _told(parts: list[dict] | None, name: str) -> np.ndarray:
+    return np.concatenate([unpack(p[name], np.float64) for p in parts]) if parts else np.zeros(0)
+
+
+def _finish(root: Tree, depth: int, id_type: pa.DataType):
+    """Score a block's documents."""
+
+    def work(block: Block):
+        n = block.n[block.places]
+        first = np.log10(root.root(n))
+        prediction = np.where(block.rare, 0.0, first)
+        backoff = np.nan_to_num(_told(block.row["v0"], "backoff"))
+        place = _lookup(block.kept_keys(0), block.longer[0].context)
+        for d in range(1, depth + 1):
+            runs = block.runs(d)
+            if runs is None or runs.answer is None:
+                break
+            # What the context leaves to its parent, unless the run has a value of its own.
+            prediction[runs.there] += backoff[place[runs.there]]
+            held = np.flatnonzero(runs.kept[runs.inverse])
+            at, number = runs.at[held], (np.cumsum(runs.kept) - 1)[runs.inverse[held]]
+            prediction[at] = _told(block.row[f"v{d}"], "value")[number]
+            backoff = np.nan_to_num(_told(block.row[f"v{d}"], "backoff"))
+            place = np.full(len(n), -1, dtype=np.int64)
+            place[at] = number
+            place = block._before(place, -1)
+        prediction += np.where(block.rare, first, 0.0)
+        owner = np.repeat(np.arange(len(block.lengths)), block.lengths)
 
         def per_document(values):
-            return np.bincount(owner, weights=values, minlength=len(docs))
-
-        out = docs.drop(columns=["words", "block"])
-        out["n_known"] = per_document(n > 0).astype(np.int64)
-        out["base_score"] = per_document(root.base(n))
-        out["score"] = per_document(prediction)
-        return out[columns]
+            return np.bincount(owner, weights=values, minlength=len(block.lengths))
+
+        columns = [
+            pa.array(block.row["ids"], id_type),
+            pa.array(block.row["held_out"], pa.bool_()),
+            pa.array(block.lengths),
+            pa.array(per_document(n > 0).astype(np.int64)),
+            pa.array(per_document(root.base(n))),
+            pa.array(per_document(prediction)),
+        ]
+        names = ["id", "held_out", "n_tokens", "n_known", "base_score", "score"]
+        yield pa.RecordBatch.from_arrays(columns, names=names)
 
-    return run
+    return _each_block(work)
 
 
 def score(
@@ -561,19 +718,38 @@ def score(
     Rows whose id has a CRC-32 divisible by 10 are held out, all others train; a null id counts as the empty
     text there. A null or empty text is the end token alone. Repeated rows train as often as they come. Without
     training rows every probability is 1. An empty table gives no rows. Words and runs of words
-    are told apart by 64-bit hashes.
+    are told apart by 64-bit hashes. Contexts have up to ``depth`` words, of any count from ``MIN_COUNT`` on.
     """
+    spark = docs.sparkSession
     texts = docs.select(F.col(id_column).alias("id"), text_of(text_column).alias("text"))
-    id_type = texts.schema["id"].dataType.simpleString()
-    root, tree = tables(texts, depth)
-    numbers = f"id {id_type}, held_out boolean, n_tokens bigint, n_known bigint, base_score double, score double"
-    columns = [c.split()[0] for c in numbers.split(", ")]
-    held = f"block bigint, id {id_type}, held_out boolean, n_tokens bigint, words binary"
-    first = written(texts.mapInArrow(_in_blocks, held), "scores")
-    wanted = first.select("block", "n_tokens", "words").mapInArrow(_wanted(depth), "block bigint, key bigint")
-    found = wanted.join(tree, "key")
-    finish = _finish(root, depth, columns)
-    scored = first.groupBy("block").cogroup(found.groupBy("block")).applyInPandas(finish, numbers)
+    id_field, steps = texts.schema["id"].dataType, Steps(spark)
+    blocks = steps.write(texts.mapInArrow(_blocks(), _BLOCK.format(id=id_field.simpleString())), "blocks")
+    # As many buckets as blocks: both are of a bounded size at any size of the corpus.
+    bits = max(3, blocks.count().bit_length())
+    answers, entries, words = {}, [], None
+    for d in range(depth + 1):
+        asked = _with_answers(blocks, answers).mapInArrow(_ask_counts(d, bits), "bucket bigint, block bigint, keys binary, n binary")
+        answer = _answer_counts(MIN_COUNT if d else 1)
+        told = asked.groupBy("bucket").applyInPandas(answer, "block bigint, bucket bigint, answer binary")
+        answers[f"a{d}"] = steps.write(told, f"counts{d}")
+        known = _with_answers(blocks, answers)
+        if d:
+            entries.append(steps.write(known.mapInArrow(_told_runs(d), _ENTRY), f"runs{d}"))
+        else:
+            words = steps.write(known.mapInArrow(_each_block(_told_words), "key bigint, n bigint"), "words")
+    root, tables = _fit(steps, words, entries)
+    steps.drop("words", *[f"runs{d}" for d in range(1, depth + 1)])
+    known, values = _with_answers(blocks, answers), {}
+    for d, table in enumerate(tables):
+        asked = known.mapInArrow(_ask_values(d, bits), "bucket bigint, block bigint, keys binary")
+        table = table.withColumn("bucket", F.shiftrightunsigned("key", 64 - bits))
+        told = asked.groupBy("bucket").cogroup(table.groupBy("bucket"))
+        told = told.applyInPandas(_answer_values, "block bigint, bucket bigint, value binary, backoff binary")
+        values[f"v{d}"] = steps.write(told, f"told{d}")
+    steps.drop(*[f"{name}{d}" for d in range(1, depth + 1) for name in ("retained", "values")])
+    numbers = f"id {id_field.simpleString()}, held_out boolean, n_tokens bigint, n_known bigint, base_score double, score double"
+    finish = _finish(root, depth, to_arrow_type(id_field))
+    scored = _with_answers(blocks, answers | values).mapInArrow(finish, numbers)
     return scored.select(
         F.col("id").alias(id_column),
         "held_out",
