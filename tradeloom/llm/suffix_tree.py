@@ -8,11 +8,12 @@ words with one place for unknown ones. A candidate is retained if the divergence
 parent's prediction, weighted by its count, is worth the pairs it keeps. A word is predicted by the longest
 suffix of what precedes it that is in the tree.
 
-The tree grows with the corpus and is held nowhere. Documents lie in written blocks of about a million tokens. Runs of
-words are counted length by length: a block asks for its distinct runs, as sorted 64-bit hashes dealt out to buckets by
-their top bits, and is told each one's count in the same order, so answers need no keys. A longer run is
-asked for only if its context and its last words without the first are kept: of a run seen twice both are. The divergence
-test is made by grouped sums and joins to the parent, and the values come back to the blocks in the same way.
+The tree grows with the corpus and is held nowhere. Documents lie in written blocks of about a million tokens, and a
+block knows the nodes that its own text meets. What it can't know by itself are sums over all blocks: how often a
+run of words occurs, how much of a context's count its kept words hold, and the divergence of a context from its parent.
+For each it sends sorted 64-bit hashes with its own share, dealt out to buckets by their top bits, and is told the
+sums in the same order, so answers need no keys. Runs are asked for length by length; a longer run only if its context and
+its last words without the first are kept: of a run seen twice both are.
 ``train`` builds the same tree in memory, for corpora that fit there.
 """
 
@@ -32,7 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
 from tradeloom.llm.common import ascii_words, small_batches, text_of, written
-from tradeloom.session import hadoop_file, scratch_dir
+from tradeloom.session import scratch_dir
 
 #: A word, a pair or a longer run is kept by itself from this count on.
 MIN_COUNT = 2
@@ -309,12 +310,12 @@ def train(texts: DataFrame, depth: int = DEPTH) -> tuple[Tree, DataFrame]:
 
 
 class Steps:
-    """Written steps of one scoring: shuffles end with the write, and a step can be removed once others replace it."""
+    """Written steps of one scoring; the files of a step's shuffles end with its write."""
 
     CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
     def __init__(self, spark):
-        self.spark, self.folders = spark, {}
+        self.spark = spark
 
     def write(self, frame: DataFrame, label: str) -> DataFrame:
         folder = scratch_dir(self.spark, label)
@@ -324,15 +325,8 @@ class Steps:
             frame.write.option("compression", "zstd").parquet(folder)
         finally:
             self.spark.conf.set(self.CLEANUP, before)
-        self.folders[label] = folder
         return self.spark.read.schema(frame.schema).parquet(folder)
 
-    def drop(self, *labels: str) -> None:
-        """Remove steps that no later read needs."""
-        for label in labels:
-            path, files = hadoop_file(self.spark, self.folders.pop(label))
-            files.delete(path, True)
-
 
 def pack(values: np.ndarray) -> bytes:
     """Numbers with their bytes of equal weight side by side, so that leading zeros take no room."""
@@ -409,41 +403,62 @@ def _blocks():
 
 
 @dataclass
-class Runs:
-    """Runs of one length in a block. ``there``: tokens with a kept context; ``at``: tokens whose run may be kept."""
+class Level:
+    """Contexts of one length in a block, and the runs of one more word that may be or are kept."""
 
-    context: np.ndarray
-    there: np.ndarray
-    parent: np.ndarray
+    #: Sorted keys of the contexts, and how often each occurs.
+    contexts: np.ndarray
+    totals: np.ndarray
+    #: The number of each token's context, -1 where it has none.
+    place: np.ndarray
+    #: Tokens whose run may be kept, the sorted distinct runs, and which of them each token's run is.
     at: np.ndarray
     keys: np.ndarray
     inverse: np.ndarray
-    #: As answered: 2 n + 1 in the one block that tells of the run, 2 n in others, 0 for runs that are not kept.
-    answer: np.ndarray | None = None
+    #: From the counts on: kept runs, those this block tells of, their counts, a token and the context of each.
+    kept: np.ndarray = None
+    own: np.ndarray = None
+    n: np.ndarray = None
+    token: np.ndarray = None
+    context: np.ndarray = None
+    #: From the held counts on: what contexts leave to their parents, and which keep any run.
+    held: np.ndarray = None
+    entries: np.ndarray = None
+    backoff: np.ndarray = None
+    gain: np.ndarray = None
+    #: From the divergence on.
+    retained: np.ndarray = None
+    value: np.ndarray = None
+
 
-    @property
-    def kept(self) -> np.ndarray:
-        return self.answer > 0
+COUNT, HELD, GAIN = range(3)
 
 
 class Block:
-    """The tokens of a block, and its runs as far as they are answered and one word longer."""
+    """The tokens of a block and what it has been told before a round.
+
+    In round r the counts of runs of r + 1 words are asked for, the held counts of contexts of r - 1 words, and the
+    divergence of contexts of r - 2 words.
+    """
 
-    def __init__(self, row: dict):
-        self.row, self.lengths = row, np.array(row["lengths"], dtype=np.int64)
+    def __init__(self, row: dict, round_: int, depth: int, root: Root | None):
+        self.row, self.root, self.round = row, root, round_
+        self.lengths = np.array(row["lengths"], dtype=np.int64)
         self.starts = np.cumsum(self.lengths) - self.lengths
         self.vocabulary = unpack_sorted(row["words"])
         order = np.argsort(-unpack(row["counts"], np.uint32).astype(np.int64), kind="stable")
         self.places = order[unpack(row["codes"], np.uint32)]
-        self.words = self.vocabulary[self.places]
         self.train = np.repeat(~np.array(row["held_out"], dtype=bool), self.lengths)
-        self.answers = []
-        while row.get(f"a{len(self.answers)}") is not None:
-            parts = row[f"a{len(self.answers)}"]
-            self.answers.append(np.concatenate([unpack(p["answer"]) for p in parts]))
-        self.longer = []
-        if self.answers:
-            self._grow()
+        self.told = {}
+        for part in row.get("told") or []:
+            self.told.setdefault(part["step"], []).append(part)
+        self.levels = []
+        if round_:
+            self._grow(depth)
+
+    def _told(self, depth: int, kind: int, name: str = "first", dtype=np.uint64) -> np.ndarray:
+        parts = self.told.get(3 * depth + kind, [])
+        return np.concatenate([unpack(p[name], dtype) for p in parts]) if parts else np.zeros(0, dtype=dtype)
 
     def _before(self, values: np.ndarray, at_start) -> np.ndarray:
         moved = np.empty_like(values)
@@ -451,260 +466,214 @@ class Block:
         moved[self.starts] = at_start
         return moved
 
-    def _grow(self) -> None:
-        self.n = (self.answers[0] >> np.uint64(1)).astype(np.int64)
-        self.rare = self.n[self.places] < MIN_COUNT
-        symbol = np.where(self.rare, RARE_HASH, self.words)
-        context, there = self._before(self.words, START), self._before(~self.rare, True)
-        parent, held = symbol, np.ones(len(symbol), dtype=bool)
-        for answer in [*self.answers[1:], None]:
-            at = np.flatnonzero(there & held)
-            run = np.zeros_like(symbol)
-            run[at] = _mix(context[at], symbol[at])
-            keys, inverse = np.unique(run[at], return_inverse=True)
-            self.longer.append(Runs(context, there, parent, at, keys, inverse, answer))
-            if answer is None and len(keys):
+    def _grow(self, depth: int) -> None:
+        words, root = self.vocabulary[self.places], self.root
+        counts = (self._told(0, COUNT) >> np.uint64(1)).astype(np.int64)
+        self.n = counts[self.places]
+        self.rare = rare = self.n < MIN_COUNT
+        symbol = np.where(rare, RARE_HASH, words)
+        # Contexts of one word are the kept words and the start of a text.
+        often = counts >= MIN_COUNT
+        contexts, first = np.unique(np.append(self.vocabulary[often], START), return_index=True)
+        totals = np.append(counts[often], root.ends)[first]
+        context = self._before(words, START)
+        place = np.where(self._before(~rare, True), _lookup(contexts, context), -1)
+        below, held = np.where(rare, 1.0, root.root(self.n)), np.ones(len(words), dtype=bool)
+        for d in range(1, min(depth, self.round) + 1):
+            at = np.flatnonzero((place >= 0) & held)
+            keys, inverse = np.unique(_mix(context[at], symbol[at]), return_inverse=True)
+            level = Level(contexts, totals, place, at, keys, inverse)
+            self.levels.append(level)
+            if d == self.round:
                 return
-            if answer is None:
-                answer = self.longer[-1].answer = np.zeros(0, dtype=np.uint64)
-            held = np.zeros(len(symbol), dtype=bool)
-            held[at] = (answer > 0)[inverse]
-            parent, context, there = run, self._before(run, 0), self._before(held & ~self.rare, False)
-
-    def runs(self, depth: int) -> Runs | None:
-        """Runs of depth + 1 words."""
-        return self.longer[depth - 1] if depth <= len(self.longer) else None
-
-    def asked(self, depth: int) -> tuple[np.ndarray, np.ndarray]:
-        """Sorted keys of the runs of depth + 1 words, and their counts among training tokens."""
-        if not depth:
-            return self.vocabulary, np.bincount(self.places, weights=self.train, minlength=len(self.vocabulary))
-        runs = self.runs(depth)
-        if runs is None:
-            return np.zeros(0, np.uint64), np.zeros(0)
-        return runs.keys, np.bincount(runs.inverse, weights=self.train[runs.at], minlength=len(runs.keys))
-
-    def kept_keys(self, depth: int) -> np.ndarray:
-        """Sorted keys of the kept runs; of single words those that are contexts, and the start."""
-        if not depth:
-            return np.unique(np.append(self.vocabulary[self.n >= MIN_COUNT], START))
-        runs = self.runs(depth)
-        return np.zeros(0, np.uint64) if runs is None else runs.keys[runs.kept]
-
-
-def _each_block(work):
-    def run(batches):
-        for batch in batches:
-            for i in range(batch.num_rows):
-                yield from work(Block(batch.slice(i, 1).to_pylist()[0]))
-
-    return run
-
-
-# --- counts ---------------------------------------------------------------------------------
+            self._fill(level, d, below)
+            # The runs are the contexts of one word more, and the parents of longer runs.
+            run, number = np.zeros_like(words), np.full(len(words), -1, dtype=np.int64)
+            inside = level.kept[inverse]
+            which = (np.cumsum(level.kept) - 1)[inverse[inside]]
+            extends = ~rare[level.token]
+            run[at[inside]] = keys[inverse[inside]]
+            number[at[inside]] = np.where(extends, np.cumsum(extends) - 1, -1)[which]
+            held = np.zeros(len(words), dtype=bool)
+            held[at[inside]] = True
+            if level.value is not None:
+                below = np.zeros(len(words))
+                below[at[inside]] = level.value[which]
+            contexts, totals = keys[level.kept][extends], level.n[extends]
+            context, place = self._before(run, 0), self._before(number, -1)
+
+    def _fill(self, level: Level, d: int, below: np.ndarray) -> None:
+        answer = self._told(d, COUNT)
+        level.kept = answer > 0
+        answer = answer[level.kept]
+        level.own, level.n = (answer & np.uint64(1)).astype(bool), (answer >> np.uint64(1)).astype(np.int64)
+        token = np.zeros(len(level.keys), dtype=np.int64)
+        token[level.inverse] = level.at
+        level.token = token[level.kept]
+        level.context = level.place[level.token]
+        if self.round < d + 2:
+            return
+        level.held = self._told(d, HELD).astype(np.int64)
+        level.entries = self._told(d, HELD, "second").astype(np.int64)
+        left = 1 - (level.held - DISCOUNT * level.entries) / np.maximum(level.totals, 1)
+        level.backoff = np.clip(left, 1e-12, 1.0)
+        share = (level.n - DISCOUNT) / level.totals[level.context]
+        share /= np.where(self.rare[level.token], self.root.rare_mass, 1.0)
+        below = below[level.token]
+        mine = share + level.backoff[level.context] * below
+        # The gain in log-likelihood on the context's own counts: its divergence from the parent times its count.
+        level.gain = self._sums(level, level.n * np.log(mine / below))
+        if self.round < d + 3:
+            return
+        gain = np.zeros(len(level.contexts))
+        gain[level.entries > 0] = self._told(d, GAIN, dtype=np.float64)
+        gain += (level.totals - level.held) * np.log(level.backoff)
+        level.retained = (level.entries > 0) & (gain >= MIN_GAIN * (level.entries + 1))
+        level.value = np.where(level.retained[level.context], mine, below)
+
+    def _sums(self, level: Level, weights: np.ndarray) -> np.ndarray:
+        """Sums by context over the runs that this block tells of."""
+        return np.bincount(level.context[level.own], weights=weights[level.own], minlength=len(level.contexts))
+
+    def asked(self, depth: int):
+        """(step, sorted keys, columns of numbers to add up) of this round."""
+        if self.round == 0:
+            n = np.bincount(self.places, weights=self.train, minlength=len(self.vocabulary))
+            yield COUNT, self.vocabulary, [n.astype(np.uint64)]
+        elif self.round <= depth:
+            level = self.levels[-1]
+            n = np.bincount(level.inverse, weights=self.train[level.at], minlength=len(level.keys))
+            yield 3 * self.round + COUNT, level.keys, [n.astype(np.uint64)]
+        if 1 <= (d := self.round - 1) <= depth:
+            level = self.levels[d - 1]
+            sums = [self._sums(level, level.n), self._sums(level, np.ones(len(level.n)))]
+            yield 3 * d + HELD, level.contexts, [s.astype(np.uint64) for s in sums]
+        if 1 <= (d := self.round - 2) <= depth:
+            level = self.levels[d - 1]
+            live = level.entries > 0
+            yield 3 * d + GAIN, level.contexts[live], [level.gain[live]]
+
+    def scores(self) -> list[np.ndarray]:
+        """Per document n_tokens, n_known, base_score, score."""
+        first = np.log10(self.root.root(self.n))
+        prediction = np.where(self.rare, 0.0, first)
+        for level in self.levels:
+            # What the context leaves to its parent, unless the run has a value of its own.
+            left = np.where(level.retained, np.log10(level.backoff), 0.0)
+            there = level.place >= 0
+            prediction[there] += left[level.place[there]]
+            inside = level.kept[level.inverse]
+            value = np.log10(level.value)[(np.cumsum(level.kept) - 1)[level.inverse[inside]]]
+            prediction[level.at[inside]] = value
+        prediction += np.where(self.rare, first, 0.0)
+        owner = np.repeat(np.arange(len(self.lengths)), self.lengths)
 
+        def per_document(values):
+            return np.bincount(owner, weights=values, minlength=len(self.lengths))
 
-def _dealt(keys: np.ndarray, bits: int):
-    """(bucket, from, to) of sorted keys by their top bits."""
-    buckets, first = np.unique(keys >> np.uint64(64 - bits), return_index=True)
-    return zip(buckets.tolist(), first.tolist(), [*first[1:].tolist(), len(keys)])
+        known = per_document(self.n > 0).astype(np.int64)
+        return [self.lengths, known, per_document(self.root.base(self.n)), per_document(prediction)]
 
 
-def _ask_counts(depth: int, bits: int):
-    def work(block: Block):
-        keys, n = block.asked(depth)
-        n = n.astype(np.uint64)
-        for bucket, a, b in _dealt(keys, bits):
-            columns = [[bucket], [block.row["block"]], [pack_sorted(keys[a:b])], [pack(n[a:b])]]
-            yield pa.RecordBatch.from_arrays(list(map(pa.array, columns)), names=["bucket", "block", "keys", "n"])
-
-    return _each_block(work)
-
-
-def _answer_counts(least: int):
-    """One bucket: how often each key is seen in all blocks. The first block that has it is to tell of it."""
-
-    def run(asked: pd.DataFrame) -> pd.DataFrame:
-        asked = asked.sort_values("block")
-        keys = [unpack_sorted(k) for k in asked["keys"]]
-        ends = np.cumsum([len(k) for k in keys])
-        _, first, inverse = np.unique(np.concatenate(keys), return_index=True, return_inverse=True)
-        total = np.zeros(len(first), dtype=np.uint64)
-        np.add.at(total, inverse, np.concatenate([unpack(n) for n in asked["n"]]))
-        answer = np.where(total >= least, total << np.uint64(1), np.uint64(0))[inverse]
-        answer[first] += answer[first] > 0
-        told = [pack(np.ascontiguousarray(a)) for a in np.split(answer, ends[:-1])]
-        return pd.DataFrame({"block": asked["block"], "bucket": asked["bucket"], "answer": told})
+def _each_block(work, round_: int, depth: int, root: Root | None):
+    def run(batches):
+        for batch in batches:
+            for i in range(batch.num_rows):
+                yield from work(Block(batch.slice(i, 1).to_pylist()[0], round_, depth, root))
 
     return run
 
 
-def _with_answers(blocks: DataFrame, answers: dict[str, DataFrame]) -> DataFrame:
-    """Blocks with the answers to what they asked, in the order of the keys."""
-    for name, rows in answers.items():
-        fields = [c for c in rows.columns if c != "block"]
-        mine = F.array_sort(F.collect_list(F.struct(*fields))).alias(name)
-        blocks = blocks.join(rows.groupBy("block").agg(mine), "block", "left")
-    return blocks
-
-
-def _told_words(block: Block):
-    mine = (block.answers[0] & np.uint64(1)).astype(bool)
-    yield pa.RecordBatch.from_arrays([_signed(block.vocabulary[mine]), pa.array(block.n[mine])], names=["key", "n"])
+# --- rounds ---------------------------------------------------------------------------------
 
+_ASKED = "step int, bucket bigint, block bigint, keys binary, first binary, second binary"
+_TOLD = "block bigint, step int, bucket bigint, first binary, second binary, stats array<bigint>"
 
-_ENTRY = "key bigint, context bigint, parent bigint, rare boolean, n bigint"
-
-
-def _told_runs(depth: int):
-    """The kept runs of depth + 1 words, each from one block."""
 
+def _ask(depth: int, bits: int):
     def work(block: Block):
-        runs = block.runs(depth)
-        if runs is None or not len(runs.keys):
-            return
-        mine = np.flatnonzero(runs.answer & np.uint64(1))
-        some = np.empty(len(runs.keys), dtype=np.int64)
-        some[runs.inverse] = runs.at
-        at = some[mine]
-        columns = [_signed(runs.keys[mine]), _signed(runs.context[at]), _signed(runs.parent[at])]
-        columns += [pa.array(block.rare[at]), pa.array((runs.answer[mine] >> np.uint64(1)).astype(np.int64))]
-        yield pa.RecordBatch.from_arrays(columns, names=["key", "context", "parent", "rare", "n"])
+        for step, keys, columns in block.asked(depth):
+            buckets, first = np.unique(keys >> np.uint64(64 - bits), return_index=True)
+            for bucket, a, b in zip(buckets.tolist(), first.tolist(), [*first[1:].tolist(), len(keys)]):
+                numbers = [pack(c[a:b]) for c in columns] + [None] * (2 - len(columns))
+                row = [step, bucket, block.row["block"], pack_sorted(keys[a:b]), *numbers]
+                kinds = [pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary()]
+                names = ["step", "bucket", "block", "keys", "first", "second"]
+                yield pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(row, kinds)], names=names)
 
-    return _each_block(work)
+    return work
 
 
-def _signed(hashes: np.ndarray) -> pa.Array:
-    return pa.array(np.ascontiguousarray(hashes).view(np.int64))
+def _answer(asked: pd.DataFrame) -> pd.DataFrame:
+    """One bucket of a step: the sums by key over all blocks, in the order in which each block asked.
 
-
-# --- the divergence test --------------------------------------------------------------------
-
-
-def _fit(steps: Steps, words: DataFrame, entries: list[DataFrame]) -> tuple[Tree, list[DataFrame]]:
-    """The root's numbers, and by length of the run rows (key, value, backoff).
-
-    ``value`` is log10 P of the last word after the others, for a rare word that of the factor by which its root
-    probability is multiplied; ``backoff`` that of what a retained context leaves to its parent.
+    A count is told as 2 n, and to the first block that has the run as 2 n + 1; runs that are not kept as 0.
     """
-    spark, often, end = steps.spark, F.col("n") >= MIN_COUNT, int(END.view(np.int64))
-    row = words.agg(
-        F.sum("n"), F.count("*"), F.count_if(F.col("n") == 1), F.count_if(F.col("n") == 2),
-        F.sum(F.when(often, F.col("n"))), F.count_if(often), F.sum(F.when(F.col("key") == end, F.col("n"))),
-    ).first()
-    total, distinct, once, twice, kept_total, kept, ends = (v or 0 for v in row)
-    discount = once / (once + 2 * twice) if once and twice else 0.5
-    root = Tree(np.zeros(0, np.uint64), np.zeros(0, np.int64), total, distinct, discount)
-    rare_mass = max(1.0 - (kept_total - discount * kept) / total, 1e-12) if total else 1.0
-
-    def one(key, value, name):
-        return spark.range(1).select(F.lit(int(key.view(np.int64))).cast("bigint").alias("key"), F.lit(value).alias(name))
+    asked = asked.sort_values("block")
+    step = int(asked["step"].iloc[0])
+    keys = [unpack_sorted(k) for k in asked["keys"]]
+    ends = np.cumsum([len(k) for k in keys])[:-1]
+    _, first, inverse = np.unique(np.concatenate(keys), return_index=True, return_inverse=True)
+
+    def sums(name, dtype):
+        return np.bincount(inverse, weights=np.concatenate([unpack(v, dtype) for v in asked[name]])).astype(dtype)
+
+    def told(values):
+        return [pack(np.ascontiguousarray(v)) for v in np.split(values[inverse], ends)]
+
+    out = {"block": asked["block"], "step": asked["step"], "bucket": asked["bucket"]}
+    stats = [None] * len(asked)
+    second = [None] * len(asked)
+    if step % 3 == COUNT:
+        n = sums("first", np.uint64)
+        answer = np.where(n >= (MIN_COUNT if step else 1), n << np.uint64(1), np.uint64(0))[inverse]
+        answer[first] += answer[first] > 0
+        numbers = [pack(np.ascontiguousarray(v)) for v in np.split(answer, ends)]
+        if not step:
+            kept, end = n >= MIN_COUNT, np.concatenate(keys)[first] == END
+            found = [n.sum(), (n > 0).sum(), (n == 1).sum(), (n == 2).sum(), n[kept].sum(), kept.sum(), n[end].sum()]
+            stats[0] = [int(v) for v in found]
+    elif step % 3 == HELD:
+        numbers, second = told(sums("first", np.uint64)), told(sums("second", np.uint64))
+    else:
+        numbers = told(sums("first", np.float64))
+    return pd.DataFrame(out | {"first": numbers, "second": second, "stats": stats})
 
-    # Every word but the end has a successor, and the start has one in each text.
-    totals = words.filter(often).select("key", F.col("n").alias("total")).union(one(START, ends, "total"))
-    below = words.filter(often).select("key", ((F.col("n") - discount) / max(total, 1)).alias("below"))
-    below = below.union(one(RARE_HASH, 1.0, "below"))
-    values = totals.limit(0).select("key", F.lit(None).cast("double").alias("value"))
-    tables = []
-    for d, mine in enumerate(entries, 1):
-        # Sums over contexts are written before they are joined, so that joins of common contexts can be split.
-        sums = mine.groupBy(F.col("context").alias("key")).agg(F.sum("n").alias("held"), F.count("*").alias("entries"))
-        left = 1 - (F.col("held") - DISCOUNT * F.col("entries")) / F.col("total")
-        left = F.least(F.greatest(left, F.lit(1e-12)), F.lit(1.0))
-        sums = sums.join(totals, "key").withColumn("backoff", left).withColumnRenamed("key", "context")
-        sums = steps.write(sums, f"contexts{d}")
-        share = (F.col("n") - DISCOUNT) / F.col("total") / F.when(F.col("rare"), rare_mass).otherwise(1.0)
-        tested = mine.join(sums, "context").join(below.withColumnRenamed("key", "parent"), "parent")
-        tested = tested.withColumn("mine", share + F.col("backoff") * F.col("below"))
-        tested = steps.write(tested.select("key", "context", "n", "below", "mine"), f"tested{d}")
-        # The gain in log-likelihood on the context's own counts: its divergence from the parent times its count.
-        gain = F.sum(F.col("n") * F.log(F.col("mine") / F.col("below"))).alias("gain")
-        retained = sums.join(tested.groupBy("context").agg(gain), "context")
-        rest = (F.col("total") - F.col("held")) * F.log("backoff")
-        retained = retained.filter(F.col("gain") + rest >= MIN_GAIN * (F.col("entries") + 1))
-        retained = steps.write(retained.select("context", F.log10("backoff").alias("backoff")), f"retained{d}")
-        there = retained.select("context", F.lit(True).alias("inside"))
-        value = F.when(F.col("inside"), F.col("mine")).otherwise(F.col("below")).alias("below")
-        below = steps.write(tested.join(there, "context", "left").select("key", value), f"values{d}")
-        steps.drop(f"contexts{d}", f"tested{d}")
-        tables.append(values.join(retained.withColumnRenamed("context", "key"), "key", "full"))
-        totals = mine.filter(~F.col("rare")).select("key", F.col("n").alias("total"))
-        values = below.select("key", F.log10("below").alias("value"))
-    tables.append(values.withColumn("backoff", F.lit(None).cast("double")))
-    return root, tables
-
-
-# --- scores ---------------------------------------------------------------------------------
-
-
-def _ask_values(depth: int, bits: int):
-    def work(block: Block):
-        keys = block.kept_keys(depth)
-        for bucket, a, b in _dealt(keys, bits):
-            columns = [[bucket], [block.row["block"]], [pack_sorted(keys[a:b])]]
-            yield pa.RecordBatch.from_arrays(list(map(pa.array, columns)), names=["bucket", "block", "keys"])
 
-    return _each_block(work)
+@dataclass
+class Root(Tree):
+    """The numbers of the root alone. ``ends``: texts, which is how often the start occurs."""
 
+    ends: int = 0
+    rare_mass: float = 1.0
 
-def _answer_values(asked: pd.DataFrame, table: pd.DataFrame) -> pd.DataFrame:
-    known = table["key"].to_numpy(dtype=np.int64).view(np.uint64)
-    order = np.argsort(known)
-    known = known[order]
-    columns = {name: table[name].to_numpy(dtype=float)[order] for name in ("value", "backoff")}
-    told = {name: [] for name in columns}
-    for blob in asked["keys"]:
-        at = _lookup(known, unpack_sorted(blob))
-        for name, values in columns.items():
-            found = np.where(at >= 0, values[at], np.nan) if len(values) else np.full(len(at), np.nan)
-            told[name].append(pack(found))
-    return pd.DataFrame({"block": asked["block"], "bucket": asked["bucket"], **told})
 
+def _root(told: DataFrame) -> Root:
+    numbers = told.agg(*[F.sum(F.col("stats")[i]) for i in range(7)]).first()
+    total, distinct, once, twice, kept_total, kept, ends = (v or 0 for v in numbers)
+    discount = once / (once + 2 * twice) if once and twice else 0.5
+    rare_mass = max(1.0 - (kept_total - discount * kept) / total, 1e-12) if total else 1.0
+    return Root(np.zeros(0, np.uint64), np.zeros(0, np.int64), total, distinct, discount, [], ends, rare_mass)
 
-def _told(parts: list[dict] | None, name: str) -> np.ndarray:
-    return np.concatenate([unpack(p[name], np.float64) for p in parts]) if parts else np.zeros(0)
 
+def _with_told(blocks: DataFrame, told: list[DataFrame]) -> DataFrame:
+    """Blocks with all that they have been told, in the order in which they asked."""
+    if not told:
+        return blocks
+    every = told[0]
+    for more in told[1:]:
+        every = every.union(more)
+    parts = F.array_sort(F.collect_list(F.struct("step", "bucket", "first", "second"))).alias("told")
+    return blocks.join(every.groupBy("block").agg(parts), "block", "left")
 
-def _finish(root: Tree, depth: int, id_type: pa.DataType):
-    """Score a block's documents."""
 
+def _finish(id_type: pa.DataType):
     def work(block: Block):
-        n = block.n[block.places]
-        first = np.log10(root.root(n))
-        prediction = np.where(block.rare, 0.0, first)
-        backoff = np.nan_to_num(_told(block.row["v0"], "backoff"))
-        place = _lookup(block.kept_keys(0), block.longer[0].context)
-        for d in range(1, depth + 1):
-            runs = block.runs(d)
-            if runs is None or runs.answer is None:
-                break
-            # What the context leaves to its parent, unless the run has a value of its own.
-            prediction[runs.there] += backoff[place[runs.there]]
-            held = np.flatnonzero(runs.kept[runs.inverse])
-            at, number = runs.at[held], (np.cumsum(runs.kept) - 1)[runs.inverse[held]]
-            prediction[at] = _told(block.row[f"v{d}"], "value")[number]
-            backoff = np.nan_to_num(_told(block.row[f"v{d}"], "backoff"))
-            place = np.full(len(n), -1, dtype=np.int64)
-            place[at] = number
-            place = block._before(place, -1)
-        prediction += np.where(block.rare, first, 0.0)
-        owner = np.repeat(np.arange(len(block.lengths)), block.lengths)
-
-        def per_document(values):
-            return np.bincount(owner, weights=values, minlength=len(block.lengths))
-
-        columns = [
-            pa.array(block.row["ids"], id_type),
-            pa.array(block.row["held_out"], pa.bool_()),
-            pa.array(block.lengths),
-            pa.array(per_document(n > 0).astype(np.int64)),
-            pa.array(per_document(root.base(n))),
-            pa.array(per_document(prediction)),
-        ]
+        ids, held = pa.array(block.row["ids"], id_type), pa.array(block.row["held_out"], pa.bool_())
         names = ["id", "held_out", "n_tokens", "n_known", "base_score", "score"]
-        yield pa.RecordBatch.from_arrays(columns, names=names)
+        yield pa.RecordBatch.from_arrays([ids, held, *map(pa.array, block.scores())], names=names)
 
-    return _each_block(work)
+    return work
 
 
 def score(
@@ -720,37 +689,19 @@ def score(
     training rows every probability is 1. An empty table gives no rows. Words and runs of words
     are told apart by 64-bit hashes. Contexts have up to ``depth`` words, of any count from ``MIN_COUNT`` on.
     """
-    spark = docs.sparkSession
     texts = docs.select(F.col(id_column).alias("id"), text_of(text_column).alias("text"))
-    id_field, steps = texts.schema["id"].dataType, Steps(spark)
+    id_field, steps = texts.schema["id"].dataType, Steps(docs.sparkSession)
     blocks = steps.write(texts.mapInArrow(_blocks(), _BLOCK.format(id=id_field.simpleString())), "blocks")
     # As many buckets as blocks: both are of a bounded size at any size of the corpus.
     bits = max(3, blocks.count().bit_length())
-    answers, entries, words = {}, [], None
-    for d in range(depth + 1):
-        asked = _with_answers(blocks, answers).mapInArrow(_ask_counts(d, bits), "bucket bigint, block bigint, keys binary, n binary")
-        answer = _answer_counts(MIN_COUNT if d else 1)
-        told = asked.groupBy("bucket").applyInPandas(answer, "block bigint, bucket bigint, answer binary")
-        answers[f"a{d}"] = steps.write(told, f"counts{d}")
-        known = _with_answers(blocks, answers)
-        if d:
-            entries.append(steps.write(known.mapInArrow(_told_runs(d), _ENTRY), f"runs{d}"))
-        else:
-            words = steps.write(known.mapInArrow(_each_block(_told_words), "key bigint, n bigint"), "words")
-    root, tables = _fit(steps, words, entries)
-    steps.drop("words", *[f"runs{d}" for d in range(1, depth + 1)])
-    known, values = _with_answers(blocks, answers), {}
-    for d, table in enumerate(tables):
-        asked = known.mapInArrow(_ask_values(d, bits), "bucket bigint, block bigint, keys binary")
-        table = table.withColumn("bucket", F.shiftrightunsigned("key", 64 - bits))
-        told = asked.groupBy("bucket").cogroup(table.groupBy("bucket"))
-        told = told.applyInPandas(_answer_values, "block bigint, bucket bigint, value binary, backoff binary")
-        values[f"v{d}"] = steps.write(told, f"told{d}")
-    steps.drop(*[f"{name}{d}" for d in range(1, depth + 1) for name in ("retained", "values")])
+    told, root = [], None
+    for round_ in range(depth + 3):
+        asked = _with_told(blocks, told).mapInArrow(_each_block(_ask(depth, bits), round_, depth, root), _ASKED)
+        told.append(steps.write(asked.groupBy("step", "bucket").applyInPandas(_answer, _TOLD), f"told{round_}"))
+        root = root or _root(told[0])
     numbers = f"id {id_field.simpleString()}, held_out boolean, n_tokens bigint, n_known bigint, base_score double, score double"
-    finish = _finish(root, depth, to_arrow_type(id_field))
-    scored = _with_answers(blocks, answers | values).mapInArrow(finish, numbers)
-    return scored.select(
+    finish = _each_block(_finish(to_arrow_type(id_field)), depth + 3, depth, root)
+    return _with_told(blocks, told).mapInArrow(finish, numbers).select(
         F.col("id").alias(id_column),
         "held_out",
         "n_tokens",
