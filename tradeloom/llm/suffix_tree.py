@@ -8,7 +8,7 @@ words with one place for unknown ones. A candidate is retained if the divergence
 parent's prediction, weighted by its count, is worth the pairs it keeps. A word is predicted by the longest
 suffix of what precedes it that is in the tree.
 
-The tree grows with the corpus and is held nowhere. Documents lie in written blocks of about a million tokens, and a
+The tree grows with the corpus and is held nowhere. Documents lie in written blocks of about half a million tokens, and a
 block knows the nodes that its own text meets. What it can't know by itself are sums over all blocks: how often a
 run of words occurs, how much of a context's count its kept words hold, and the divergence of a context from its parent.
 For each it sends sorted 64-bit hashes with its own share, dealt out to buckets by their top bits, and is told the
@@ -45,7 +45,7 @@ DISCOUNT = 0.5
 #: Tokens gathered before a task hands on its counts.
 FLUSH_TOKENS = 2 << 20
 #: Tokens of a block of documents that is counted and scored at once; a longer document is a block of its own.
-BLOCK_TOKENS = 1 << 20
+BLOCK_TOKENS = 1 << 19
 CACHE_WORDS = 250_000
 #: Added to every count in the base score.
 BASE_SMOOTHING = 0.1
@@ -363,7 +363,8 @@ _BLOCK = "block bigint, ids array<{id}>, held_out array<boolean>, lengths array<
 
 def _block_row(block: int, ids: list, texts: list[np.ndarray], schema: pa.Schema) -> pa.RecordBatch:
     """Sorted distinct words, how often each occurs, and the tokens as ranks by that count."""
-    words, inverse, counts = np.unique(np.concatenate(texts), return_inverse=True, return_counts=True)
+    words, _, inverse = distinct(np.concatenate(texts))
+    counts = np.bincount(inverse)
     rank = np.empty(len(words), dtype=np.uint32)
     rank[np.argsort(-counts, kind="stable")] = np.arange(len(words), dtype=np.uint32)
     row = {
@@ -398,12 +399,25 @@ def _blocks():
                     block, size, ids, texts = block + 1, 0, [], []
         if ids:
             yield _block_row(block, ids, texts, schema)
+        _hashes.clear()
 
     return run
 
 
+def distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sorted distinct keys, the first place of each, and which of them each key is."""
+    order = np.argsort(keys).astype(np.int32 if len(keys) < 2**31 else np.int64)
+    ordered = keys[order]
+    new = np.ones(len(keys), dtype=bool)
+    new[1:] = ordered[1:] != ordered[:-1]
+    inverse = np.empty_like(order)
+    inverse[order] = np.cumsum(new, dtype=order.dtype) - 1
+    starts = np.flatnonzero(new)
+    return ordered[new], np.minimum.reduceat(order, starts) if len(starts) else order, inverse
+
+
 @dataclass
-class Level:
+class Contexts:
     """Contexts of one length in a block, and the runs of one more word that may be or are kept."""
 
     #: Sorted keys of the contexts, and how often each occurs.
@@ -411,10 +425,11 @@ class Level:
     totals: np.ndarray
     #: The number of each token's context, -1 where it has none.
     place: np.ndarray
-    #: Tokens whose run may be kept, the sorted distinct runs, and which of them each token's run is.
+    #: Tokens whose run may be kept, the sorted distinct runs, which of them each token's run is, and a token of each.
     at: np.ndarray
     keys: np.ndarray
     inverse: np.ndarray
+    first: np.ndarray
     #: From the counts on: kept runs, those this block tells of, their counts, a token and the context of each.
     kept: np.ndarray = None
     own: np.ndarray = None
@@ -474,42 +489,44 @@ class Block:
         symbol = np.where(rare, RARE_HASH, words)
         # Contexts of one word are the kept words and the start of a text.
         often = counts >= MIN_COUNT
-        contexts, first = np.unique(np.append(self.vocabulary[often], START), return_index=True)
-        totals = np.append(counts[often], root.ends)[first]
-        context = self._before(words, START)
-        place = np.where(self._before(~rare, True), _lookup(contexts, context), -1)
+        contexts, totals = self.vocabulary[often], counts[often]
+        start = int(np.searchsorted(contexts, START))
+        contexts, totals = np.insert(contexts, start, START), np.insert(totals, start, root.ends)
+        number = np.cumsum(often, dtype=np.int32) - 1
+        number[number >= start] += 1
+        number[~often] = -1
+        context, place = self._before(words, START), self._before(number[self.places], start)
         below, held = np.where(rare, 1.0, root.root(self.n)), np.ones(len(words), dtype=bool)
+        del words
         for d in range(1, min(depth, self.round) + 1):
             at = np.flatnonzero((place >= 0) & held)
-            keys, inverse = np.unique(_mix(context[at], symbol[at]), return_inverse=True)
-            level = Level(contexts, totals, place, at, keys, inverse)
+            keys, first, inverse = distinct(_mix(context[at], symbol[at]))
+            level = Contexts(contexts, totals, place, at, keys, inverse, at[first])
             self.levels.append(level)
             if d == self.round:
                 return
             self._fill(level, d, below)
             # The runs are the contexts of one word more, and the parents of longer runs.
-            run, number = np.zeros_like(words), np.full(len(words), -1, dtype=np.int64)
+            run, number = np.zeros_like(symbol), np.full(len(symbol), -1, dtype=np.int32)
             inside = level.kept[inverse]
             which = (np.cumsum(level.kept) - 1)[inverse[inside]]
             extends = ~rare[level.token]
             run[at[inside]] = keys[inverse[inside]]
             number[at[inside]] = np.where(extends, np.cumsum(extends) - 1, -1)[which]
-            held = np.zeros(len(words), dtype=bool)
+            held = np.zeros(len(symbol), dtype=bool)
             held[at[inside]] = True
             if level.value is not None:
-                below = np.zeros(len(words))
+                below = np.zeros(len(symbol))
                 below[at[inside]] = level.value[which]
             contexts, totals = keys[level.kept][extends], level.n[extends]
             context, place = self._before(run, 0), self._before(number, -1)
 
-    def _fill(self, level: Level, d: int, below: np.ndarray) -> None:
+    def _fill(self, level: Contexts, d: int, below: np.ndarray) -> None:
         answer = self._told(d, COUNT)
         level.kept = answer > 0
         answer = answer[level.kept]
         level.own, level.n = (answer & np.uint64(1)).astype(bool), (answer >> np.uint64(1)).astype(np.int64)
-        token = np.zeros(len(level.keys), dtype=np.int64)
-        token[level.inverse] = level.at
-        level.token = token[level.kept]
+        level.token = level.first[level.kept]
         level.context = level.place[level.token]
         if self.round < d + 2:
             return
@@ -531,7 +548,7 @@ class Block:
         level.retained = (level.entries > 0) & (gain >= MIN_GAIN * (level.entries + 1))
         level.value = np.where(level.retained[level.context], mine, below)
 
-    def _sums(self, level: Level, weights: np.ndarray) -> np.ndarray:
+    def _sums(self, level: Contexts, weights: np.ndarray) -> np.ndarray:
         """Sums by context over the runs that this block tells of."""
         return np.bincount(level.context[level.own], weights=weights[level.own], minlength=len(level.contexts))
 
@@ -613,7 +630,7 @@ def _answer(asked: pd.DataFrame) -> pd.DataFrame:
     step = int(asked["step"].iloc[0])
     keys = [unpack_sorted(k) for k in asked["keys"]]
     ends = np.cumsum([len(k) for k in keys])[:-1]
-    _, first, inverse = np.unique(np.concatenate(keys), return_index=True, return_inverse=True)
+    known, first, inverse = distinct(np.concatenate(keys))
 
     def sums(name, dtype):
         return np.bincount(inverse, weights=np.concatenate([unpack(v, dtype) for v in asked[name]])).astype(dtype)
@@ -630,7 +647,7 @@ def _answer(asked: pd.DataFrame) -> pd.DataFrame:
         answer[first] += answer[first] > 0
         numbers = [pack(np.ascontiguousarray(v)) for v in np.split(answer, ends)]
         if not step:
-            kept, end = n >= MIN_COUNT, np.concatenate(keys)[first] == END
+            kept, end = n >= MIN_COUNT, known == END
             found = [n.sum(), (n > 0).sum(), (n == 1).sum(), (n == 2).sum(), n[kept].sum(), kept.sum(), n[end].sum()]
             stats[0] = [int(v) for v in found]
     elif step % 3 == HELD:
