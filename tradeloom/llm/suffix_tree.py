@@ -8,7 +8,7 @@ words with one place for unknown ones. A candidate is retained if the divergence
 parent's prediction, weighted by its count, is worth the pairs it keeps. A word is predicted by the longest
 suffix of what precedes it that is in the tree.
 
-The tree grows with the corpus and is held nowhere. Documents lie in written blocks of about half a million tokens, and a
+The tree grows with the corpus and is held nowhere. Documents lie in written blocks of some 800,000 tokens, and a
 block knows the nodes that its own text meets. What it can't know by itself are sums over all blocks: how often a
 run of words occurs, how much of a context's count its kept words hold, and the divergence of a context from its parent.
 For each it sends sorted 64-bit hashes with its own share, dealt out to buckets by their top bits, and is told the
@@ -19,6 +19,7 @@ its last words without the first are kept: of a run seen twice both are.
 
 from __future__ import annotations
 
+import functools
 import math
 import zlib
 from dataclasses import dataclass, field
@@ -45,7 +46,9 @@ DISCOUNT = 0.5
 #: Tokens gathered before a task hands on its counts.
 FLUSH_TOKENS = 2 << 20
 #: Tokens of a block of documents that is counted and scored at once; a longer document is a block of its own.
-BLOCK_TOKENS = 1 << 19
+BLOCK_TOKENS = 3 << 18
+#: Blocks per bucket of keys: few buckets keep the parts of a block large, and a bucket holds some million keys.
+BLOCKS_A_BUCKET = 8
 CACHE_WORDS = 250_000
 #: Added to every count in the base score.
 BASE_SMOOTHING = 0.1
@@ -328,14 +331,19 @@ class Steps:
         return self.spark.read.schema(frame.schema).parquet(folder)
 
 
+@functools.cache
+def _coders():
+    return zstandard.ZstdCompressor(level=1), zstandard.ZstdDecompressor()
+
+
 def pack(values: np.ndarray) -> bytes:
     """Numbers with their bytes of equal weight side by side, so that leading zeros take no room."""
     planes = values.view(np.uint8).reshape(-1, values.itemsize).T
-    return zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
+    return _coders()[0].compress(planes.tobytes())
 
 
 def unpack(blob: bytes, kind=np.uint64) -> np.ndarray:
-    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(blob), dtype=np.uint8)
+    planes = np.frombuffer(_coders()[1].decompress(blob), dtype=np.uint8)
     return np.ascontiguousarray(planes.reshape(np.dtype(kind).itemsize, -1).T).view(kind).ravel()
 
 
@@ -609,14 +617,16 @@ _TOLD = "block bigint, step int, bucket bigint, first binary, second binary, sta
 
 def _ask(depth: int, bits: int):
     def work(block: Block):
+        kinds = [pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary()]
+        names = ["step", "bucket", "block", "keys", "first", "second"]
         for step, keys, columns in block.asked(depth):
+            rows = []
             buckets, first = np.unique(keys >> np.uint64(64 - bits), return_index=True)
             for bucket, a, b in zip(buckets.tolist(), first.tolist(), [*first[1:].tolist(), len(keys)]):
                 numbers = [pack(c[a:b]) for c in columns] + [None] * (2 - len(columns))
-                row = [step, bucket, block.row["block"], pack_sorted(keys[a:b]), *numbers]
-                kinds = [pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary()]
-                names = ["step", "bucket", "block", "keys", "first", "second"]
-                yield pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(row, kinds)], names=names)
+                rows.append([step, bucket, block.row["block"], pack_sorted(keys[a:b]), *numbers])
+            if rows:
+                yield pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(zip(*rows), kinds)], names=names)
 
     return work
 
@@ -709,8 +719,8 @@ def score(
     texts = docs.select(F.col(id_column).alias("id"), text_of(text_column).alias("text"))
     id_field, steps = texts.schema["id"].dataType, Steps(docs.sparkSession)
     blocks = steps.write(texts.mapInArrow(_blocks(), _BLOCK.format(id=id_field.simpleString())), "blocks")
-    # As many buckets as blocks: both are of a bounded size at any size of the corpus.
-    bits = max(3, blocks.count().bit_length())
+    # The buckets grow in number with the blocks, so both are of a bounded size at any size of the corpus.
+    bits = max(3, (blocks.count() // BLOCKS_A_BUCKET).bit_length())
     told, root = [], None
     for round_ in range(depth + 3):
         asked = _with_told(blocks, told).mapInArrow(_each_block(_ask(depth, bits), round_, depth, root), _ASKED)
