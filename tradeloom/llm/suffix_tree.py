@@ -438,6 +438,8 @@ class Contexts:
     keys: np.ndarray
     inverse: np.ndarray
     first: np.ndarray
+    #: Contexts this block tells of.
+    mine: np.ndarray
     #: From the counts on: kept runs, those this block tells of, their counts, a token and the context of each.
     kept: np.ndarray = None
     own: np.ndarray = None
@@ -491,7 +493,8 @@ class Block:
 
     def _grow(self, depth: int) -> None:
         words, root = self.vocabulary[self.places], self.root
-        counts = (self._told(0, COUNT) >> np.uint64(1)).astype(np.int64)
+        told = self._told(0, COUNT)
+        counts, own = (told >> np.uint64(1)).astype(np.int64), (told & np.uint64(1)).astype(bool)
         self.n = counts[self.places]
         self.rare = rare = self.n < MIN_COUNT
         symbol = np.where(rare, RARE_HASH, words)
@@ -500,6 +503,8 @@ class Block:
         contexts, totals = self.vocabulary[often], counts[often]
         start = int(np.searchsorted(contexts, START))
         contexts, totals = np.insert(contexts, start, START), np.insert(totals, start, root.ends)
+        # The block that tells of the end tells of the start, too.
+        own = np.insert(own[often], start, own[np.searchsorted(self.vocabulary, END)])
         number = np.cumsum(often, dtype=np.int32) - 1
         number[number >= start] += 1
         number[~often] = -1
@@ -509,7 +514,7 @@ class Block:
         for d in range(1, min(depth, self.round) + 1):
             at = np.flatnonzero((place >= 0) & held)
             keys, first, inverse = distinct(_mix(context[at], symbol[at]))
-            level = Contexts(contexts, totals, place, at, keys, inverse, at[first])
+            level = Contexts(contexts, totals, place, at, keys, inverse, at[first], own)
             self.levels.append(level)
             if d == self.round:
                 return
@@ -526,7 +531,7 @@ class Block:
             if level.value is not None:
                 below = np.zeros(len(symbol))
                 below[at[inside]] = level.value[which]
-            contexts, totals = keys[level.kept][extends], level.n[extends]
+            contexts, totals, own = keys[level.kept][extends], level.n[extends], level.own[extends]
             context, place = self._before(run, 0), self._before(number, -1)
 
     def _fill(self, level: Contexts, d: int, below: np.ndarray) -> None:
@@ -547,18 +552,20 @@ class Block:
         below = below[level.token]
         mine = share + level.backoff[level.context] * below
         # The gain in log-likelihood on the context's own counts: its divergence from the parent times its count.
+        # What a retained context must bring is taken off by the block that tells of it.
         level.gain = self._sums(level, level.n * np.log(mine / below))
+        rest = (level.totals - level.held) * np.log(level.backoff) - MIN_GAIN * (level.entries + 1)
+        level.gain += np.where(level.mine, rest, 0.0)
         if self.round < d + 3:
             return
-        gain = np.zeros(len(level.contexts))
-        gain[level.entries > 0] = self._told(d, GAIN, dtype=np.float64)
-        gain += (level.totals - level.held) * np.log(level.backoff)
-        level.retained = (level.entries > 0) & (gain >= MIN_GAIN * (level.entries + 1))
+        level.retained = np.zeros(len(level.contexts), dtype=bool)
+        level.retained[level.entries > 0] = self._told(d, GAIN, dtype=np.uint8) > 0
         level.value = np.where(level.retained[level.context], mine, below)
 
     def _sums(self, level: Contexts, weights: np.ndarray) -> np.ndarray:
         """Sums by context over the runs that this block tells of."""
-        return np.bincount(level.context[level.own], weights=weights[level.own], minlength=len(level.contexts))
+        sums = np.bincount(level.context[level.own], weights=weights[level.own], minlength=len(level.contexts))
+        return sums.astype(float)
 
     def asked(self, depth: int):
         """(step, sorted keys, columns of numbers to add up) of this round."""
@@ -634,7 +641,8 @@ def _ask(depth: int, bits: int):
 def _answer(asked: pd.DataFrame) -> pd.DataFrame:
     """One bucket of a step: the sums by key over all blocks, in the order in which each block asked.
 
-    A count is told as 2 n, and to the first block that has the run as 2 n + 1; runs that are not kept as 0.
+    A count is told as 2 n, and to the first block that has the run as 2 n + 1; runs that are not kept as 0. Of a gain only
+    whether the context is retained.
     """
     asked = asked.sort_values("block")
     step = int(asked["step"].iloc[0])
@@ -663,7 +671,7 @@ def _answer(asked: pd.DataFrame) -> pd.DataFrame:
     elif step % 3 == HELD:
         numbers, second = told(sums("first", np.uint64)), told(sums("second", np.uint64))
     else:
-        numbers = told(sums("first", np.float64))
+        numbers = told((sums("first", np.float64) >= 0).astype(np.uint8))
     return pd.DataFrame(out | {"first": numbers, "second": second, "stats": stats})
 
 
