@@ -90,16 +90,42 @@ def test_time_filters_prune_periods(spark, trades, tmp_path):
     assert [r.event_id for r in recent.collect()] == ["b"]
 
 
+def checked(trades):
+    return trades.selectExpr("*", "CAST(NULL AS STRING) AS reject_reason")
+
+
+def known_trades(store, spark, batch):
+    held = store._markers(spark).held(store._markers(spark).count())
+    return store._known_trades(spark, batch, store._asked_of_parts(spark, batch, held), held)
+
+
+def opened_files(frame) -> set[str]:
+    return {part for file in frame.inputFiles() for part in re.findall(r"silver/part=(\w+)", file)}
+
+
 def test_live_batches_look_only_into_their_periods(spark, trades, tmp_path):
-    """Other periods are pruned; ids of files are looked up everywhere, but only if the batch has some."""
+    """Other periods are pruned, and no filter of ids is read."""
     store = Medallion(str(tmp_path))
-    store.store(trades(("stream:X:1", "X", 1, 1, 0, True)).selectExpr("*", "CAST(NULL AS STRING) AS reject_reason"), 0)
-    live, file = trades(("stream:X:2", "X", 1, 1, 40 * 86400, True)), trades(("batch:2", "X", 1, 1, 0, True))
-    known = plan(store._known_trades(spark, live, store.parts(spark)))
+    store.store(checked(trades(("stream:X:1", "X", 1, 1, 0, True))), 0)
+    known = plan(known_trades(store, spark, trades(("stream:X:2", "X", 1, 1, 40 * 86400, True))))
     assert known.count("FileScan") == 1 and re.search(r"PartitionFilters: \[[^\]]*period", known)
-    everywhere = plan(store._known_trades(spark, file, store.parts(spark)))
-    assert everywhere.count("FileScan") == 1 and "StringStartsWith(event_id,batch:)" in everywhere
-    assert "PartitionFilters: []" in everywhere
+    assert "file_ids" not in known
+
+
+def test_new_file_ids_open_no_trades(spark, trades, tmp_path):
+    """Ids of files meet the filters of the parts; a part that holds none of them is not opened, however many there are."""
+    store = Medallion(str(tmp_path))
+    for number in range(3):
+        day = [(f"batch:{n}", "X", 1, 1, n, True) for n in range(number * 100, number * 100 + 100)]
+        store.store(checked(trades(*day)), number)
+    parts = store.parts(spark)
+    fresh = trades(*[(f"batch:{n}", "X", 1, 1, n, True) for n in range(1000, 1100)])
+    new = known_trades(store, spark, fresh)
+    # Ids of the batch are all of files, so there is no period of live ids to look into either.
+    assert "FileScan" not in plan(new)
+    again = known_trades(store, spark, trades(("batch:150", "X", 9, 9, 86400 * 300, True), ("batch:1001", "X", 1, 1, 0, True)))
+    assert "StringStartsWith(event_id,batch:)" in plan(again) and opened_files(again) == {parts[1]}
+    assert [r.event_id for r in again.collect()] == ["batch:150"]
 
 
 @pytest.mark.parametrize("name", ["ohlc_latest", "flow_latest", "vwap_latest", "whale_latest", "silver_latest", "sql_latest_candles"])

@@ -181,6 +181,36 @@ def test_file_ids_are_known_on_every_day(spark, tmp_path):
     assert sorted((r.event_id, r.event_time.day) for r in written.trades(spark).collect()) == [("batch:7", 1), ("batch:8", 6)]
 
 
+def file_rows(spark, numbers, day=0):
+    rows = [(str(n), "90", "2", None, str((T0 + day * 86_400_000 + n) * 1000), "False", "True") for n in numbers]
+    return spark.createDataFrame(rows, schemas.HISTORY)
+
+
+def test_file_ids_stay_known_when_parts_are_folded(spark, tmp_path):
+    """Overlapping deliveries over folded and single parts: each id is stored once, by the batch that came first."""
+    written = Medallion(str(tmp_path), replace(EXACT, period="day"))
+    for number in range(5):
+        written.process(file_rows(spark, range(number * 10, number * 10 + 25), number), number)
+    kept = written.trades(spark).select("event_id", F.dayofmonth("event_time").alias("day")).collect()
+    first = {n: number + 1 for number in reversed(range(5)) for n in range(number * 10, number * 10 + 25)}
+    assert sorted((r.event_id, r.day) for r in kept) == sorted((f"batch:{n}", day) for n, day in first.items())
+
+
+def test_parts_without_filters_are_looked_into(spark, tmp_path, monkeypatch):
+    """Markers of stores that were written before filters were kept say nothing of them."""
+    written = Medallion(str(tmp_path), EXACT)
+    commit = Markers.commit
+
+    def older(markers, number, content):
+        commit(markers, number, {name: value for name, value in content.items() if name != "file_ids"})
+
+    with monkeypatch.context() as patch:
+        patch.setattr(Markers, "commit", older)
+        written.process(file_rows(spark, [1, 2]), 0)
+    written.process(file_rows(spark, [2, 3], 4), 1)
+    assert sorted(r.event_id for r in written.trades(spark).collect()) == ["batch:1", "batch:2", "batch:3"]
+
+
 def test_the_number_of_parts_grows_with_the_logarithm(spark, tmp_path):
     """Parts named by the batches they hold, folded as ``compact`` folds them."""
     markers, most = Markers(spark, str(tmp_path), fan_out=3), 0

@@ -85,6 +85,10 @@ class Markers:
 
     def parts(self, count: int, start: int = 0) -> list[str]:
         """Parts that together hold the batches from ``start`` up to ``count`` once, in order."""
+        return [marker["part"] for marker in self.held(count, start)]
+
+    def held(self, count: int, start: int = 0) -> list[dict]:
+        """The markers of those parts."""
         found, at = [], start
         while at < count:
             size = 1
@@ -93,7 +97,7 @@ class Markers:
             marker = None
             while size > 1 and not (marker := self.run(at, size)):
                 size //= self.fan_out
-            found.append((marker if size > 1 else self.batch(at))["part"])
+            found.append(marker if size > 1 else self.batch(at))
             at += size
         return found
 

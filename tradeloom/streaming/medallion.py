@@ -12,7 +12,7 @@ from dataclasses import dataclass
 from datetime import date, datetime
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -20,18 +20,24 @@ from tradeloom import schemas
 from tradeloom.functions import fields, measures
 from tradeloom.operators import merge, normalize, signals
 from tradeloom.streaming.batches import Markers, PartTable, period_of
+from tradeloom.streaming.known_ids import IdFilters
 
 #: Finished tables: what makes their rows out of folded measures.
 FINISHED = {"ohlc": measures.candles, "flow": measures.taker_flow, "vwap": measures.average_prices}
 
 
+def _from_file() -> Column:
+    return F.col("event_id").startswith(fields.FILE_ID)
+
+
 @dataclass(frozen=True)
 class Settings:
     rules: normalize.Rules = normalize.Rules()
     bucket: str = "1 minute"
     large_trade_value: float = schemas.LARGE_TRADE_VALUE
     # A live trade that is sent again has its id and its time again, and a hash of the content holds the time;
-    # so such ids are looked up in the batch's periods only. Ids of files are always looked up everywhere.
+    # so such ids are looked up in the batch's periods only. Ids of files are looked up in every part whose filter
+    # may hold them.
     live_ids_fix_time: bool = True
     # Folder granularity of the written tables: year, month, week or day.
     period: str = "month"
@@ -48,6 +54,7 @@ class Medallion:
         self.rejected = PartTable(f"{root}/rejected", schemas.REJECTED, "event_time", unit)
         self.partials = PartTable(f"{root}/partials", schemas.PARTIALS, "bucket", unit)
         self.large = PartTable(f"{root}/large_trades", schemas.LARGE_TRADES, "event_time", unit)
+        self.file_ids = IdFilters(f"{root}/file_ids")
         self.finished = {
             name: PartTable(f"{root}/gold/{schemas.GOLD_TABLES[name]}", schemas.FINISHED[name], time, unit)
             for name, time in (("ohlc", "candle_time"), ("flow", "window_start"), ("vwap", "window_start"))
@@ -86,17 +93,22 @@ class Medallion:
         last = markers.batch(number - 1) or {"streams": {}, "gold": {}}
         if batch <= last["streams"].get(stream, -1):
             return
-        part, earlier = uuid.uuid4().hex, markers.parts(number)
+        part, held = uuid.uuid4().hex, markers.held(number)
+        earlier = [marker["part"] for marker in held]
 
         checked.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             # This first write fills the cache, so the joins below are planned with its true size.
             self.rejected.write(checked.filter("reject_reason IS NOT NULL"), part)
             accepted = checked.filter("reject_reason IS NULL").drop("reject_reason")
-            known = self._known_trades(spark, accepted, earlier)
-            unique = normalize.first_per_id(accepted)
-            wanted = accepted.select("event_id").distinct()
-            self.silver.write(merge.absent_rows(unique, known, wanted=wanted), part)
+            asked = self._asked_of_parts(spark, accepted, held).persist(StorageLevel.MEMORY_AND_DISK)
+            try:
+                known = self._known_trades(spark, accepted, asked, held)
+                unique = normalize.first_per_id(accepted)
+                wanted = accepted.select("event_id").distinct()
+                self.silver.write(merge.absent_rows(unique, known, wanted=wanted), part)
+            finally:
+                asked.unpersist()
         finally:
             checked.unpersist()
 
@@ -109,7 +121,9 @@ class Medallion:
         for name, finish in FINISHED.items():
             self.finished[name].write(finish(folded), part)
         gold = last["gold"] | {day.isoformat(): part for day in touched}
-        markers.commit(number, {"part": part, "streams": last["streams"] | {stream: batch}, "gold": gold})
+        ids = self._write_file_ids(spark, part)
+        streams = last["streams"] | {stream: batch}
+        markers.commit(number, {"part": part, "streams": streams, "gold": gold, "file_ids": ids})
         if (number + 1) % settings.fan_out == 0:
             self.compact(spark)
 
@@ -118,17 +132,32 @@ class Medallion:
         found = rows.select(period_of(time, self.settings.period).alias("period")).distinct().collect()
         return sorted(row.period for row in found)
 
-    def _known_trades(self, spark: SparkSession, accepted: DataFrame, parts: list[str]) -> DataFrame:
+    def _write_file_ids(self, spark: SparkSession, part: str) -> int:
+        return self.file_ids.write(self.silver.read(spark, [part]).filter(_from_file()), part)
+
+    def _asked_of_parts(self, spark: SparkSession, accepted: DataFrame, held: list[dict]) -> DataFrame:
+        """(part, event_id) for ids of files that an earlier part may hold. A part without a filter may hold any."""
+        ids = accepted.filter(_from_file()).select("event_id").distinct()
+        if accepted.filter(_from_file()).isEmpty():
+            held = []
+        asked = self.file_ids.candidates(spark, ids, {m["part"]: m.get("file_ids", 0) for m in held})
+        unfiltered = [F.lit(m["part"]) for m in held if "file_ids" not in m]
+        if unfiltered:
+            asked = asked.unionByName(ids.select(F.explode(F.array(*unfiltered)).alias("part"), "event_id"))
+        return asked
+
+    def _known_trades(self, spark: SparkSession, accepted: DataFrame, asked: DataFrame, held: list[dict]) -> DataFrame:
         """Trades of earlier batches that may have ids of this one."""
-        everywhere = self.silver.read(spark, parts)
-        if not self.settings.live_ids_fix_time:
-            return everywhere
-        from_file = F.col("event_id").startswith(fields.FILE_ID)
-        periods = self._periods(accepted.filter(~from_file), "event_time")
-        known = self.silver.read(spark, parts, periods=periods).filter(~from_file)
-        if accepted.filter(from_file).isEmpty():
-            return known
-        return known.unionByName(everywhere.filter(from_file))
+        parts, periods = [marker["part"] for marker in held], None
+        if self.settings.live_ids_fix_time:
+            periods = self._periods(accepted.filter(~_from_file()), "event_time")
+        known = self.silver.read(spark, parts, periods=periods).filter(~_from_file())
+        # As many rows as there are parts; counting them fills the cache, so that the join knows its size.
+        opened = sorted(row.part for row in asked.select("part").distinct().collect())
+        if opened:
+            files = self.silver.read(spark, opened).filter(_from_file())
+            known = known.unionByName(files.join(asked.select("event_id"), "event_id", "left_semi").select(*known.columns))
+        return known
 
     def compact(self, spark: SparkSession, up_to: int | None = None) -> None:
         """Fold whole runs of committed batches up to a number; called by itself every ``fan_out`` batches."""
@@ -141,7 +170,7 @@ class Medallion:
             for table in (self.silver, self.rejected, self.large):
                 table.write(table.read(spark, parts), part)
             self.partials.write(measures.combine(self.partials.read(spark, parts)), part)
-            markers.commit_run(start, size, {"part": part})
+            markers.commit_run(start, size, {"part": part, "file_ids": self._write_file_ids(spark, part)})
 
     # --- reading ----------------------------------------------------------------------------
 
