@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tests.conftest import same
 from tradeloom import schemas
-from tradeloom.operators import normalize, signals, tables
+from tradeloom.operators import normalize, reads, signals, tables
 from tradeloom.sources import raw
 from tradeloom.streaming.batches import Markers
 from tradeloom.streaming.medallion import Medallion, Settings
@@ -232,6 +232,61 @@ def test_the_number_of_parts_grows_with_the_logarithm(spark, tmp_path):
         assert at == count
 
 
+def days_read(frame):
+    """Days of the rows; no more folders of parts and days are opened than hold rows."""
+    scans = frame._jdf.queryExecution().executedPlan().collectLeaves()
+    assert scans.size() == 1
+    files = frame.select(F.input_file_name().alias("file")).distinct().collect()
+    folders = {r.file.rsplit("/", 1)[0] for r in files}
+    assert scans.head().selectedPartitions().partitionCount() == len(folders)
+    return sorted({folder.split("period=")[1] for folder in folders})
+
+
+def test_newest_rows_open_the_newest_periods_only(spark, tmp_path):
+    """Twelve days in three batches, the last of them late for the fifth day and the first folded."""
+    written = Medallion(str(tmp_path), replace(EXACT, period="day"))
+    every = [message(24 * d + h, 100 + h, 86400 * d + 3600 * h, "XY"[d % 2], h % 3 > 0, 2) for d in range(12) for h in range(4)]
+    late = [message(9000 + h, 500, 86400 * 4 + 3600 * h, "Z", True, 2) for h in range(4)]
+    for number, messages in enumerate([every[:24], every[24:], late]):
+        written.process(frame(spark, messages), number)
+    reader = {"trades": reads.latest_trades, "ohlc": reads.latest_ohlc, "flow": reads.latest_flow, "vwap": reads.latest_vwap}
+    for name, read in reader.items():
+        whole = getattr(written, name)(spark)
+        cut = written.newest(spark, name, 4)
+        assert days_read(cut) == ["2024-01-12"] and len(days_read(whole)) == 12
+        same(read(cut, 4), read(whole, 4))
+        same(read(written.newest(spark, name, 5), 5), read(whole, 5))
+    whole = written.ohlc(spark)
+    # Of one symbol, of one that lies only in the late batch, more than there are, none at all, and earlier states.
+    for rows, symbol, days in [(5, "X", ["2024-01-09", "2024-01-11"]), (4, " z ", ["2024-01-05"])]:
+        cut = written.newest(spark, "ohlc", rows, symbol)
+        assert days_read(cut) == days
+        same(reads.latest_ohlc(cut, rows, symbol), reads.latest_ohlc(whole, rows, symbol))
+    same(reads.latest_ohlc(written.newest(spark, "ohlc", 4000), 4000), reads.latest_ohlc(whole, 4000))
+    assert written.newest(spark, "trades", 3, "none").count() == 0
+    same(written.newest(spark, "ohlc", 1, as_of=0), written.ohlc(spark, 0, since="2024-01-06"))
+    alerts = written.newest(spark, "whales", 3)
+    assert days_read(alerts) == ["2024-01-12"]
+    same(reads.latest_whales(alerts, 3, min_value=150.0), reads.latest_whales(written.whales(spark), 3, min_value=150.0))
+    with pytest.raises(ValueError):
+        written.newest(spark, "silver", 3)
+
+
+def test_newest_rows_without_counts_read_the_whole_table(spark, tmp_path, monkeypatch):
+    written = Medallion(str(tmp_path), replace(EXACT, period="day"))
+    assert written.newest(spark, "ohlc", 3).count() == 0 and written.newest(spark, "trades", 3).count() == 0
+    commit = Markers.commit
+
+    def older(markers, number, content):
+        commit(markers, number, {name: value for name, value in content.items() if name != "zones"})
+
+    with monkeypatch.context() as patch:
+        patch.setattr(Markers, "commit", older)
+        written.process(frame(spark, BATCHES[0]), 0)
+    written.process(frame(spark, BATCHES[2]), 1)
+    same(written.newest(spark, "ohlc", 1), written.ohlc(spark))
+
+
 def test_empty_batch_and_empty_tables(spark, tmp_path):
     written = Medallion(str(tmp_path), EXACT)
     assert written.ohlc(spark).count() == 0 and written.trades(spark).count() == 0

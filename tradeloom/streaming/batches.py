@@ -166,6 +166,10 @@ class PartTable:
             rows = rows.filter((F.col("period") >= period_of(start, self.unit)) & (F.col(self.time_column) >= start))
         return rows.select(*self.columns)
 
+    def zones(self, spark: SparkSession, part: str) -> DataFrame:
+        """Rows per period and symbol of a part."""
+        return self._open(spark, [part]).groupBy("period", "symbol").agg(F.count("*").alias("n"))
+
     def _open(self, spark: SparkSession, parts: list[str]) -> DataFrame:
         if not parts:
             return spark.createDataFrame([], self.schema)

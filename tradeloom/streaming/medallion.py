@@ -10,21 +10,34 @@ from __future__ import annotations
 import uuid
 from dataclasses import dataclass
 from datetime import date, datetime
+from functools import reduce
 
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tradeloom import schemas
 from tradeloom.functions import fields, measures
-from tradeloom.operators import merge, normalize, signals
+from tradeloom.operators import merge, normalize, reads, signals
 from tradeloom.streaming.batches import Markers, PartTable, period_of
 from tradeloom.streaming.known_ids import IdFilters
 
 #: Finished tables: what makes their rows out of folded measures.
 FINISHED = {"ohlc": measures.candles, "flow": measures.taker_flow, "vwap": measures.average_prices}
 
+#: How many rows of a table a part holds per period and symbol.
+_ZONES = T.StructType(
+    [
+        T.StructField("table", T.StringType()),
+        T.StructField("period", T.DateType()),
+        T.StructField("symbol", T.StringType()),
+        T.StructField("n", T.LongType()),
+        T.StructField("part", T.StringType()),
+    ]
+)
+
 
 def _from_file() -> Column:
     return F.col("event_id").startswith(fields.FILE_ID)
@@ -121,9 +134,12 @@ class Medallion:
         for name, finish in FINISHED.items():
             self.finished[name].write(finish(folded), part)
         gold = last["gold"] | {day.isoformat(): part for day in touched}
-        ids = self._write_file_ids(spark, part)
-        streams = last["streams"] | {stream: batch}
-        markers.commit(number, {"part": part, "streams": streams, "gold": gold, "file_ids": ids})
+        content = {"part": part, "streams": last["streams"] | {stream: batch}, "gold": gold}
+        content["file_ids"] = self._write_file_ids(spark, part)
+        self._write_zones(spark, part, self._appended | self.finished)
+        # Zones are of use only if every batch has them.
+        content["zones"] = number == 0 or last.get("zones", False)
+        markers.commit(number, content)
         if (number + 1) % settings.fan_out == 0:
             self.compact(spark)
 
@@ -135,6 +151,14 @@ class Medallion:
     def _write_file_ids(self, spark: SparkSession, part: str) -> int:
         return self.file_ids.write(self.silver.read(spark, [part]).filter(_from_file()), part)
 
+    @property
+    def _appended(self) -> dict[str, PartTable]:
+        return {"trades": self.silver, "whales": self.large}
+
+    def _write_zones(self, spark: SparkSession, part: str, tables: dict[str, PartTable]) -> None:
+        zones = [table.zones(spark, part).select(F.lit(name).alias("table"), "*") for name, table in tables.items()]
+        reduce(DataFrame.unionByName, zones).coalesce(1).write.parquet(f"{self.root}/zones/part={part}")
+
     def _asked_of_parts(self, spark: SparkSession, accepted: DataFrame, held: list[dict]) -> DataFrame:
         """(part, event_id) for ids of files that an earlier part may hold. A part without a filter may hold any."""
         ids = accepted.filter(_from_file()).select("event_id").distinct()
@@ -170,6 +194,7 @@ class Medallion:
             for table in (self.silver, self.rejected, self.large):
                 table.write(table.read(spark, parts), part)
             self.partials.write(measures.combine(self.partials.read(spark, parts)), part)
+            self._write_zones(spark, part, self._appended)
             markers.commit_run(start, size, {"part": part, "file_ids": self._write_file_ids(spark, part)})
 
     # --- reading ----------------------------------------------------------------------------
@@ -210,6 +235,56 @@ class Medallion:
     def vwap(self, spark: SparkSession, as_of: int | None = None, since: datetime | str | None = None) -> DataFrame:
         return self.gold(spark, "vwap", as_of, since)
 
+    def newest(
+        self, spark: SparkSession, name: str, rows: int, symbol: str | None = None, as_of: int | None = None
+    ) -> DataFrame:
+        """A table cut to its newest periods that hold at least so many rows, all of them or those of a symbol.
+
+        The newest rows up to that number are those of the whole table, as a later period holds later times only.
+        The cut follows from counts per period that are written with each part; a table that holds fewer rows, or
+        that was begun without counts, comes whole. Other conditions on rows, such as a least value of alerts above
+        the table's own, need the whole table. ``name``: trades, whales, ohlc, flow or vwap.
+        """
+        if name not in self._appended and name not in self.finished:
+            raise ValueError(f"no such table: {name}")
+        markers, wanted = self._markers(spark), reads.is_symbol(symbol)
+        count = self._count(markers, as_of)
+        marker = markers.batch(count - 1) or {"gold": {}}
+        if name in self.finished:
+            parts, current = sorted(set(marker["gold"].values())), marker["gold"]
+        else:
+            parts, current = markers.parts(count), None
+        periods = self._newest_periods(spark, name, parts, current, rows, wanted) if marker.get("zones") and parts else None
+        if name not in self.finished:
+            found = self._appended[name].read(spark, parts, periods=periods)
+        elif periods is None:
+            found = self.finished[name].read_periods(spark, current)
+        else:
+            chosen = {day.isoformat(): current[day.isoformat()] for day in periods}
+            found = self.finished[name].read_periods(spark, chosen)
+        return found if wanted is None else found.filter(wanted)
+
+    def _newest_periods(
+        self, spark: SparkSession, name: str, parts: list[str], current: dict | None, rows: int, wanted: Column | None
+    ) -> list[date] | None:
+        """None if all periods together hold fewer rows. The driver sees one number per part and period."""
+        folders = [f"{self.root}/zones/part={part}" for part in parts]
+        zones = spark.read.schema(_ZONES).option("basePath", f"{self.root}/zones").parquet(*folders)
+        zones = zones.filter((F.col("table") == name) & F.col("period").isNotNull())
+        if wanted is not None:
+            zones = zones.filter(wanted)
+        held: dict[date, int] = {}
+        for zone in zones.groupBy("part", "period").agg(F.sum("n").alias("n")).collect():
+            if current is None or current.get(zone.period.isoformat()) == zone.part:
+                held[zone.period] = held.get(zone.period, 0) + zone.n
+        chosen, certain = [], 0
+        for day in sorted(held, reverse=True):
+            chosen.append(day)
+            certain += held[day]
+            if certain >= rows:
+                return chosen
+        return None
+
     def publish(self, spark: SparkSession, as_of: int | None = None) -> dict[str, str]:
         """Copy the derived tables into one folder each, to be registered under names; returns name -> folder."""
         tables = {name: self.gold(spark, name, as_of) for name in FINISHED} | {"whale": self.whales(spark, as_of)}
