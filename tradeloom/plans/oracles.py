@@ -349,6 +349,14 @@ SELECT '{{"symbol":"' || symbol || '","candle_time":"' || strftime(candle_time,
        || ',"total_trades":' || total_trades || '}}' AS json
 FROM (SELECT {_OHLC_READ} FROM ({_ohlc(_T)}) ORDER BY candle_time DESC, symbol LIMIT 100)
 """,
+        "ohlc_newest_periods": f"""
+SELECT {_OHLC_READ} FROM ({_ohlc(_T)}) WHERE symbol = 'PURCHASE' ORDER BY candle_time DESC LIMIT 500
+""",
+        "whale_newest_periods": f"""
+SELECT * FROM ({_T_WHALES}) WHERE trade_value_usdt >= 10000 ORDER BY event_time DESC, event_id LIMIT 50
+""",
+        "silver_newest_periods": f"SELECT * FROM ({_SILVER}) ORDER BY event_time DESC, event_id LIMIT 20",
+        "file_ids_delivered_twice": _SILVER,
         "flow_latest": f"SELECT * FROM ({_flow(_T)}) ORDER BY window_start DESC, symbol LIMIT 100",
         "vwap_latest": f"SELECT * FROM ({_vwap(_T)}) ORDER BY window_start DESC, symbol LIMIT 100",
         "whale_latest": f"""

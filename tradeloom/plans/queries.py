@@ -549,6 +549,34 @@ def _newest_event(spark, sf_dir):
     return events.agg(F.max(F.col("ts").cast("timestamp"))).scalar()
 
 
+@query
+def ohlc_newest_periods(spark, sf_dir):
+    """Newest candles of a symbol out of the periods whose counts make them certain."""
+    store = _live_store(spark, sf_dir)
+    return reads.latest_ohlc(store.newest(spark, "ohlc", 500, "purchase"), 500, "purchase")
+
+
+@query
+def whale_newest_periods(spark, sf_dir):
+    return reads.latest_whales(_live_store(spark, sf_dir).newest(spark, "whales", 50), min_value=LIVE_THRESHOLD)
+
+
+@query
+def silver_newest_periods(spark, sf_dir):
+    return reads.latest_trades(_silver_store(spark, sf_dir).newest(spark, "trades", 20))
+
+
+@query
+def file_ids_delivered_twice(spark, sf_dir):
+    """Clean trades after all raw rows were stored as two batches that share files of the history."""
+    def build(store: Medallion) -> None:
+        raw_rows = _bronze(spark, sf_dir)
+        store.process(raw_rows, 0)
+        store.process(raw_rows.filter("Trade_ID IS NOT NULL"), 1)
+
+    return _store(spark, sf_dir, "twice", build, BY_YEAR).trades(spark)
+
+
 @query
 def whale_last_hour(spark, sf_dir):
     whales = signals.large_trades(market.live_trades(spark, sf_dir), 0.0)
