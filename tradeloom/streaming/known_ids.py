@@ -1,7 +1,7 @@
 """Which parts may hold an id: a Bloom filter per part, kept beside it as rows and met by a join.
 
 An id falls into one block of eight 64-bit words and sets one bit in each. The blocks of a part follow its number of
-ids, so a filter takes some three bytes an id at any size, is built by one aggregation with partial ``bit_or`` and is
+ids, so a filter takes three to six bytes an id at any size, is built by one aggregation with partial ``bit_or`` and is
 never gathered anywhere. It says yes to fewer than one absent id in a thousand and never no to a present one; an
 exact join on the ids it lets through follows.
 """
@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 WORDS = 8
-#: Ids a block is meant for; at twice as many blocks as ids need, at least half of this falls into each.
+#: Most ids a block is meant for on average; as blocks come in powers of two, it is half of this at least.
 IDS_A_BLOCK = 24
 
 _NAMES = [f"word{i}" for i in range(WORDS)]
