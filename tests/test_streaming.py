@@ -5,9 +5,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import same
-from tradeloom import schemas
-from tradeloom.operators import normalize, reads, signals, tables
+from tradeloom import schemas, session
+from tradeloom.operators import merge, normalize, reads, signals, tables
 from tradeloom.sources import raw
+from tradeloom.streaming import batches
 from tradeloom.streaming.batches import Markers
 from tradeloom.streaming.medallion import Medallion, Settings
 
@@ -338,3 +339,43 @@ def test_stream_from_bus_and_files_to_derived_tables(spark, tmp_path):
     ingest()
     check_all(spark, written, expected(spark, BATCHES).unionByName(history))
     assert raw.read_bronze(spark, bronze).count() == 1 + sum(map(len, BATCHES))
+
+
+def test_tasks_stay_small_at_any_size(spark, tmp_path, monkeypatch):
+    """Many rows of one period are written as files of bounded rows, and shuffles get a partition for so many rows."""
+    for module in (batches, session):
+        monkeypatch.setattr(module, "TASK_ROWS", 10)
+    keys = ["spark.sql.files.maxPartitionBytes", "spark.sql.adaptive.coalescePartitions.initialPartitionNum"]
+    before, asked = [spark.conf.get(key, None) for key in keys], []
+    first = normalize.first_per_id
+    monkeypatch.setattr(normalize, "first_per_id", lambda rows: asked.append([spark.conf.get(key) for key in keys]) or first(rows))
+    written, messages = Medallion(str(tmp_path), EXACT), [message(n, 50 + n % 7, n) for n in range(300)]
+    written.process(frame(spark, messages), 0)
+    assert asked == [[str(session.TASK_BYTES), "30"]] and [spark.conf.get(key, None) for key in keys] == before
+    sizes = written.trades(spark).groupBy(F.input_file_name()).count().collect()
+    assert max(size["count"] for size in sizes) <= 10 and len(sizes) >= 30
+    check_all(spark, written, expected(spark, [messages]))
+
+
+def test_smaller_tasks_of_the_session_stay(spark):
+    key = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(key, None)
+    try:
+        spark.conf.set(key, "1m")
+        with pytest.raises(ZeroDivisionError), session.small_tasks(spark, 1):
+            assert spark.conf.get(key) == "1m"
+            1 / 0
+        assert spark.conf.get(key) == "1m"
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+
+
+def test_nothing_earlier_joins_nothing(spark, tmp_path):
+    """The first batch has no earlier trades: its rows meet no join and start no Python."""
+    written = Medallion(str(tmp_path), EXACT)
+    nothing = written.trades(spark)
+    trades = normalize.valid(normalize.normalize(frame(spark, BATCHES[0])))
+    plan = merge.absent_rows(trades, nothing)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan
+    assert "RDD" not in nothing._jdf.queryExecution().optimizedPlan().toString() and nothing.count() == 0
+    assert nothing.columns == schemas.SILVER_COLUMNS

@@ -5,6 +5,8 @@ from __future__ import annotations
 import io
 import uuid
 import zipfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 from pyspark.sql import SparkSession
@@ -19,6 +21,11 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
 }
 
+#: A task reads at most so many bytes of files, and a shuffle starts with a partition for so many rows; a sort in a task
+#: then holds some hundred MB at any size of the tables.
+TASK_BYTES = 8 << 20
+TASK_ROWS = 1_000_000
+
 _shipped: set[str] = set()
 
 
@@ -30,6 +37,29 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+@contextmanager
+def small_tasks(spark: SparkSession, rows: int = 0) -> Iterator[None]:
+    """Let tasks stay small inside, however large the tables; smaller ones that the session asks for stay.
+
+    ``rows``: as many as a shuffle may have. The settings are those of the session, and come back afterwards.
+    """
+    files, shuffles = "spark.sql.files.maxPartitionBytes", "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    before = {key: spark.conf.get(key, None) for key in (files, shuffles)}
+    try:
+        if _bytes(spark, spark.conf.get(files)) > TASK_BYTES:
+            spark.conf.set(files, str(TASK_BYTES))
+        least = int(before[shuffles] or spark.conf.get("spark.sql.shuffle.partitions"))
+        spark.conf.set(shuffles, str(max(least, -(-rows // TASK_ROWS))))
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+def _bytes(spark: SparkSession, size: str) -> int:
+    return spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(size)
+
+
 def local_session(cores: str = "*", app: str = "tradeloom", **settings: str) -> SparkSession:
     """A single-JVM session for tests and benchmarks; clusters bring their own."""
     builder = (

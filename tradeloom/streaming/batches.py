@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tradeloom.session import hadoop_file, write_file
+from tradeloom.session import TASK_ROWS, hadoop_file, write_file
 
 _PLACE = [T.StructField("part", T.StringType()), T.StructField("period", T.DateType())]
 
@@ -123,13 +123,14 @@ class PartTable:
         self.unit = unit
 
     def write(self, rows: DataFrame, part: str) -> None:
-        """A period keeps together unless it is large, then it is split."""
+        """A period keeps together unless it is large, then it is split. A file holds as many rows as a task should read."""
         (
             rows.select(*self.columns)
             .withColumn("period", period_of(self.time_column, self.unit))
             .hint("rebalance", F.col("period"))
             .sortWithinPartitions("period", self.time_column)
             .write.partitionBy("period")
+            .option("maxRecordsPerFile", TASK_ROWS)
             .parquet(f"{self.path}/part={part}")
         )
 
@@ -172,6 +173,8 @@ class PartTable:
 
     def _open(self, spark: SparkSession, parts: list[str]) -> DataFrame:
         if not parts:
-            return spark.createDataFrame([], self.schema)
+            # The optimizer sees that nothing is there and drops the joins with it.
+            empty = [F.lit(None).cast(f.dataType).alias(f.name) for f in self.schema.fields]
+            return spark.range(0).filter(F.lit(False)).select(*empty)
         folders = [f"{self.path}/part={part}" for part in parts]
         return spark.read.schema(self.schema).option("basePath", self.path).parquet(*folders)

@@ -21,6 +21,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tradeloom import schemas
 from tradeloom.functions import fields, measures
 from tradeloom.operators import merge, normalize, reads, signals
+from tradeloom.session import small_tasks
 from tradeloom.streaming.batches import Markers, PartTable, period_of
 from tradeloom.streaming.known_ids import IdFilters
 
@@ -80,13 +81,15 @@ class Medallion:
 
     def start(self, raw: DataFrame, checkpoint: str, **trigger) -> StreamingQuery:
         """Run over a raw stream. Restarts go on where the checkpoint ends."""
-        return (
+        writer = (
             raw.writeStream.foreachBatch(self.process)
             .outputMode("append")
             .option("checkpointLocation", checkpoint)
             .trigger(**(trigger or {"processingTime": "10 seconds"}))
-            .start()
         )
+        # The stream's own session takes the settings over; a batch's raw rows are dealt out before ``process`` is called.
+        with small_tasks(raw.sparkSession):
+            return writer.start()
 
     def process(self, raw: DataFrame, batch: int, stream: str | None = None) -> None:
         """Store one batch of raw rows; see ``store``. A running stream is told by its checkpoint's id."""
@@ -100,6 +103,10 @@ class Medallion:
         A batch that its stream has committed already is left alone, so delivering it again changes nothing;
         numbers of different streams do not meet.
         """
+        with small_tasks(checked.sparkSession):
+            self._store(checked, batch, stream)
+
+    def _store(self, checked: DataFrame, batch: int, stream: str) -> None:
         spark, settings = checked.sparkSession, self.settings
         markers = self._markers(spark)
         number = markers.count()
@@ -114,14 +121,17 @@ class Medallion:
             # This first write fills the cache, so the joins below are planned with its true size.
             self.rejected.write(checked.filter("reject_reason IS NOT NULL"), part)
             accepted = checked.filter("reject_reason IS NULL").drop("reject_reason")
-            asked = self._asked_of_parts(spark, accepted, held).persist(StorageLevel.MEMORY_AND_DISK)
-            try:
-                known = self._known_trades(spark, accepted, asked, held)
-                unique = normalize.first_per_id(accepted)
-                wanted = accepted.select("event_id").distinct()
-                self.silver.write(merge.absent_rows(unique, known, wanted=wanted), part)
-            finally:
-                asked.unpersist()
+            with small_tasks(spark, accepted.count()):
+                asked = self._asked_of_parts(spark, accepted, held).persist(StorageLevel.MEMORY_AND_DISK)
+                try:
+                    known = self._known_trades(spark, accepted, asked, held)
+                    unique = normalize.first_per_id(accepted)
+                    # Known trades are live ones or have ids that were asked for, so no other ids can meet them.
+                    live = accepted.filter(~_from_file()).select("event_id")
+                    wanted = live.unionByName(asked.select("event_id")).distinct()
+                    self.silver.write(merge.absent_rows(unique, known, wanted=wanted), part)
+                finally:
+                    asked.unpersist()
         finally:
             checked.unpersist()
 
@@ -131,8 +141,12 @@ class Medallion:
         self.large.write(signals.large_trades(trades, settings.large_trade_value), part)
         touched = self._periods(self.partials.read(spark, [part]), "bucket")
         folded = measures.combine(self.partials.read(spark, [*earlier, part], periods=touched))
-        for name, finish in FINISHED.items():
-            self.finished[name].write(finish(folded), part)
+        folded.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            for name, finish in FINISHED.items():
+                self.finished[name].write(finish(folded), part)
+        finally:
+            folded.unpersist()
         gold = last["gold"] | {day.isoformat(): part for day in touched}
         content = {"part": part, "streams": last["streams"] | {stream: batch}, "gold": gold}
         content["file_ids"] = self._write_file_ids(spark, part)
@@ -191,11 +205,12 @@ class Medallion:
             raise ValueError(f"batches 0 to {count - 1} are committed")
         for start, size in markers.open_runs(count if up_to is None else up_to + 1):
             parts, part = markers.parts(start + size, start), uuid.uuid4().hex
-            for table in (self.silver, self.rejected, self.large):
-                table.write(table.read(spark, parts), part)
-            self.partials.write(measures.combine(self.partials.read(spark, parts)), part)
-            self._write_zones(spark, part, self._appended)
-            markers.commit_run(start, size, {"part": part, "file_ids": self._write_file_ids(spark, part)})
+            with small_tasks(spark, self.silver.read(spark, parts).count()):
+                for table in (self.silver, self.rejected, self.large):
+                    table.write(table.read(spark, parts), part)
+                self.partials.write(measures.combine(self.partials.read(spark, parts)), part)
+                self._write_zones(spark, part, self._appended)
+                markers.commit_run(start, size, {"part": part, "file_ids": self._write_file_ids(spark, part)})
 
     # --- reading ----------------------------------------------------------------------------
 
