@@ -51,3 +51,11 @@ def test_repeats_and_null_questions(spark, tmp_path):
     blocks = {"a": filters.write(rows, "a")}
     asked = spark.createDataFrame([("x",), (None,), ("",)], "event_id string")
     assert rows_of(filters.candidates(spark, asked.filter("event_id IS NOT NULL"), blocks)) == [("a", ""), ("a", "x")]
+
+
+def test_questions_are_shuffled_without_their_masks(spark, tmp_path):
+    filters = IdFilters(str(tmp_path))
+    blocks = {"a": filters.write(ids(spark, 0, 1000), "a")}
+    text = filters.candidates(spark, ids(spark, 0, 10), blocks)._jdf.queryExecution().optimizedPlan().toString()
+    above, below = text.split("Join", 1)[0], text.split("Join", 1)[1].split("\n", 1)
+    assert "shiftleft" in above + below[0] and "shiftleft" not in below[1]

@@ -62,14 +62,15 @@ class IdFilters:
             return ids.select(F.lit("").alias("part"), self.key).limit(0)
         parts = F.array(*[F.struct(F.lit(p).alias("part"), F.lit(n).cast("bigint").alias("n")) for p, n in held.items()])
         asked = ids.select(self.key, F.inline(parts)).select(
-            "part", self.key, _block(self.key, F.col("n")).alias("block"), *self._named_masks("mask")
+            "part", self.key, _block(self.key, F.col("n")).alias("block")
         )
         folders = [f"{self.path}/part={part}" for part in held]
         filters = spark.read.schema(_SCHEMA).option("basePath", self.path).parquet(*folders)
+        # The masks follow from the id, so they are made after the shuffle.
         found = asked.join(filters, ["part", "block"])
-        for i, name in enumerate(_NAMES):
-            found = found.filter(F.col(name).bitwiseAND(F.col(f"mask{i}")) != 0)
+        for name, mask in zip(_NAMES, _masks(self.key)):
+            found = found.filter(F.col(name).bitwiseAND(mask) != 0)
         return found.select("part", self.key)
 
-    def _named_masks(self, label: str = "word") -> list[Column]:
-        return [mask.alias(f"{label}{i}") for i, mask in enumerate(_masks(self.key))]
+    def _named_masks(self) -> list[Column]:
+        return [mask.alias(name) for name, mask in zip(_NAMES, _masks(self.key))]
