@@ -10,6 +10,7 @@ from tradeloom.functions import measures
 from tradeloom.operators import merge, normalize, reads, signals
 from tradeloom.plans.queries import QUERIES
 from tradeloom.session import scratch_dir
+from tradeloom.streaming import medallion
 from tradeloom.streaming.batches import PartTable
 from tradeloom.streaming.medallion import Medallion
 
@@ -128,6 +129,53 @@ def test_new_file_ids_open_no_trades(spark, trades, tmp_path):
     assert [r.event_id for r in again.collect()] == ["batch:150"]
 
 
+def test_large_batches_read_the_ids_of_parts_without_asking(spark, trades, tmp_path, monkeypatch):
+    """Asking a filter costs more than it spares where a batch is large beside a part; the same trades are kept."""
+    monkeypatch.setattr(medallion, "ASKING_ROWS", 10)
+    store = Medallion(str(tmp_path))
+    store.store(checked(trades(*[(f"batch:{n}", "X", 1, 1, n, True) for n in range(100)])), 0)
+    held = store._markers(spark).held(1)
+    met = [store._met_whole(trades(*[(f"batch:{n}", "X", 1, 1, n, True) for n in range(size)]), held) for size in (8, 40, 90)]
+    # Twelve ids a part and more for each id of the batch: the filter; fewer: the ids.
+    assert met == [[], [], [held[0]["part"]]]
+    asked = []
+    candidates = store.file_ids.candidates
+    monkeypatch.setattr(store.file_ids, "candidates", lambda s, ids, blocks: asked.append(blocks) or candidates(s, ids, blocks))
+    later = [(f"batch:{n}", "X", 2, 2, n + 86400 * 40, True) for n in range(50, 150)]
+    store.store(checked(trades(*later, ("stream:X:1", "X", 2, 2, 5, True))), 1)
+    assert asked == [{}]
+    kept = {r.event_id: r.price for r in store.trades(spark).collect()}
+    assert kept == {f"batch:{n}": 1.0 if n < 100 else 2.0 for n in range(150)} | {"stream:X:1": 2.0}
+    assert store.trades(spark).count() == 151
+
+
+def test_ids_are_sorted_by_a_number(spark, silver, trades):
+    """All ids of files begin alike, so sorts by the text alone compare whole texts."""
+    unique = normalize.first_per_id(normalize.with_id_hash(silver))
+    known = normalize.with_id_hash(trades(("b", "X", 1, 1, 0, True)))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan(merge.absent_rows(unique, known, normalize.ID_KEY, cut=True))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    sorts = re.findall(r"Sort \[(\w+?)#", text)
+    assert len(sorts) >= 3 and set(sorts) == {"id_hash"}
+    # Rows lie as the join needs them: one shuffle of the batch, one of the ids.
+    assert text.count("Exchange") == 2 and "LeftSemi" not in text
+
+
+def test_rows_of_a_written_part_are_not_shuffled_again(trades, tmp_path):
+    rows = trades(*[(f"i{n}", "X", 1, 1, 10 - n, True) for n in range(10)])
+    spark, table = rows.sparkSession, PartTable(str(tmp_path), schemas.SILVER, "event_time")
+    table.write(rows.repartition(3), "p", in_place=True)
+    files = table.read(spark, ["p"]).inputFiles()
+    assert len(files) == 3 and table.read(spark, ["p"]).count() == 10
+    for file in files:
+        times = [r.event_time for r in spark.read.parquet(file).collect()]
+        assert times == sorted(times)
+
+
 @pytest.mark.parametrize("name", ["ohlc_latest", "flow_latest", "vwap_latest", "whale_latest", "silver_latest", "sql_latest_candles"])
 def test_readers_scan_written_tables(spark, name):
     text = plan(QUERIES[name](spark, SF_DIR))

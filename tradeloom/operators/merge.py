@@ -12,18 +12,24 @@ from tradeloom.functions import measures
 
 
 def absent_rows(
-    source: DataFrame, target: DataFrame, key: str = "event_id", wanted: DataFrame | None = None
+    source: DataFrame,
+    target: DataFrame,
+    key: str | Sequence[str] = "event_id",
+    wanted: DataFrame | None = None,
+    cut: bool = False,
 ) -> DataFrame:
     """Source rows whose key the target does not hold; ``source`` has one row per key.
 
     The target, which only grows, is first cut to the keys the source asks for. Where the source
     keys are small by Spark's own size figures they are broadcast and the target is not shuffled;
     otherwise both sides meet in a sort-merge join on the key. ``wanted`` may name the same keys by
-    a cheaper plan than the source's own.
+    a cheaper plan than the source's own. ``cut``: the target holds no other keys, so they meet the source at once.
     """
-    wanted = source.select(key) if wanted is None else wanted
-    known = target.select(key).join(wanted, key, "left_semi")
-    return source.join(known, key, "left_anti")
+    keys = [key] if isinstance(key, str) else list(key)
+    known = target.select(*keys)
+    if not cut:
+        known = known.join(source.select(*keys) if wanted is None else wanted, keys, "left_semi")
+    return source.join(known, keys, "left_anti")
 
 
 def insert_if_absent(target: DataFrame, source: DataFrame, key: str = "event_id") -> DataFrame:

@@ -111,13 +111,22 @@ def derivable(trades: DataFrame) -> DataFrame:
     return trades.filter(" AND ".join(f"{c} IS NOT NULL" for c in schemas.SILVER_COLUMNS if c != "is_buyer_maker"))
 
 
+#: Together they are one key: sorts by it compare numbers, as ids all begin alike, and texts only where hashes are equal.
+ID_KEY = ["id_hash", "event_id"]
+
+
+def with_id_hash(trades: DataFrame) -> DataFrame:
+    return trades if ID_KEY[0] in trades.columns else trades.withColumn(ID_KEY[0], F.hash("event_id"))
+
+
 def first_per_id(trades: DataFrame) -> DataFrame:
     """One row per ``event_id``, the least in time and then in value, whatever the row order.
 
     Spark turns rank-and-filter into a group limit that runs before the shuffle too, so an id that
-    was sent a billion times leaves one row per map task.
+    was sent a billion times leaves one row per map task. Rows that bring the hash of their id keep it, and lie
+    dealt and sorted by ``ID_KEY`` for a join that follows.
     """
     columns = ("event_time", "price", "quantity", "quote_qty", "is_buyer_maker", "symbol")
     order = [F.col(c).asc_nulls_first() for c in columns]
-    ranked = trades.withColumn("_rank", F.row_number().over(Window.partitionBy("event_id").orderBy(*order)))
-    return ranked.filter("_rank = 1").drop("_rank")
+    rank = F.row_number().over(Window.partitionBy(*ID_KEY).orderBy(*order))
+    return with_id_hash(trades).withColumn("_rank", rank).filter("_rank = 1").select(*trades.columns)

@@ -122,13 +122,16 @@ class PartTable:
         self.time_column = time_column
         self.unit = unit
 
-    def write(self, rows: DataFrame, part: str) -> None:
-        """A period keeps together unless it is large, then it is split. A file holds as many rows as a task should read."""
+    def write(self, rows: DataFrame, part: str, in_place: bool = False) -> None:
+        """A period keeps together unless it is large, then it is split. A file holds as many rows as a task should read.
+
+        ``in_place``: the rows follow one by one from those of a written part, so they lie by period already.
+        """
+        placed = rows.select(*self.columns).withColumn("period", period_of(self.time_column, self.unit))
+        if not in_place:
+            placed = placed.hint("rebalance", F.col("period"))
         (
-            rows.select(*self.columns)
-            .withColumn("period", period_of(self.time_column, self.unit))
-            .hint("rebalance", F.col("period"))
-            .sortWithinPartitions("period", self.time_column)
+            placed.sortWithinPartitions("period", self.time_column)
             .write.partitionBy("period")
             .option("maxRecordsPerFile", TASK_ROWS)
             .parquet(f"{self.path}/part={part}")

@@ -23,11 +23,14 @@ from tradeloom.functions import fields, measures
 from tradeloom.operators import merge, normalize, reads, signals
 from tradeloom.session import small_tasks
 from tradeloom.streaming.batches import Markers, PartTable, period_of
-from tradeloom.streaming.known_ids import IdFilters
+from tradeloom.streaming.known_ids import IDS_A_BLOCK, IdFilters
 
 #: Finished tables: what makes their rows out of folded measures.
 FINISHED = {"ohlc": measures.candles, "flow": measures.taker_flow, "vwap": measures.average_prices}
 
+#: An id that is asked for costs about as much as so many ids of a part that is read; batches up to so many rows always ask.
+ASKING_COST, ASKING_ROWS = 4, 1_000_000
+
 #: How many rows of a table a part holds per period and symbol.
 _ZONES = T.StructType(
     [
@@ -122,14 +125,13 @@ class Medallion:
             self.rejected.write(checked.filter("reject_reason IS NOT NULL"), part)
             accepted = checked.filter("reject_reason IS NULL").drop("reject_reason")
             with small_tasks(spark, accepted.count()):
-                asked = self._asked_of_parts(spark, accepted, held).persist(StorageLevel.MEMORY_AND_DISK)
+                whole = self._met_whole(accepted, held)
+                others = [marker for marker in held if marker["part"] not in whole]
+                asked = self._asked_of_parts(spark, accepted, others).persist(StorageLevel.MEMORY_AND_DISK)
                 try:
-                    known = self._known_trades(spark, accepted, asked, held)
-                    unique = normalize.first_per_id(accepted)
-                    # Known trades are live ones or have ids that were asked for, so no other ids can meet them.
-                    live = accepted.filter(~_from_file()).select("event_id")
-                    wanted = live.unionByName(asked.select("event_id")).distinct()
-                    self.silver.write(merge.absent_rows(unique, known, wanted=wanted), part)
+                    known = self._known_trades(spark, accepted, asked, held, whole)
+                    unique = normalize.first_per_id(normalize.with_id_hash(accepted))
+                    self.silver.write(merge.absent_rows(unique, known, normalize.ID_KEY, cut=True), part)
                 finally:
                     asked.unpersist()
         finally:
@@ -138,7 +140,7 @@ class Medallion:
         # Read back what was written: later steps neither recompute nor depend on cached blocks.
         trades = normalize.derivable(self.silver.read(spark, [part]))
         self.partials.write(measures.summarise(trades, settings.bucket), part)
-        self.large.write(signals.large_trades(trades, settings.large_trade_value), part)
+        self.large.write(signals.large_trades(trades, settings.large_trade_value), part, in_place=True)
         touched = self._periods(self.partials.read(spark, [part]), "bucket")
         folded = measures.combine(self.partials.read(spark, [*earlier, part], periods=touched))
         folded.persist(StorageLevel.MEMORY_AND_DISK)
@@ -173,6 +175,13 @@ class Medallion:
         zones = [table.zones(spark, part).select(F.lit(name).alias("table"), "*") for name, table in tables.items()]
         reduce(DataFrame.unionByName, zones).coalesce(1).write.parquet(f"{self.root}/zones/part={part}")
 
+    def _met_whole(self, accepted: DataFrame, held: list[dict]) -> list[str]:
+        """Parts with so few ids of files beside a large batch that asking their filters costs more than reading the ids."""
+        files = accepted.filter(_from_file()).count() if held else 0
+        if files <= ASKING_ROWS:
+            return []
+        return [m["part"] for m in held if 0 < m.get("file_ids", 0) * IDS_A_BLOCK <= files * ASKING_COST]
+
     def _asked_of_parts(self, spark: SparkSession, accepted: DataFrame, held: list[dict]) -> DataFrame:
         """(part, event_id) for ids of files that an earlier part may hold. A part without a filter may hold any."""
         ids = accepted.filter(_from_file()).select("event_id").distinct()
@@ -184,19 +193,30 @@ class Medallion:
             asked = asked.unionByName(ids.select(F.explode(F.array(*unfiltered)).alias("part"), "event_id"))
         return asked
 
-    def _known_trades(self, spark: SparkSession, accepted: DataFrame, asked: DataFrame, held: list[dict]) -> DataFrame:
-        """Trades of earlier batches that may have ids of this one."""
+    def _known_trades(
+        self, spark: SparkSession, accepted: DataFrame, asked: DataFrame, held: list[dict], whole: list[str] | None = None
+    ) -> DataFrame:
+        """Trades of earlier batches that have ids of this one, with the hash of the id; of ``whole`` parts all of files."""
         parts, periods = [marker["part"] for marker in held], None
         if self.settings.live_ids_fix_time:
             periods = self._periods(accepted.filter(~_from_file()), "event_time")
-        known = self.silver.read(spark, parts, periods=periods).filter(~_from_file())
+        live = accepted.filter(~_from_file()).select("event_id").distinct()
+        known = self._with_ids(self.silver.read(spark, parts, periods=periods).filter(~_from_file()), live)
         # As many rows as there are parts; counting them fills the cache, so that the join knows its size.
         opened = sorted(row.part for row in asked.select("part").distinct().collect())
         if opened:
             files = self.silver.read(spark, opened).filter(_from_file())
-            known = known.unionByName(files.join(asked.select("event_id"), "event_id", "left_semi").select(*known.columns))
+            known = known.unionByName(self._with_ids(files, asked))
+        if whole:
+            files = self.silver.read(spark, whole).filter(_from_file())
+            known = known.unionByName(normalize.with_id_hash(files))
         return known
 
+    @staticmethod
+    def _with_ids(trades: DataFrame, ids: DataFrame) -> DataFrame:
+        asked = normalize.with_id_hash(ids.select("event_id"))
+        return normalize.with_id_hash(trades).join(asked, normalize.ID_KEY, "left_semi")
+
     def compact(self, spark: SparkSession, up_to: int | None = None) -> None:
         """Fold whole runs of committed batches up to a number; called by itself every ``fan_out`` batches."""
         markers = self._markers(spark)
