@@ -1,5 +1,6 @@
 import math
 import random
+import re
 from collections import defaultdict
 from datetime import datetime
 from decimal import Decimal, localcontext
@@ -128,3 +129,14 @@ def test_partials_of_unusual_amounts_combine_in_any_split(spark):
     for finish in (measures.candles, measures.average_prices, measures.taker_flow):
         assert rows_of(finish(split)) == rows_of(finish(whole))
     assert split.select(*schemas.PARTIALS.names).columns == schemas.PARTIALS.names
+
+
+def test_amounts_of_the_other_side_are_not_added(spark):
+    """Nothing is added for them, and a sum of no ordinary amounts is still 0 unless all amounts are of the side."""
+    rows = [(1, 2.5, True), (1, 4.0, False), (2, 2.5, True), (3, 1e12, True), (4, 2.5, None), (5, None, True), (6, None, False)]
+    split = amounts.with_parts(spark.createDataFrame(rows, "g int, x double, side boolean").repartition(3), "x")
+    sums = split.groupBy("g").agg(*amounts.sums("x", "on", "side"), *amounts.sums("x", "off", "NOT side"))
+    found = {r.g: (r.on if r.on is None else float(r.on), r.off if r.off is None else float(r.off)) for r in sums.collect()}
+    assert found == {1: (2.5, 4.0), 2: (2.5, 0.0), 3: (None, 0.0), 4: (0.0, 0.0), 5: (None, 0.0), 6: (0.0, None)}
+    text = sums._jdf.queryExecution().executedPlan().toString()
+    assert "partial_sum(" in text and not re.search(r"partial_sum\(CASE WHEN [^)]* ELSE ", text)

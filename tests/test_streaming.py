@@ -370,6 +370,14 @@ def test_smaller_tasks_of_the_session_stay(spark):
         spark.conf.unset(key) if before is None else spark.conf.set(key, before)
 
 
+def test_tasks_after_a_shuffle_stay_small(spark):
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(key)
+    with session.small_tasks(spark):
+        assert spark.conf.get(key) == str(session.SHUFFLED_BYTES)
+    assert spark.conf.get(key) == before
+
+
 def test_nothing_earlier_joins_nothing(spark, tmp_path):
     """The first batch has no earlier trades: its rows meet no join and start no Python."""
     written = Medallion(str(tmp_path), EXACT)

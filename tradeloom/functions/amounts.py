@@ -75,10 +75,14 @@ def sums(name: str, alias: str, only: str | None = None) -> list[Column]:
     for suffix in PARTS:
         part = f"_{name}{suffix}"
         if only is not None:
-            # A sum of no ordinary amounts is 0, so that it differs from one that overflowed.
-            none = f" ELSE CAST(0 AS {ORDINARY.simpleString()})" if not suffix else ""
-            part = f"CASE WHEN {only} THEN {part}{none} END"
-        found.append(F.expr(f"sum({part})").alias(alias + suffix))
+            part = f"CASE WHEN {only} THEN {part} END"
+        folded = f"sum({part})"
+        if only is not None and not suffix:
+            # A sum of no ordinary amounts is 0, so that it differs from one that overflowed. Counts tell: they cost
+            # less than adding a 0 for each amount that is left out.
+            none = f"count({part}) = 0 AND count(CASE WHEN {only} THEN NULL ELSE 1 END) > 0"
+            folded = f"CASE WHEN {none} THEN CAST(0 AS {PARTS[''][1].simpleString()}) ELSE {folded} END"
+        found.append(F.expr(folded).alias(alias + suffix))
     return found
 
 

@@ -21,9 +21,10 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
 }
 
-#: A task reads at most so many bytes of files, and a shuffle starts with a partition for so many rows; a sort in a task
-#: then holds some hundred MB at any size of the tables.
+#: A task reads at most so many bytes of files or of a shuffle, and a shuffle starts with a partition for so many rows; a
+#: sort in a task then holds some hundred MB at any size of the tables, and no core waits long for the last task.
 TASK_BYTES = 8 << 20
+SHUFFLED_BYTES = 16 << 20
 TASK_ROWS = 1_000_000
 
 _shipped: set[str] = set()
@@ -44,10 +45,12 @@ def small_tasks(spark: SparkSession, rows: int = 0) -> Iterator[None]:
     ``rows``: as many as a shuffle may have. The settings are those of the session, and come back afterwards.
     """
     files, shuffles = "spark.sql.files.maxPartitionBytes", "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
-    before = {key: spark.conf.get(key, None) for key in (files, shuffles)}
+    shuffled = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = {key: spark.conf.get(key, None) for key in (files, shuffles, shuffled)}
     try:
-        if _bytes(spark, spark.conf.get(files)) > TASK_BYTES:
-            spark.conf.set(files, str(TASK_BYTES))
+        for key, most in ((files, TASK_BYTES), (shuffled, SHUFFLED_BYTES)):
+            if _bytes(spark, spark.conf.get(key)) > most:
+                spark.conf.set(key, str(most))
         least = int(before[shuffles] or spark.conf.get("spark.sql.shuffle.partitions"))
         spark.conf.set(shuffles, str(max(least, -(-rows // TASK_ROWS))))
         yield

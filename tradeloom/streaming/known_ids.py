@@ -31,9 +31,12 @@ def _block(key: str, blocks: Column) -> Column:
     return F.shiftrightunsigned(F.xxhash64(key), 1).bitwiseAND(blocks - 1)
 
 
-def _masks(key: str) -> list[Column]:
+def _bits(key: str) -> Column:
+    return F.xxhash64(key, F.lit("bits"))
+
+
+def _masks(bits: Column) -> list[Column]:
     """One bit of each word, from a second hash."""
-    bits = F.xxhash64(key, F.lit("bits"))
     places = [F.shiftrightunsigned(bits, 6 * i).bitwiseAND(63).cast("int") for i in range(WORDS)]
     return [F.call_function("shiftleft", F.lit(1).cast("bigint"), place) for place in places]
 
@@ -43,12 +46,16 @@ class IdFilters:
         self.path, self.key = path, key
 
     def write(self, ids: DataFrame, part: str) -> int:
-        """Keep the filter of a part's ids; returns its blocks. Repeated ids change nothing, NULLs are not kept."""
+        """Keep the filter of a part's ids; returns its blocks. Repeated ids change nothing, NULLs are not kept.
+
+        Ids of a part hardly ever share a block within a task, so two numbers an id are shuffled and words are made after it.
+        """
         ids = ids.select(self.key).filter(F.col(self.key).isNotNull())
         blocks = blocks_for(ids.count())
         if blocks:
-            placed = ids.select(_block(self.key, F.lit(blocks).cast("bigint")).alias("block"), *self._named_masks())
-            words = placed.groupBy("block").agg(*[F.bit_or(name).alias(name) for name in _NAMES])
+            placed = ids.select(_block(self.key, F.lit(blocks).cast("bigint")).alias("block"), _bits(self.key).alias("bits"))
+            folds = [F.bit_or(mask).alias(name) for name, mask in zip(_NAMES, _masks(F.col("bits")))]
+            words = placed.repartition("block").groupBy("block").agg(*folds)
             words.write.parquet(f"{self.path}/part={part}")
         return blocks
 
@@ -68,9 +75,6 @@ class IdFilters:
         filters = spark.read.schema(_SCHEMA).option("basePath", self.path).parquet(*folders)
         # The masks follow from the id, so they are made after the shuffle.
         found = asked.join(filters, ["part", "block"])
-        for name, mask in zip(_NAMES, _masks(self.key)):
+        for name, mask in zip(_NAMES, _masks(_bits(self.key))):
             found = found.filter(F.col(name).bitwiseAND(mask) != 0)
         return found.select("part", self.key)
-
-    def _named_masks(self) -> list[Column]:
-        return [mask.alias(name) for name, mask in zip(_NAMES, _masks(self.key))]
